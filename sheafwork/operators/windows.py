@@ -77,15 +77,25 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Sequence[Column]
     return df.join(renamed, match, "inner").drop(*[f"_g_{k}" for k in keys])
 
 
-def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, ties: bool = False) -> DataFrame:
-    """WIN-14/15: first ``n`` rows (or first ``n`` ranks) of every group.
+def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """WIN-15: first ``n`` rows of every group, with their row number ``rnk``.
 
-    The rank filter sits right on the window, so Spark keeps at most ``n``
-    candidates per group and map task before the shuffle.
+    The filter sits right on the window, so Spark keeps at most ``n`` candidates
+    per group and map task before the shuffle.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    rank = F.dense_rank().over(w) if ties else F.row_number().over(w)
-    return df.withColumn("rnk", rank).filter(F.col("rnk") <= n)
+    return df.withColumn("rnk", F.row_number().over(w)).filter(F.col("rnk") <= n)
+
+
+def top_n_values(df: DataFrame, keys: Sequence[str], by: str, n: int) -> DataFrame:
+    """WIN-14: all rows holding one of the ``n`` highest values of their group.
+
+    Ranks distinct values (at most ``n`` per group and task reach the window) and
+    joins the rows to them, so any number of ties is no load on a single task.
+    """
+    values = df.select(*keys, by).filter(F.col(by).isNotNull()).distinct()
+    best = top_n(values, keys, [F.col(by).desc()], n)
+    return df.join(best, [*keys, by], "inner")
 
 
 @dataclass(frozen=True)

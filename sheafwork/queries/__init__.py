@@ -7,3 +7,5 @@ this package fills the registry.
 from sheafwork.queries.registry import REGISTRY, Query, query, table  # noqa: F401
 from sheafwork.queries import panel  # noqa: F401,E402
 from sheafwork.queries import relational  # noqa: F401,E402
+from sheafwork.queries import aggregates, ordered  # noqa: F401,E402
+from sheafwork.queries import collections, scalars  # noqa: F401,E402

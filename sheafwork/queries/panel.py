@@ -290,14 +290,14 @@ def latest_stock_topk(spark, sf):
     return _plain(top.select("country_code", "year", "total_stock", "electric_stock", "electric_share_pct"))
 
 
-@query("topk_with_focus", "PIP-17 PIP-22 SRT-04 JON-07", f"""WITH {SHARES}, {_LATEST_TOP.format(k=2)},
+@query("topk_with_focus", "PIP-17 PIP-22 SRT-04 JON-07", f"""WITH {SHARES}, {_LATEST_TOP.format(k=3)},
 own AS (SELECT country_code, year, ev FROM gold WHERE country_code = '{FOCUS}' AND ev IS NOT NULL ORDER BY year DESC LIMIT 1)
 SELECT country_code, year, ev AS ev_market_share_pct, CAST(t AS DOUBLE) AS total_registrations FROM top
 UNION ALL
 SELECT country_code, year, ev, NULL FROM own WHERE country_code NOT IN (SELECT country_code FROM top)""")
 def topk_with_focus(spark, sf):
     gold = shares(spark, sf)
-    top = _top(spark, sf, 2).select("country_code", "year", "ev_market_share_pct", "total_registrations")
+    top = _top(spark, sf, 3).select("country_code", "year", "ev_market_share_pct", "total_registrations")
     own = panel.latest_point(
         gold.filter(F.col("country_code") == FOCUS), ["country_code"], "year", "ev_market_share_pct"
     )

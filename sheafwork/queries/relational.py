@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sheafwork import workspace
 from sheafwork.operators import columns, dedup, joins, ordering, skew
+from sheafwork.plans.orders import classify_delays
 from sheafwork.queries.registry import big, money, query, real, table
 
 # --- projection, predicates, nulls ---------------------------------------------
@@ -107,26 +108,31 @@ def try_casts(spark, sf):
     return columns.try_cast_columns(rows, {"amount": "double", "status": "bigint"})
 
 
-@query("delay_bands", "PIP-26 PRJ-06 UDF-07", """
-WITH d AS (SELECT l_orderkey, l_partkey, l_linenumber, l_shipdate, o_orderdate, l_quantity,
-                  date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS delay
+@query("delay_bands", "PIP-26 PRJ-06 UDF-07 DATF-06", """
+WITH d AS (SELECT date_diff('day', o_orderdate::DATE, l_shipdate::DATE) AS delay
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 0)
-SELECT CASE WHEN delay < 0 THEN 'early' WHEN delay < 30 THEN 'short' WHEN delay < 60 THEN 'medium' WHEN delay < 90 THEN 'long'
-            ELSE 'very long' END AS band,
-       delay >= 30 AS is_late, count(*) AS n, CAST(sum(delay) AS BIGINT) AS days FROM d GROUP BY 1, 2""")
+SELECT CASE WHEN delay <= 0 THEN 'On Time' WHEN delay <= 30 THEN 'Minor Delay' WHEN delay <= 120 THEN 'Major Delay'
+            ELSE 'Severe Delay' END AS delay_category,
+       delay > 0 AS is_delayed, count(*) AS n, CAST(sum(delay) AS BIGINT) AS days FROM d GROUP BY 1, 2""")
 def delay_bands(spark, sf):
-    from sheafwork.plans.orders import classify_delays
-
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", F.col("l_quantity").alias("distance"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     delays = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "distance", F.datediff("l_shipdate", "o_orderdate").alias("delay")
     )
-    return classify_delays(delays).groupBy("band", "is_late").agg(
+    return classify_delays(delays).groupBy("delay_category", "is_delayed").agg(
         F.count(F.lit(1)).alias("n"), F.sum("delay").alias("days")
     )
 
 
+@query("price_bands", "PRJ-06", """
+SELECT CASE WHEN l_extendedprice < 1000 THEN 'low' WHEN l_extendedprice < 50000 THEN 'mid' ELSE 'high' END AS band,
+       count(*) AS n FROM lineitem GROUP BY 1""")
+def price_bands(spark, sf):
+    band = columns.bands(F.col("l_extendedprice"), [(1000, "low"), (50000, "mid")], "high")
+    return table(spark, sf, "lineitem").groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("guarded_ratio", "PRJ-16 MTHF-05", """
 SELECT l_returnflag, CAST(sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS DOUBLE)
        / CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS open_ratio,

@@ -78,7 +78,7 @@ def main() -> None:
     sf_dir = f"/root/testdata/sf{args.sf}"
     spark = build_session(
         "compare", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
-                                  "spark.driver.memory": "8g"},
+                                  "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
