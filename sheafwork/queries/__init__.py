@@ -9,3 +9,5 @@ from sheafwork.queries import panel  # noqa: F401,E402
 from sheafwork.queries import relational  # noqa: F401,E402
 from sheafwork.queries import aggregates, ordered  # noqa: F401,E402
 from sheafwork.queries import collections, scalars  # noqa: F401,E402
+from sheafwork.queries import landed  # noqa: F401,E402
+from sheafwork.queries import checks, orders, versioned  # noqa: F401,E402

@@ -16,7 +16,7 @@ def _words(spark, sf):
 @query("array_job", "COL-01..06 SRT-06", """
 WITH w AS (SELECT doc_id, string_split(text, ' ') AS words FROM documents)
 SELECT doc_id, len(words) AS n, words[1] AS first_word, words[-1] AS last_word, words[100001] AS beyond,
-       list_contains(words, 'and') AS has_and, coalesce(list_position(words, 'the'), 0) AS the_at,
+       list_contains(words, 'and') AS has_and, CAST(coalesce(list_position(words, 'the'), 0) AS BIGINT) AS the_at,
        len(list_distinct(words)) AS n_distinct, list_sort(words)[1] AS smallest,
        array_to_string(list_sort(list_distinct(list_filter(words, lambda x: x IN ('and', 'the', 'of')))), ',') AS common,
        len(list_filter(words, lambda x: x <> 'the')) AS without_the, array_to_string(words[1:5], '|') AS opening,

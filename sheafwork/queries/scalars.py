@@ -86,7 +86,7 @@ def text_profile(spark, sf):
 @query("date_job", "DATF-03 DATF-04 DATF-06..11 DATF-05", """
 SELECT o_orderkey, year(d) AS y, month(d) AS m, day(d) AS dd, quarter(d) AS q, dayofweek(d) + 1 AS dow, weekofyear(d) AS week,
        date_diff('day', d, DATE '2002-01-15') AS days_left, datesub('month', d, DATE '2002-01-15') AS months_left,
-       CAST(d + INTERVAL 30 DAY AS DATE) AS plus_30, CAST(d - INTERVAL 7 DAY AS DATE) AS minus_7,
+       d + 30 AS plus_30, d - 7 AS minus_7,
        CAST(d + INTERVAL 1 MONTH AS DATE) AS next_month, strftime(d, '%d/%m/%Y') AS dmy, strftime(d, '%B %Y') AS month_name,
        strftime(d, '%Y-%m') AS ym, CAST(date_trunc('month', d) AS DATE) AS month_start, last_day(d) AS month_end,
        CAST(d + to_days(CAST(7 - (dayofweek(d) + 6) % 7 AS INTEGER)) AS DATE) AS next_monday, true AS not_future
