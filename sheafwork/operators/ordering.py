@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 
 def latest_rows(df: DataFrame, period: str) -> DataFrame:
-    """Rows of the newest period. The maximum is a one-row aggregate."""
-    newest = df.agg(F.max(period).alias("_newest"))
-    return df.join(F.broadcast(newest), F.col(period) == F.col("_newest"), "inner").drop("_newest")
+    """Rows of the newest period, found by a scalar subquery."""
+    return df.filter(F.col(period) == df.agg(F.max(period)).scalar())
 
 
 def latest_top_k(

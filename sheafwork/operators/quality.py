@@ -90,8 +90,7 @@ def counted(df: DataFrame, name: str, counters: Mapping[str, Column]) -> tuple[D
 def key_skew(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """QLT-07: rows per key and the key's share of the table."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("_total"))  # one row
-    return counts.join(F.broadcast(total), F.lit(True)).withColumn("share", F.col("n") / F.col("_total")).drop("_total")
+    return counts.withColumn("share", F.col("n") / df.agg(F.count(F.lit(1))).scalar())
 
 
 def masked(

@@ -158,13 +158,12 @@ def compaction(spark, sf):
     _lines(spark, sf).repartition(24).write.parquet(many)
     stored = spark.read.parquet(many)
     layout.compact(stored, few)
-    before = layout.file_report(spark, many).select(F.col("n_files").alias("files_before"))
-    after = layout.file_report(spark, few).select(F.col("n_files").alias("files_after"))
-    rows = spark.read.parquet(few).agg(F.count(F.lit(1)).alias("n"))
-    old = stored.agg(F.count(F.lit(1)).alias("n_old"))
-    # Four one-row results side by side.
-    one = rows.join(old, F.lit(True)).join(before, F.lit(True)).join(after, F.lit(True))
-    return one.select("n", (F.col("files_after") < F.col("files_before")).alias("fewer"), (F.col("n") == F.col("n_old")).alias("same_rows"))
+    files_before = layout.file_report(spark, many).select("n_files").scalar()
+    files_after = layout.file_report(spark, few).select("n_files").scalar()
+    rows_before = stored.agg(F.count(F.lit(1))).scalar()
+    return spark.read.parquet(few).agg(F.count(F.lit(1)).alias("n")).select(
+        "n", (files_after < files_before).alias("fewer"), (F.col("n") == rows_before).alias("same_rows")
+    )
 
 
 @query("zorder_layout", "VER-12", LINES)
