@@ -12,3 +12,5 @@ from sheafwork.queries import collections, scalars  # noqa: F401,E402
 from sheafwork.queries import landed  # noqa: F401,E402
 from sheafwork.queries import checks, orders, versioned  # noqa: F401,E402
 from sheafwork.queries import streams  # noqa: F401,E402
+from sheafwork.queries import pythonic  # noqa: F401,E402
+from sheafwork.queries import layers  # noqa: F401,E402

@@ -15,20 +15,33 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     _writer(df, fmt, "append", partition_by).save(path)
 
 
-def append_table(df: DataFrame, name: str) -> None:
+def append_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """SNK-01: append to a catalog table, creating it on first load."""
-    df.write.mode("append").format("parquet").saveAsTable(name)
+    _table_writer(df, "append", path).saveAsTable(name)
 
 
-def rewrite_table(df: DataFrame, name: str) -> None:
+def rewrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """SNK-02: replace a catalog table together with its schema."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    _table_writer(df, "overwrite", path).saveAsTable(name)
 
 
-def create_from_query(spark: SparkSession, name: str, query: DataFrame) -> DataFrame:
-    """SNK-08: CREATE TABLE ... AS SELECT, replacing an older table."""
+def _table_writer(df: DataFrame, mode: str, path: str | None):
+    writer = df.write.mode(mode).format("parquet")
+    return writer.option("path", path) if path else writer
+
+
+def create_from_query(spark: SparkSession, name: str, query: DataFrame, path: str | None = None) -> DataFrame:
+    """SNK-08: CREATE TABLE ... AS SELECT, replacing an older table.
+
+    With ``path`` the table is external: dropping it keeps the files.
+    """
+    if path and "'" in path:
+        raise ValueError("quote in path")
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
-    spark.sql("CREATE TABLE IDENTIFIER(:name) USING parquet AS SELECT * FROM {q}", args={"name": name}, q=query)
+    location = f"LOCATION '{path}' " if path else ""
+    spark.sql(
+        f"CREATE TABLE IDENTIFIER(:name) USING parquet {location}AS SELECT * FROM {{q}}", args={"name": name}, q=query
+    )
     return spark.table(name)
 
 
