@@ -52,7 +52,8 @@ def collect_chunks(
 def summary(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """AGG-19: count, mean, stddev, min, quartiles and max of numeric columns.
 
-    One pass over the table; one output row per column.
+    One pass over the table; one output row per column. The quartiles are
+    approximate, with a rank error of at most 1 / ``accuracy`` of the rows.
     """
     stats: list[Column] = []
     for c in columns:

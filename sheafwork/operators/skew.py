@@ -7,12 +7,15 @@ path.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafwork import workspace
+
 ROWS_PER_TASK = 1_000_000
+BROADCAST_KEYS = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) -> DataFrame:
@@ -28,30 +31,40 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) ->
     )
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def _measured(hot: DataFrame) -> tuple[DataFrame, int]:
+    """Store the hot keys and count them, so that plans can depend on the number."""
+    stored = workspace.stage(hot, "hot_keys")
+    return stored, stored.count()
+
+
+def _match(left: Sequence[str], right: Sequence[str]) -> Column:
     condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
+    for a, b in zip(left, right):
+        condition = condition & F.col(a).eqNullSafe(F.col(b))
     return condition
 
 
+def _with_parts(df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], hot: DataFrame, n_hot: int) -> DataFrame:
+    if n_hot == 0:
+        return df.withColumn("_part", F.lit(0))
+    names = [f"_hot_{k}" for k in keys]
+    small = hot.withColumnsRenamed(dict(zip(keys, names)))
+    if n_hot <= BROADCAST_KEYS:
+        small = F.broadcast(small)
+    part = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
+    return df.join(small, _match(keys, names), "left").withColumn("_part", part).drop("_parts", *names)
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], limit: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Add ``_part``: 0 for an ordinary key, a hash of ``spread_by`` for a hot one.
 
-    Grouping by keys + ``_part`` then puts about ``limit`` rows in a group.
+    Grouping by keys + ``_part`` then puts about ``limit`` rows in a group. The
+    hot keys are counted first: none means no join at all, few are broadcast,
+    and beyond ``BROADCAST_KEYS`` an ordinary join is used.
     """
-    hot = hot_keys(df, keys, limit).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-    part = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-    return (
-        df.join(hot, match, "left")
-        .withColumn("_part", part)
-        .drop("_parts", *[f"_hot_{k}" for k in keys])
-    )
+    return _with_parts(df, keys, spread_by, *_measured(hot_keys(df, keys, limit)))
 
 
 def salted_aggregate(
@@ -85,22 +98,14 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = hot_keys(fact.select(key), [key], limit)
-    left = split_hot(fact, [key], spread_by, limit)
+    hot, n_hot = _measured(hot_keys(fact.select(key), [key], limit))
+    if n_hot == 0:
+        return fact.join(dim, key, how)
+    left = _with_parts(fact, [key], spread_by, hot, n_hot)
+    parts = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
     right = (
-        dim.join(hot, key, "left")
+        dim.join(parts, key, "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
         .drop("_parts")
     )
     return left.join(right, [key, "_part"], how).drop("_part")
-
-
-def in_parts(
-    df: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    work: Callable[[DataFrame, list[str]], DataFrame],
-    limit: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Run a per-group job on keys + ``_part`` instead of on whole groups."""
-    return work(split_hot(df, keys, spread_by, limit), [*keys, "_part"])

@@ -23,12 +23,14 @@ def cube_rows(spark, sf):
     )
 
 
-def land_cubes(spark, rows, folder=None, first=0):
-    """Write one cube document per group of countries into ``folder``."""
+def land_cubes(spark, rows, folder=None, suffix=""):
+    """Write one cube document per country into ``folder``.
+
+    A document has at most codes x years cells.
+    """
     folder = folder or workspace.fresh(spark, "cubes")
-    docs = cube.encode(rows, DIMS, "value", F.pmod(F.xxhash64("geo"), F.lit(5)))
-    numbered = docs.select(F.col("document").alias("value"), (F.col("_part") + first).alias("_part"))
-    numbered.write.mode("append").partitionBy("_part").text(folder)
+    docs = cube.encode(rows, DIMS, "value", F.concat("geo", F.lit(suffix)))
+    docs.withColumnRenamed("document", "value").write.mode("append").partitionBy("_part").text(folder)
     return folder
 
 
@@ -49,7 +51,7 @@ def bronze_incremental(spark, sf):
     folder = land_cubes(spark, rows.filter(F.col("time") <= "1998"))
     target = workspace.fresh(spark, "bronze")
     layers.append_rows(bronze.load_cubes(spark, folder, DIMS, "cube_feed", None, pattern="*.txt"), target)
-    land_cubes(spark, rows.filter(F.col("time") > "1998"), folder, first=100)
+    land_cubes(spark, rows.filter(F.col("time") > "1998"), folder, "_again")
     loaded = spark.read.parquet(target)
     layers.append_rows(bronze.load_cubes(spark, folder, DIMS, "cube_feed", loaded, pattern="*.txt"), target)
     return spark.read.parquet(target).select(
@@ -62,7 +64,7 @@ def content_skip(spark, sf):
     """The same cubes landed twice under new names: the second copy is skipped."""
     rows = workspace.stage(cube_rows(spark, sf), "cube_rows")
     folder = land_cubes(spark, rows)
-    land_cubes(spark, rows, folder, first=100)
+    land_cubes(spark, rows, folder, "_again")
     return bronze.load_cubes(spark, folder, DIMS, "cube_feed", None, pattern="*.txt").groupBy("geo").agg(F.count(F.lit(1)).alias("cells"))
 
 

@@ -33,6 +33,21 @@ def compact_to(df: DataFrame, path: str, files: int) -> None:
     df.repartition(files).write.mode("errorifexists").parquet(path)
 
 
+def _bucket(value: Column, edges: Sequence[float]) -> Column:
+    """Number of edges at or below ``value``, as a balanced tree of comparisons.
+
+    The tree stays inside generated code and needs log2(edges) comparisons.
+    """
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low).cast("bigint")
+        middle = (low + high) // 2
+        return F.when(value >= edges[middle], search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, len(edges))
+
+
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, error: float = 0.01) -> Column:
     """VER-12: interleaved bits of each column's quantile bucket.
 
@@ -43,9 +58,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, error: float =
     edges = df.approxQuantile(list(columns), [i / buckets for i in range(1, buckets)], error)
     z = F.lit(0).cast("bigint")
     for j, (name, bounds) in enumerate(zip(columns, edges)):
-        unique = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))])
-        value = F.col(name).cast("double")
-        bucket = F.coalesce(F.size(F.filter(unique, lambda b: b <= value)), F.lit(0)).cast("bigint")
+        bucket = _bucket(F.col(name).cast("double"), sorted(set(bounds)))
         for i in range(bits):
             bit = F.shiftright(bucket, i).bitwiseAND(F.lit(1).cast("bigint"))
             z = z + F.shiftleft(bit, i * len(columns) + j)

@@ -81,7 +81,7 @@ def _add_events(
     )
 
 
-def running_totals(stream: DataFrame, key: Column, at: Column, cents: Column, spread_by: Sequence[str], parts: int = 8) -> DataFrame:
+def running_totals(stream: DataFrame, key: Column, at: Column, cents: Column, spread_by: Sequence[str], parts: int = 4) -> DataFrame:
     """STR-19: totals per key in custom state, kept in ``parts`` pieces.
 
     The state of one key is divided by a hash of ``spread_by``, so a key that

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+MAX_NEW_COLUMNS = 1000
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -137,11 +140,11 @@ def check_columns(batch: DataFrame, text: str, schema: T.StructType, policy: str
         return rows.select(*kept)
     if policy == "rescue":
         return rows.select(*kept, F.when(F.size("_extra") > 0, F.to_json("_extra")).alias("_rescued"))
-    # Field names are schema, not data: as few as the columns of a table.
-    names = [
-        r[0]
-        for r in rows.select(F.explode(F.map_keys("_extra")).alias("name")).distinct().orderBy("name").limit(1000).collect()
-    ]
+    # Field names are schema, not data; more than ``MAX_NEW_COLUMNS`` is an error.
+    found = rows.select(F.explode(F.map_keys("_extra")).alias("name")).distinct().orderBy("name")
+    names = [r[0] for r in found.limit(MAX_NEW_COLUMNS + 1).collect()]
+    if len(names) > MAX_NEW_COLUMNS:
+        raise ValueError(f"more than {MAX_NEW_COLUMNS} new columns")
     if policy == "failOnNewColumns":
         if names:
             raise ValueError(f"new columns: {names}")
