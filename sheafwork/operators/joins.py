@@ -17,8 +17,12 @@ def lookup_join(
     is left to the ordinary shuffle join.
     """
     on = [on] if isinstance(on, str) else list(on)
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+    return fact.join(_small(dim, max_rows), on, how)
+
+
+def _small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def hinted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, strategy: str) -> DataFrame:
@@ -45,7 +49,7 @@ def join_sizes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def range_lookup(
-    fact: DataFrame, value: Column, ranges: DataFrame, low: str, high: str, width: float
+    fact: DataFrame, value: Column, ranges: DataFrame, low: str, high: str, width: float, max_rows: int = 100_000
 ) -> DataFrame:
     """JON-15: match each fact row to the range [low, high) that holds ``value``.
 
@@ -53,7 +57,8 @@ def range_lookup(
     into an equi-join on the cell plus a residual filter. ``ranges`` must not
     overlap; facts outside every range keep null range columns. Each range is
     copied once per cell it touches, so choose ``width`` near the usual range
-    size.
+    size. A grid of at most ``max_rows`` rows is broadcast, so facts crowded into
+    one cell stay where they are.
     """
     cell = F.floor(value / F.lit(width)).cast("bigint")
     last_cell = F.ceil(F.col(high) / F.lit(width)).cast("bigint") - 1
@@ -65,7 +70,7 @@ def range_lookup(
         & (F.col("f._value") >= F.col(f"g.{low}"))
         & (F.col("f._value") < F.col(f"g.{high}"))
     )
-    return keyed.alias("f").join(grid.alias("g"), inside, "left").drop("_cell", "_value")
+    return keyed.alias("f").join(_small(grid, max_rows).alias("g"), inside, "left").drop("_cell", "_value")
 
 
 def densify(df: DataFrame, keys: Sequence[str], period: str, first: int, last: int) -> DataFrame:

@@ -160,7 +160,7 @@ def stream_upsert(spark, sf):
         F.col("o_custkey").alias("c_custkey"), F.lit("ACTIVE").alias("c_mktsegment"), real(money("o_totalprice")).alias("last_amount"),
         F.col("o_orderdate").alias("ordered_at"), F.col("o_orderkey").alias("orderkey"),
     )
-    upsert_stream(changes, target, ["c_custkey"], [F.col("ordered_at"), F.col("orderkey")], f"{folder}/checkpoint")
+    upsert_stream(changes, target, ["c_custkey"], ["ordered_at", "orderkey"], f"{folder}/checkpoint")
     return target.read().drop("ordered_at", "orderkey")
 
 

@@ -64,19 +64,26 @@ class Medallion:
 
 
 def upsert_stream(
-    stream: DataFrame, table: VersionedTable, keys: Sequence[str], newest: Sequence[Column], checkpoint: str
+    stream: DataFrame, table: VersionedTable, keys: Sequence[str], newest: Sequence[str], checkpoint: str
 ) -> None:
     """STR-16: merge every micro-batch into a versioned table.
 
-    A batch may hold a key several times; the newest row counts. The version a
-    batch writes is tied to its id, so a batch that runs again is recognised.
+    ``newest`` names the columns that order the rows of a key. Within a batch the
+    newest row counts; when the table has these columns too, a row that arrives
+    after a newer one is left out. The version a batch writes is tied to its id,
+    so a batch that runs again is recognised.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         done = table.history().filter(F.col("operation") == f"STREAM {batch_id}")
         if not done.isEmpty() or batch.isEmpty():
             return
-        rows = keep_one(batch, keys, newest)
-        table.commit(upsert(table.read(), rows, keys), f"STREAM {batch_id}")
+        target = table.read()
+        rows = keep_one(batch, keys, [F.col(c) for c in newest])
+        if set(newest) <= set(target.columns):
+            held = target.select(*keys, F.struct(*newest).alias("_held"))
+            current = F.col("_held").isNull() | (F.struct(*newest) >= F.col("_held"))
+            rows = rows.join(held, list(keys), "left").filter(current).drop("_held")
+        table.commit(upsert(target, rows, keys), f"STREAM {batch_id}")
 
     io.drain(io.each_batch(stream, merge), checkpoint)
