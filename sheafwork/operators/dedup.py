@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -21,25 +22,21 @@ def drop_equal_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: str = "latest") -> DataFrame:
     """PRJ-22: one row per key, chosen by ``order`` (``latest`` or ``first``).
 
-    The choice is an aggregate, not a window: each map task reduces its own rows
-    to one candidate per key before the shuffle, so a key that holds most of the
-    table is no heavier than any other. Equal ``order`` values are settled by the
-    remaining columns, which makes the survivor the same on every run.
+    Equal ``order`` values are settled by the remaining columns, which makes the
+    survivor the same on every run. The filter on the row number becomes a group
+    limit below the shuffle: a map task sends one row per key, so a key that
+    holds most of the table is no heavier than any other.
     """
     if keep not in ("latest", "first"):
         raise ValueError("keep must be 'latest' or 'first'")
-    pick = F.max if keep == "latest" else F.min
-    rest = [c for c in df.columns if c not in keys]
-    candidate = F.struct(
-        F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("by"),
-        F.struct(*[F.col(c) for c in rest]).alias("row"),
-    )
-    return (
-        df.groupBy(*keys)
-        .agg(pick(candidate).alias("_one"))
-        .select(*keys, "_one.row.*")
-        .select(*df.columns)
-    )
+    rest = [F.col(f.name) for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
+    direction = F.desc_nulls_last if keep == "latest" else F.asc_nulls_last
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*[direction(c) for c in [*order, *rest]]))
+    return df.withColumn("_nth", first).filter(F.col("_nth") == 1).drop("_nth")
+
+
+def _orderable(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

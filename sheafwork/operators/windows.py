@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork import workspace
-from sheafwork.operators.skew import ROWS_PER_TASK
+
+# Rows one task sorts and windows comfortably, with spilling.
+ROWS_PER_SLICE = 20_000_000
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -30,7 +32,7 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def fits(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) -> bool:
+def fits(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_SLICE) -> bool:
     return largest_group(df, keys) <= limit
 
 
@@ -122,9 +124,11 @@ class OrderedSlices:
         descending: bool = False,
         slices: int | None = None,
     ) -> OrderedSlices:
-        n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if slices is None:
+            partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            slices = max(partitions, -(-df.count() // ROWS_PER_SLICE))
         order = _order(by, tie, descending)
-        sliced = df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *order)
+        sliced = df.repartitionByRange(slices, *[F.col(k).asc() for k in keys], *order)
         staged = workspace.stage(sliced.withColumn("_slice", F.spark_partition_id()), "slices")
         return cls(staged, tuple(keys), by, tuple(tie), descending)
 
@@ -288,7 +292,7 @@ def ranked(
     by: str,
     tie: Sequence[str],
     descending: bool = False,
-    limit: int = ROWS_PER_TASK,
+    limit: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add ``row_number``, ``rank``, ``dense_rank`` within ``keys``.
 
@@ -310,7 +314,7 @@ def ranked(
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], by: str, tie: Sequence[str], column: str, name: str,
-    limit: int = ROWS_PER_TASK,
+    limit: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Cumulative sum within ``keys``, split when a group is too big for a task."""
     if not fits(df, keys, limit):
@@ -321,7 +325,7 @@ def running_sum(
 
 def neighbours(
     df: DataFrame, keys: Sequence[str], by: str, tie: Sequence[str], column: str,
-    lag_name: str, lead_name: str, limit: int = ROWS_PER_TASK,
+    lag_name: str, lead_name: str, limit: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Previous and next value within ``keys``, split when a group is too big."""
     if not fits(df, keys, limit):

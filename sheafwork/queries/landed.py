@@ -176,9 +176,9 @@ def partition_overwrite(spark, sf):
     """A second write replaces one partition and leaves the others alone."""
     folder = workspace.fresh(spark, "orders_by_status")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.lit(0).cast("bigint").alias("version"))
-    layers.write_partitioned(orders, folder, ["o_orderstatus"], ["o_orderkey"], files_per_value=4)
+    layers.write_partitioned(orders, folder, ["o_orderstatus"])
     again = orders.filter(F.col("o_orderstatus") == "F").withColumn("version", F.lit(1).cast("bigint"))
-    layers.write_partitioned(again, folder, ["o_orderstatus"], ["o_orderkey"], files_per_value=4)
+    layers.write_partitioned(again, folder, ["o_orderstatus"])
     return spark.read.parquet(folder).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.sum("version").alias("rewritten")
     )

@@ -68,19 +68,23 @@ def save_modes(spark, sf):
 
 
 @query("repartition_layout", "SNK-10", """
-SELECT 'by_count' AS layout, 4::BIGINT AS parts, count(*) AS n FROM orders UNION ALL SELECT 'coalesced', 2, count(*) FROM orders
-UNION ALL SELECT 'by_range', 4, count(*) FROM orders""")
+SELECT 'by_count' AS layout, true AS as_asked, count(*) AS n FROM orders UNION ALL SELECT 'coalesced', true, count(*) FROM orders
+UNION ALL SELECT 'by_range', true, count(*) FROM orders UNION ALL SELECT 'by_column', true, count(*) FROM orders""")
 def repartition_layout(spark, sf):
-    """Rows and partitions after repartition by count, coalesce, and repartition by range."""
+    """Rows and partitions after repartition by count, by column and by range, and after coalesce."""
     orders = _orders(spark, sf).select("o_orderkey")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    half = max(1, n // 2)
     shapes = {
-        "by_count": orders.repartition(4), "coalesced": orders.repartition(4).coalesce(2),
-        "by_range": orders.repartitionByRange(4, "o_orderkey"),
+        "by_count": (orders.repartition(n), n), "coalesced": (orders.repartition(n).coalesce(half), half),
+        "by_range": (orders.repartitionByRange(n, "o_orderkey"), n), "by_column": (orders.repartition(n, "o_orderkey"), n),
     }
     out = None
-    for name, df in shapes.items():
+    for name, (df, asked) in shapes.items():
         sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c"))
-        one = sizes.agg(F.lit(name).alias("layout"), F.count(F.lit(1)).alias("parts"), F.sum("c").alias("n"))
+        one = sizes.agg(
+            F.lit(name).alias("layout"), (F.count(F.lit(1)) == asked).alias("as_asked"), F.sum("c").alias("n")
+        )
         out = one if out is None else out.unionByName(one)
     return out
 

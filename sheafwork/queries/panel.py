@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sheafwork import workspace
 from sheafwork.operators import joins, ordering, windows
 from sheafwork.operators.columns import add_lookups
 from sheafwork.plans import panel
@@ -60,6 +61,11 @@ def shares(spark: SparkSession, sf: str) -> DataFrame:
     return panel.market_share(registrations(spark, sf))
 
 
+def gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The market-share table, stored once for jobs that read it several times."""
+    return workspace.stage(shares(spark, sf), "market_share")
+
+
 def second_rows(spark: SparkSession, sf: str) -> DataFrame:
     """A second source: sales and running stock by supplier country and line status.
 
@@ -248,7 +254,7 @@ FROM gold g LEFT JOIN bench ON bench.year = g.year
      LEFT JOIN r ON r.year = g.year AND r.country_code = '{FOCUS}'
 WHERE g.country_code = '{FOCUS}'""")
 def focus_summary(spark, sf):
-    return _plain(panel.focus_summary(shares(spark, sf), second_for(spark, sf, FOCUS), FOCUS, MEMBERS))
+    return _plain(panel.focus_summary(gold(spark, sf), second_for(spark, sf, FOCUS), FOCUS, MEMBERS))
 
 
 @query("stock_snapshot", "PIP-15 WIN-08", f"""WITH {STOCK}
@@ -259,10 +265,9 @@ def stock_snapshot(spark, sf):
     return _plain(panel.stock_snapshot(stock(spark, sf)))
 
 
-def _top(spark, sf, k=10):
-    gold = shares(spark, sf)
+def _top(gold_table, k=10):
     return ordering.latest_top_k(
-        gold, "year", F.col("total_registrations") > 1000,
+        gold_table, "year", F.col("total_registrations") > 1000,
         [F.col("ev_market_share_pct").desc_nulls_last(), F.col("country_code")], k,
     ).select("country_code", "year", "electric_registrations", "total_registrations", "ev_market_share_pct")
 
@@ -275,7 +280,7 @@ _LATEST_TOP = """top AS (SELECT * FROM gold WHERE year = (SELECT max(year) FROM
 SELECT country_code, year, CAST(e AS DOUBLE) AS electric_registrations, CAST(t AS DOUBLE) AS total_registrations,
        ev AS ev_market_share_pct FROM top""")
 def latest_topk(spark, sf):
-    return _plain(_top(spark, sf))
+    return _plain(_top(gold(spark, sf)))
 
 
 @query("latest_stock_topk", "PIP-16 SRT-03", f"""WITH {STOCK}
@@ -283,7 +288,7 @@ SELECT country_code, year, CAST(t AS DOUBLE) AS total_stock, CAST(e AS DOUBLE) A
 FROM snap WHERE year = (SELECT max(year) FROM snap) AND t > 10000
 ORDER BY es DESC NULLS LAST, country_code LIMIT 10""")
 def latest_stock_topk(spark, sf):
-    snapshot = panel.stock_snapshot(stock(spark, sf))
+    snapshot = workspace.stage(panel.stock_snapshot(stock(spark, sf)), "stock_snapshot")
     top = ordering.latest_top_k(
         snapshot, "year", F.col("total_stock") > 10000,
         [F.col("electric_share_pct").desc_nulls_last(), F.col("country_code")], 10,
@@ -297,10 +302,10 @@ SELECT country_code, year, ev AS ev_market_share_pct, CAST(t AS DOUBLE) AS total
 UNION ALL
 SELECT country_code, year, ev, NULL FROM own WHERE country_code NOT IN (SELECT country_code FROM top)""")
 def topk_with_focus(spark, sf):
-    gold = shares(spark, sf)
-    top = _top(spark, sf, 3).select("country_code", "year", "ev_market_share_pct", "total_registrations")
+    stored = gold(spark, sf)
+    top = _top(stored, 3).select("country_code", "year", "ev_market_share_pct", "total_registrations")
     own = panel.latest_point(
-        gold.filter(F.col("country_code") == FOCUS), ["country_code"], "year", "ev_market_share_pct"
+        stored.filter(F.col("country_code") == FOCUS), ["country_code"], "year", "ev_market_share_pct"
     )
     return _plain(ordering.with_forced_rows(top, own, "country_code"))
 
@@ -329,7 +334,7 @@ def fuel_mix(spark, sf):
 SELECT country_code, {pct('e', '(e + i)')} AS ratio_pct FROM gold
 WHERE year = (SELECT max(year) FROM gold) AND t > 1000 AND e + i > 0""")
 def pair_ratio(spark, sf):
-    newest = ordering.latest_rows(shares(spark, sf), "year").filter(F.col("total_registrations") > 1000)
+    newest = ordering.latest_rows(gold(spark, sf), "year").filter(F.col("total_registrations") > 1000)
     ratio = panel.pair_ratio(newest, "electric_registrations", "ice_registrations", "ratio_pct")
     return _plain(ratio.select("country_code", "ratio_pct"))
 

@@ -426,10 +426,8 @@ def join_pruned(spark, sf):
     fact = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderstatus").alias("status"), F.col("c_nationkey").alias("nationkey")
     )
-    # One partition folder per nation; the hash spreads each nation over writers
-    # without giving every writer a file in every folder.
-    spread = fact.repartition("nationkey", F.pmod(F.xxhash64("status"), F.lit(4)))
-    stored = workspace.stage(spread, "fact_by_nation", ["nationkey"])
+    # Rebalanced by nation: few files per folder, and a large nation is split.
+    stored = workspace.stage(fact.hint("rebalance", F.col("nationkey")), "fact_by_nation", ["nationkey"])
     dim = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     europe = dim.filter(F.col("r_name") == "EUROPE").select(F.col("n_nationkey").alias("nationkey"), "r_name")
     return (

@@ -155,7 +155,8 @@ def _lines(spark, sf):
 def compaction(spark, sf):
     """Many small files rewritten; the report compares both folders."""
     many, few = workspace.fresh(spark, "many"), workspace.fresh(spark, "few")
-    _lines(spark, sf).repartition(24).write.parquet(many)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _lines(spark, sf).repartition(3 * partitions).write.parquet(many)
     stored = spark.read.parquet(many)
     layout.compact(stored, few)
     files_before = layout.file_report(spark, many).select("n_files").scalar()
@@ -169,7 +170,8 @@ def compaction(spark, sf):
 @query("zorder_layout", "VER-12", LINES)
 def zorder_layout(spark, sf):
     path = workspace.fresh(spark, "zorder")
-    layout.z_order(_lines(spark, sf), ["l_partkey", "l_suppkey"], path, files=16)
+    rows = _lines(spark, sf)
+    layout.z_order(rows, ["l_partkey", "l_suppkey"], path, layout.files_for(rows, at_least=16))
     return spark.read.parquet(path)
 
 
@@ -177,5 +179,6 @@ def zorder_layout(spark, sf):
 def zorder_skipping(spark, sf):
     """Value ranges per file after clustering on two columns."""
     path = workspace.fresh(spark, "zorder")
-    layout.z_order(_lines(spark, sf), ["l_partkey", "l_suppkey"], path, files=16)
+    rows = _lines(spark, sf)
+    layout.z_order(rows, ["l_partkey", "l_suppkey"], path, layout.files_for(rows, at_least=16))
     return layout.file_ranges(spark.read.parquet(path), ["l_partkey", "l_suppkey"]).drop("file")

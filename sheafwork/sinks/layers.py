@@ -51,20 +51,15 @@ def insert_rows(spark: SparkSession, name: str, rows: DataFrame, overwrite: bool
     aligned.write.insertInto(name, overwrite=overwrite)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str], spread_by: Sequence[str] = (), files_per_value: int = 1,
-    mode: str = "overwrite",
-) -> None:
-    """SNK-06/07: folder-partitioned write with a bounded number of files.
-
-    Rows are first shuffled by partition value, and over ``files_per_value``
-    writers by a hash of ``spread_by`` when one value is large. An overwrite
-    replaces only the partitions present in ``df``.
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite") -> None:
+    """SNK-06/07: folder-partitioned write with few, evenly sized files.
+
+    The rebalance hint groups rows by partition value; adaptive execution then
+    merges small values into one writer and splits a large value over several.
+    An overwrite replaces only the partitions present in ``df``.
     """
-    targets = [F.col(c) for c in partition_by]
-    if files_per_value > 1:
-        targets.append(F.pmod(F.xxhash64(*spread_by), F.lit(files_per_value)))
-    writer = _writer(df.repartition(*targets), "parquet", mode, partition_by)
+    balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = _writer(balanced, "parquet", mode, partition_by)
     writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 

@@ -65,6 +65,14 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, error: float =
     return z
 
 
+ROWS_PER_FILE = 5_000_000
+
+
+def files_for(df: DataFrame, at_least: int = 1, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Number of files for a table, from its row count."""
+    return max(at_least, -(-df.count() // rows_per_file))
+
+
 def z_order(df: DataFrame, columns: Sequence[str], path: str, files: int, bits: int = 6) -> None:
     """VER-12: write files in which rows close in all ``columns`` lie together."""
     placed = df.withColumn("_z", z_value(df, columns, bits))

@@ -61,7 +61,7 @@ def test_dimension_filter_prunes_at_run_time(spark):
     "name, node",
     [("join_merge_hint", "SortMergeJoin"), ("join_hash_hint", "ShuffledHashJoin"), ("join_broadcast", "BroadcastHashJoin"),
      ("join_range", "BroadcastHashJoin"), ("sort_limit", "TakeOrderedAndProject"), ("top1_per_group", "WindowGroupLimit"),
-     ("topn_per_group", "WindowGroupLimit")],
+     ("topn_per_group", "WindowGroupLimit"), ("dedup_latest", "WindowGroupLimit")],
 )
 def test_physical_choice(spark, name, node):
     assert node in plan(entry.queries()[name](spark, SF))
