@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pyspark.pandas as ps
 from pyspark.sql import functions as F
 
 from sheafwork.functions import udfs
@@ -81,6 +80,9 @@ def group_rank_pandas(spark, sf):
 
 
 def _pandas_defaults():
+    # Imported on use: the import changes the process environment.
+    import pyspark.pandas as ps
+
     # A distributed index needs no ordering pass over the data.
     ps.set_option("compute.default_index_type", "distributed")
 
