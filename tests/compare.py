@@ -11,6 +11,7 @@ import time
 from decimal import Decimal
 
 import duckdb
+from pyspark.sql import SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -73,13 +74,18 @@ def main() -> None:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--plain", action="store_true", help="a session with Spark's default settings")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     sf_dir = f"/root/testdata/sf{args.sf}"
-    spark = build_session(
-        "compare", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
-                                  "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
-    )
+    settings = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+    if args.plain:
+        builder = SparkSession.builder.master("local[8]")
+        for key, value in settings.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session("compare", "local[8]", **settings, **{"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sql = entry.oracle_sql()
