@@ -141,11 +141,15 @@ class VersionedTable:
         return self._history_rows().agg(F.max("version")).first()[0]
 
     def create(self, df: DataFrame, at: dt.datetime | None = None) -> int:
-        return self._publish(df, 0, "CREATE", at)
+        return self._publish(df, 0, "CREATE", at, "errorifexists")
 
     def commit(self, df: DataFrame, operation: str, at: dt.datetime | None = None) -> int:
-        """VER-05: store ``df`` as the next version. ``df`` may read older versions."""
-        return self._publish(df, self.latest() + 1, operation, at)
+        """VER-05: store ``df`` as the next version. ``df`` may read older versions.
+
+        One writer at a time. A folder without a history row is what a failed
+        commit left behind, and is replaced.
+        """
+        return self._publish(df, self.latest() + 1, operation, at, "overwrite")
 
     def append(self, rows: DataFrame, at: dt.datetime | None = None) -> int:
         return self.commit(evolve(self.read(), rows), "APPEND", at)
@@ -175,9 +179,9 @@ class VersionedTable:
             (F.col("committed_at") < F.lit(limit)) & (F.col("version") < F.lit(self.latest()))
         )
 
-    def _publish(self, df: DataFrame, version: int, operation: str, at: dt.datetime | None) -> int:
+    def _publish(self, df: DataFrame, version: int, operation: str, at: dt.datetime | None, mode: str) -> int:
         folder = f"{self.path}/v={version}"
-        df.write.mode("errorifexists").parquet(folder)
+        df.write.mode(mode).parquet(folder)
         entry = (
             self.spark.read.parquet(folder)
             .agg(F.count(F.lit(1)).alias("n_rows"))

@@ -160,8 +160,7 @@ def csv_quarantine(spark, sf):
 def sql_file_table(spark, sf):
     """A SQL table declared over existing files, queried by name, then dropped."""
     name = "parts_" + workspace.fresh(spark, "t").rsplit("-", 1)[1]
-    path = f"{sf}/part.parquet"
-    files.file_table(spark, name, "parquet", path if "://" in path else f"file:{path}" if path.startswith("/root/") else path)
+    files.file_table(spark, name, "parquet", f"{sf}/part.parquet")
     found = spark.sql(
         "SELECT p_brand, count(*) AS n FROM IDENTIFIER(:t) WHERE p_size > :least GROUP BY p_brand",
         args={"t": name, "least": 20},

@@ -92,7 +92,7 @@ def stream_sliding(spark, sf):
 def stream_dedup(spark, sf):
     """The event stream merged with a second delivery of itself; one copy stays."""
     twice = events(spark, sf).unionByName(events(spark, sf))
-    out = aggregates.unique_events(twice, "ts", ["event_id"], "1 day")
+    out = aggregates.unique_events(twice, "ts", ["event_id"], "1 day", many_copies=True)
     return stored(spark, out, "unique").select("event_id", "user_id", "event_type", _clock("ts").alias("at"))
 
 
@@ -104,7 +104,7 @@ def stream_enrich(spark, sf):
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"
     )
     orders = table_stream(spark, sf, "orders").withColumn("doubled", real(money("o_totalprice") * 2))
-    out = aggregates.enrich(orders, customers, "o_custkey").select("o_orderkey", "c_name", "c_mktsegment", "doubled")
+    out = aggregates.enrich(orders, customers, "o_custkey", spread_by=["o_orderkey"], parts=4).select("o_orderkey", "c_name", "c_mktsegment", "doubled")
     return stored(spark, out, "enriched")
 
 
@@ -114,9 +114,10 @@ WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 60 DAY
 def stream_join(spark, sf):
     """Order stream joined to the stream of lines shipped within sixty days of the order."""
     orders = io.event_time(table_stream(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
-    lines = io.event_time(table_stream(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_quantity"), "l_shipdate")
+    lines = io.event_time(table_stream(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_quantity"), "l_shipdate")
     out = aggregates.join_streams(
-        orders, lines, "o_orderdate", "l_shipdate", F.col("o_orderkey") == F.col("l_orderkey"), "60 DAYS", "1 day"
+        orders, lines, "o_orderdate", "l_shipdate", F.col("o_orderkey") == F.col("l_orderkey"), "60 DAYS", "1 day",
+        spread_by=["l_partkey", "l_linenumber"], parts=4,
     )
     rows = stored(spark, out.select("o_orderkey", big("l_quantity").alias("qty")), "joined")
     return rows.groupBy(F.col("o_orderkey").alias("orderkey")).agg(F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("qty"))
@@ -181,6 +182,7 @@ def stream_medallion(spark, sf):
         raw.schema, "event_time", ["order_id"],
         {"customer": F.col("custkey").isNotNull(), "price": F.col("unit_price").try_cast("double") > 0},
         segments, "custkey", {"amount": F.col("qty") * F.col("unit_price").cast("decimal(18,2)")}, "1 day",
+        many_copies=True, parts=4,
     )
     silver = T.StructType([T.StructField("segment", T.StringType()), T.StructField("amount", spark.read.parquet(flow.path("silver")).schema["amount"].dataType)])
     gold = flow.gold(silver, ["segment"], [F.count(F.lit(1)).alias("n_orders"), F.sum("amount").alias("revenue")])

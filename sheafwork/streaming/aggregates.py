@@ -41,25 +41,72 @@ def sessions(stream: DataFrame, at: str, gap: str, keys: Sequence[str], aggregat
     )
 
 
-def unique_events(stream: DataFrame, at: str, keys: Sequence[str], late: str) -> DataFrame:
-    """STR-12: first copy of every key; state older than the watermark is dropped."""
-    return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
+def drop_local_copies(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop repeated keys inside every Arrow batch, before anything is shuffled.
 
+    Stateless and partial: it thins out a key with very many copies, so that a
+    following ``unique_events`` does not receive all of them in one task.
+    """
+    names = list(keys)
+
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.drop_duplicates(names)
+
+    return stream.mapInPandas(thin, stream.schema)
+
+
+def unique_events(stream: DataFrame, at: str, keys: Sequence[str], late: str, many_copies: bool = False) -> DataFrame:
+    """STR-12: first copy of every key; state older than the watermark is dropped.
+
+    ``many_copies`` thins out copies before the shuffle.
+    """
+    rows = drop_local_copies(stream, keys) if many_copies else stream
+    return rows.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
+
+
+def _part_of(spread_by: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
 
-def enrich(stream: DataFrame, static: DataFrame, on: str, how: str = "left") -> DataFrame:
-    """STR-11: stream-static join; Spark picks broadcast or shuffle by size."""
+
+def _all_parts(parts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+
+def enrich(
+    stream: DataFrame, static: DataFrame, on: str, how: str = "left", spread_by: Sequence[str] = (), parts: int = 1
+) -> DataFrame:
+    """STR-11: stream-static join; Spark picks broadcast or shuffle by size.
+
+    A stream plan cannot split a skewed shuffle at run time. With ``parts`` > 1
+    the stream rows of one key go to several tasks by a hash of ``spread_by``,
+    and every static row is sent to each of them.
+    """
     if how not in ("left", "inner"):
         raise ValueError("the stream side must be the preserved side")
-    return stream.join(static, on, how)
+    if parts == 1:
+        return stream.join(static, on, how)
+    spread = stream.withColumn("_part", _part_of(spread_by, parts))
+    return spread.join(static.withColumn("_part", _all_parts(parts)), [on, "_part"], how).drop("_part")
 
 
 def join_streams(
-    left: DataFrame, right: DataFrame, left_at: str, right_at: str, match: Column, within: str, late: str
+    left: DataFrame, right: DataFrame, left_at: str, right_at: str, match: Column, within: str, late: str,
+    spread_by: Sequence[str] = (), parts: int = 1,
 ) -> DataFrame:
-    """STR-18: inner join of two streams; the right event follows the left one within ``within``."""
+    """STR-18: inner join of two streams; the right event follows the left one within ``within``.
+
+    With ``parts`` > 1 the right rows of one key are spread by a hash of
+    ``spread_by``; left rows, which should be few per key, are kept once per part.
+    """
     span = F.expr(f"INTERVAL {within}")
     timed = (F.col(right_at) >= F.col(left_at)) & (F.col(right_at) <= F.col(left_at) + span)
-    return left.withWatermark(left_at, late).join(right.withWatermark(right_at, late), match & timed, "inner")
+    if parts > 1:
+        left = left.withColumn("_left_part", _all_parts(parts))
+        right = right.withColumn("_right_part", _part_of(spread_by, parts))
+        match = match & (F.col("_left_part") == F.col("_right_part"))
+    joined = left.withWatermark(left_at, late).join(right.withWatermark(right_at, late), match & timed, "inner")
+    return joined.drop("_left_part", "_right_part")
 
 
 _OUTPUT = "key string, part int, n_events bigint, total_cents bigint, last_at timestamp"
@@ -90,7 +137,7 @@ def running_totals(stream: DataFrame, key: Column, at: Column, cents: Column, sp
     """
     rows = stream.select(
         key.cast("string").alias("key"),
-        F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int").alias("part"),
+        _part_of(spread_by, parts).alias("part"),
         at.cast("timestamp").alias("at"),
         cents.cast("bigint").alias("cents"),
     )

@@ -13,6 +13,7 @@ from sheafwork.operators.dedup import keep_one
 from sheafwork.operators.quality import split_rows
 from sheafwork.operators.versions import VersionedTable, upsert
 from sheafwork.streaming import io
+from sheafwork.streaming.aggregates import enrich, unique_events
 
 
 @dataclass(frozen=True)
@@ -42,17 +43,20 @@ class Medallion:
         on: str,
         derived: Mapping[str, Column],
         late: str,
+        many_copies: bool = False,
+        parts: int = 1,
     ) -> None:
         """STR-11/12/14: valid, unique and enriched rows.
 
         The duplicate check keeps state across batches; a check inside each
-        batch would let a copy in a later batch through.
+        batch would let a copy in a later batch through. ``many_copies`` and
+        ``parts`` spread keys that hold much of the stream.
         """
         stored = T.StructType([*schema.fields, T.StructField("_batch_id", T.LongType())])
         stream = io.event_time(io.file_stream(self.spark, self.path("bronze"), stored), at)
         valid, _ = split_rows(stream, rules)
-        unique = valid.withWatermark(at, late).dropDuplicatesWithinWatermark(list(key))
-        enriched = unique.join(static, on, "left").withColumns(dict(derived)).drop("_batch_id")
+        unique = unique_events(valid, at, key, late, many_copies)
+        enriched = enrich(unique, static, on, "left", key, parts).withColumns(dict(derived)).drop("_batch_id")
         io.drain(io.to_files(enriched, self.path("silver")), self._checkpoint("silver"))
 
     def gold(self, schema: T.StructType, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:

@@ -176,8 +176,11 @@ def test_versions(spark, target):  # VER-05..08, VER-13
     t.restore(0, day[3])
     assert t.read().count() == 3 and t.latest() == 3
     assert rows(t.expired(day[4], 48), "version") == [(0,), (1,)]
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError):
         t.append(target.withColumn("extra", F.lit(1)))
+    # What a commit that failed before its history row leaves behind.
+    target.write.parquet(f"{t.path}/v=4")
+    assert t.commit(target.filter("id = 2"), "DELETE") == 4 and t.read().count() == 1
 
 
 def test_schema_rules(spark, target):  # VER-10

@@ -83,8 +83,10 @@ def test_update_mode_equals_batch(spark, landed, tmp_path):  # STR-10, STR-15
     assert rows(latest, "window_start", "region", "total") == rows(batch.select("w.start", "region", "total"))
 
 
-def test_copies_in_later_batches_are_dropped(spark, landed, tmp_path):  # STR-12
-    out = aggregates.unique_events(chunks(spark, landed), "at", ["id"], "5 hours")
+@pytest.mark.parametrize("many_copies", [False, True])
+def test_copies_in_later_batches_are_dropped(spark, landed, tmp_path, many_copies):  # STR-12
+    land(landed, 8, [(1, "n", 10, minute(0))] * 20)
+    out = aggregates.unique_events(chunks(spark, landed), "at", ["id"], "5 hours", many_copies)
     io.drain(io.to_files(out, str(tmp_path / "out")), str(tmp_path / "cp"))
     assert rows(spark.read.parquet(str(tmp_path / "out")), "id") == [(i,) for i in range(1, 10)]
 
@@ -109,9 +111,10 @@ def test_replayed_batch_is_stored_once(spark, tmp_path):  # STR-13
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
 
 
-def test_enrich_keeps_the_stream_side(spark, landed, tmp_path):  # STR-11
+@pytest.mark.parametrize("parts", [1, 3])
+def test_enrich_keeps_the_stream_side(spark, landed, tmp_path, parts):  # STR-11
     static = spark.createDataFrame([("n", "North")], "region string, label string")
-    out = aggregates.enrich(chunks(spark, landed), static, "region")
+    out = aggregates.enrich(chunks(spark, landed), static, "region", spread_by=["id"], parts=parts)
     io.drain(io.to_files(out, str(tmp_path / "out")), str(tmp_path / "cp"))
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 10 and got.filter("label IS NULL").count() == 3
@@ -119,12 +122,13 @@ def test_enrich_keeps_the_stream_side(spark, landed, tmp_path):  # STR-11
         aggregates.enrich(chunks(spark, landed), static, "region", "right")
 
 
-def test_stream_join_within_time(spark, tmp_path):  # STR-18
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stream_join_within_time(spark, tmp_path, parts):  # STR-18
     land(tmp_path / "a", 0, [(1, "x", 1, minute(0)), (2, "x", 1, minute(0))])
     land(tmp_path / "b", 0, [(1, "x", 5, minute(3)), (2, "x", 7, minute(30)), (1, "x", 9, minute(-1))])
     left = chunks(spark, tmp_path / "a").select(F.col("id").alias("lid"), F.col("at").alias("lat"))
     right = chunks(spark, tmp_path / "b").select("id", "amount", "at")
-    out = aggregates.join_streams(left, right, "lat", "at", F.col("lid") == F.col("id"), "10 MINUTES", "1 hour")
+    out = aggregates.join_streams(left, right, "lat", "at", F.col("lid") == F.col("id"), "10 MINUTES", "1 hour", ["amount"], parts)
     io.drain(io.to_files(out, str(tmp_path / "out")), str(tmp_path / "cp"))
     assert rows(spark.read.parquet(str(tmp_path / "out")), "lid", "amount") == [(1, 5)]
 
