@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheafwork.session import apply_defaults
 from sheafwork.workspace import stage
 
-#: Rows of an Arrow batch: keeps a batch of long texts small.
-BATCH_ROWS = 1000
+#: Bytes of an Arrow batch: keeps a batch of long texts small.
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     apply_defaults(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -30,10 +28,6 @@ def task_number() -> int:
     return TaskContext.get().partitionId()
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def record(**columns) -> pa.RecordBatch:
     """A batch from named arrays."""
     arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
@@ -51,4 +45,4 @@ def task_offsets(staged: DataFrame, value: str, by: tuple[str, ...] = ()) -> Dat
     return totals.select("task", *by, F.coalesce(F.sum("_sum").over(order), F.lit(0)).cast("long").alias("before"))
 
 
-__all__ = ["BATCH_ROWS", "prepare", "documents", "task_number", "arrow_map", "record", "task_offsets", "stage", "Column"]
+__all__ = ["BATCH_BYTES", "prepare", "documents", "task_number", "record", "task_offsets", "stage"]
