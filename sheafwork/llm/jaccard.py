@@ -3,35 +3,47 @@
 A document's set holds its distinct five-word shingles (64-bit hashes). Equal
 sets form a class; classes are joined, not documents.
 
-Two sets of sizes a and b with the wanted likeness differ in at most ``H`` =
-``floor((a + b) (1 - t) / (1 + t))`` elements. In every size band the universe
-of shingles is hashed into a fixed number of segments. A differing element
-spoils one segment, so of the segments that two sets fill at most H differ. An
-allocation decides how a segment is indexed:
-
-* 0: not at all;
-* 1: by the hash of the set's elements in it; two such sets meet if equal;
-* 2: also by the hash with any one element left out (one-deletion
-  neighbourhood); they meet if they differ by at most one element.
-
-Segments of the second kind are a fixed share of a band's segments, chosen per
-band by the cost (rows and expected partners) summed over all sets. If two sets
-do not meet there, they spent at least 2 (1 where a set has one element) of the
-H differences on each. So of the other segments, ordered by one global cost
-order, the cheapest ``H + 1`` less what was spent must have one in common. The
-order is by the count of the segment's rarest shingle in a table of fixed size
-gathered from the whole corpus, then by hash. A set whose filled segments do not reach that far
-is also indexed by its single cheapest shingles; a pair is missed only if
-neither set is covered, and such sets meet there.
+In every size band the universe of shingles is hashed into a fixed number of
+segments. An allocation says how a band's segments are indexed:
+
+* whole: by the hash of the set's elements in the segment; two sets meet in a
+  segment where they are equal;
+* one-deletion: also by the hash with any one element left out; they meet in a
+  segment where they differ by at most one element;
+* subsets: by each one-element subset; they meet in a common element.
+
+Two sets of sizes a and b with the wanted likeness t differ in at most ``H`` =
+``floor((a + b) (1 - t) / (1 + t))`` elements, each of which spoils one segment
+at most. With whole segments, part of which may have one-deletion
+neighbourhoods, sets that do not meet in the latter spent at least 2 differences
+(1 where a set has one element) on each; so of the others, in one global order,
+the first ``H + 1`` less what was spent must have one in common. With subsets,
+the set itself can lack at most its size less the common elements: the first
+``n - ceil(2 t n / (1 + t)) + 1`` elements suffice towards larger partners
+("leading" rows), ``n - ceil(t n) + 1`` towards smaller ones; a pair meets in a
+leading row of the smaller set. What stands before the first element that two
+sets have in common is lost to both, so where they meet at ranks i and j they
+have at most ``min(a - i, b - j)`` in common; pairs for which that is too little
+are passed over (their first common element shows them if they are alike).
+
+The order is by the count of the rarest shingle in a table of fixed size
+gathered from the whole corpus, then by hash. The allocation of a band is the
+cheapest by rows and expected partners, summed over all sets. A set whose filled
+segments do not reach ``H + 1`` is also indexed by its single cheapest shingles;
+a pair is missed only if neither set is covered, and such sets meet there.
 
 A set is indexed in its own band and in the next if a partner may lie there.
 
 Sets that meet are candidates. In each meeting group one class, the hub, is
 compared with all others; classes found alike are contracted; hubs are chosen
 anew where a group still holds several components, and after some rounds the
-rest of the pairs between components is compared. Comparison counts the common
-shingles exactly. So no link between components is lost, though pairs inside
-one are not all compared.
+rest of the pairs between components is compared. So no link between components
+is lost, though pairs inside one are not all compared.
+
+A pair is first judged by sizes and by counts of shingles in cells of the
+universe (a byte for about two shingles): the sets differ by at least the
+difference of the counts. Only for pairs that pass are the sets themselves
+brought together, and the common shingles counted.
 
 Defined cases: a null text, or one without words, has an empty set, no link and
 its own id as component. Rows with one id are one node. A null id keeps a null
@@ -46,7 +58,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.llm.components import components
@@ -58,11 +70,13 @@ PERCENT = 80
 BAND_RATIO = 4
 #: Table of shingle counts behind the cost order.
 COUNT_BUCKETS = 1 << 16
-#: Shares of a band's segments that may get one-deletion neighbourhoods.
-OPTIONS = (0.0, 1 / 16, 1 / 8)
+#: Allocations of a band: one-element subsets, or whole segments with the given
+#: share of one-deletion neighbourhoods.
+SUBSETS = -1.0
+OPTIONS = (SUBSETS, 0.0, 1 / 8)
 #: Bits of the filter for classes that need comparing.
 FILTER_BITS = 1 << 23
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +129,8 @@ class Entries:
     band: np.ndarray
     differ: np.ndarray  # H
     segments: np.ndarray
+    leading: np.ndarray  # elements to index towards larger partners
+    all: np.ndarray  # elements to index at all
 
 
 def entries(sizes: np.ndarray, percent: int = PERCENT) -> Entries:
@@ -128,7 +144,39 @@ def entries(sizes: np.ndarray, percent: int = PERCENT) -> Entries:
     bands = np.concatenate([band, band[over] + 1])
     partner = np.concatenate([np.minimum(top, largest), largest[over]])
     differ = (np.concatenate([n, n[over]]) + partner) * (100 - percent) // (100 + percent)
-    return Entries(doc, bands, differ, np.maximum(_BOUNDS[bands + 1] // 2, 1))
+    leading = n - -(-2 * percent * n // (100 + percent)) + 1
+    every = n - -(-percent * n // 100) + 1
+    # In the next band all partners are larger.
+    return Entries(
+        doc, bands, differ, np.maximum(_BOUNDS[bands + 1] // 2, 1),
+        np.concatenate([leading, leading[over]]), np.concatenate([every, leading[over]]),
+    )
+
+
+def _take(e: Entries, which: np.ndarray) -> Entries:
+    return Entries(*(getattr(e, f)[which] for f in ("doc", "band", "differ", "segments", "leading", "all")))
+
+
+def _elements(h: np.ndarray, first: np.ndarray, e: Entries) -> tuple[np.ndarray, np.ndarray]:
+    """Elements of all entries, and the entry of each."""
+    sizes = (first[1:] - first[:-1])[e.doc]
+    entry = np.repeat(np.arange(len(e.doc)), sizes)
+    index = np.arange(len(entry)) + np.repeat(first[e.doc] - (np.cumsum(sizes) - sizes), sizes)
+    return h[index], entry
+
+
+def _first_elements(h: np.ndarray, first: np.ndarray, e: Entries, counts: np.ndarray):
+    """The elements to index by one-element subsets: element, entry, cost, rank in the order."""
+    x, entry = _elements(h, first, e)
+    cost = counts[(x & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)]
+    # One number for entry, cost and hash; elements come sorted, so that ties keep one order.
+    key = entry.astype(np.uint64) << np.uint64(44) | np.minimum(cost, 65535).astype(np.uint64) << np.uint64(28) | x >> np.uint64(36)
+    order = np.argsort(key, kind="stable")
+    entry = entry[order]
+    rank = np.arange(len(order)) - np.searchsorted(entry, np.arange(len(e.doc)))[entry]
+    kept = rank < e.all[entry]
+    order = order[kept]
+    return x[order], entry[kept], cost[order], rank[kept]
 
 
 @dataclass(frozen=True)
@@ -145,10 +193,7 @@ class Filled:
 
 
 def fill(h: np.ndarray, first: np.ndarray, e: Entries, counts: np.ndarray) -> Filled:
-    sizes = (first[1:] - first[:-1])[e.doc]
-    entry = np.repeat(np.arange(len(e.doc)), sizes)
-    index = np.arange(len(entry)) + np.repeat(first[e.doc] - (np.cumsum(sizes) - sizes), sizes)
-    x = h[index]
+    x, entry = _elements(h, first, e)
     place = mix(x ^ mix(e.band.astype(np.uint64) + np.uint64(1000))[entry])
     segment = ((place >> np.uint64(32)) % e.segments[entry].astype(np.uint64)).astype(np.int64)
     # A set fills at most as many segments as it has elements: number them by sorting.
@@ -184,49 +229,60 @@ def _cheapest(f: Filled, sig: np.ndarray, use: np.ndarray, need: np.ndarray) ->
 
 
 def signatures(h: np.ndarray, first: np.ndarray, counts: np.ndarray, shares: np.ndarray, percent: int = PERCENT):
-    """Index rows of all sets: signature and number of the set."""
-    e = entries(np.diff(first), percent)
-    if not len(e.doc):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    f = fill(h, first, e, counts)
-    second = f.segment < (shares[e.band] * e.segments).astype(np.int64)[f.entry]
-    domain = mix(e.band[f.entry].astype(np.uint64) * np.uint64(1 << 40) + f.segment.astype(np.uint64))
-    sig = mix(f.total ^ domain)
-    spent = _spent(f, second, len(e.doc))
-    need = np.maximum(e.differ - spent + 1, 0)
-    kept = _cheapest(f, sig, ~second, need)
-    out, doc = [sig[kept], sig[second]], [e.doc[f.entry[kept]], e.doc[f.entry[second]]]
-    # One-deletion neighbourhoods; with one element nothing would be left.
-    deleted = (second & (f.size > 1))[f.element_slot]
-    if deleted.any():
+    """Index rows of all sets: signature, number of the set, rank, whether leading."""
+    every = entries(np.diff(first), percent)
+    by_subset = shares[every.band] == SUBSETS
+    e = _take(every, by_subset)
+    x, entry, _, rank = _first_elements(h, first, e, counts)
+    out = [mix(x ^ mix(e.band.astype(np.uint64) + np.uint64(9000))[entry])]
+    doc, ranks, lead = [e.doc[entry]], [rank], [rank < e.leading[entry]]
+    e = _take(every, ~by_subset)
+    if len(e.doc):
+        f = fill(h, first, e, counts)
+        second = f.segment < (shares[e.band] * e.segments).astype(np.int64)[f.entry]
+        domain = mix(e.band[f.entry].astype(np.uint64) * np.uint64(1 << 40) + f.segment.astype(np.uint64))
+        sig = mix(f.total ^ domain)
+        need = np.maximum(e.differ - _spent(f, second, len(e.doc)) + 1, 0)
+        kept = _cheapest(f, sig, ~second, need)
+        out += [sig[kept], sig[second]]
+        doc += [e.doc[f.entry[kept]], e.doc[f.entry[second]]]
+        # One-deletion neighbourhoods; with one element nothing would be left.
+        deleted = (second & (f.size > 1))[f.element_slot]
         slot = f.element_slot[deleted]
         out.append(mix((f.total[slot] - f.element_hash[deleted]) ^ domain[slot]))
         doc.append(e.doc[f.entry[slot]])
-    got = np.bincount(f.entry[kept], minlength=len(e.doc))
-    for i in np.flatnonzero(got < need):
-        own = h[first[e.doc[i]] : first[e.doc[i] + 1]]
-        cost = counts[(own & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)]
-        single = own[np.lexsort((own, cost))[: e.differ[i] + 1]]
-        out.append(mix(single ^ mix(np.uint64([e.band[i] + 5000]))))
-        doc.append(np.full(len(single), e.doc[i]))
-    return np.concatenate(out).view(np.int64), np.concatenate(doc)
+        got = np.bincount(f.entry[kept], minlength=len(e.doc))
+        for i in np.flatnonzero(got < need):
+            own = h[first[e.doc[i]] : first[e.doc[i] + 1]]
+            cost = counts[(own & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)]
+            single = own[np.lexsort((own, cost))[: e.differ[i] + 1]]
+            out.append(mix(single ^ mix(np.uint64([e.band[i] + 5000]))))
+            doc.append(np.full(len(single), e.doc[i]))
+        more = sum(map(len, doc[1:]))
+        ranks.append(np.zeros(more, np.int64))
+        lead.append(np.ones(more, dtype=bool))
+    return np.concatenate(out).view(np.int64), np.concatenate(doc), np.concatenate(ranks), np.concatenate(lead)
 
 
 def _option_costs(h, first, counts, percent) -> dict[tuple[int, int], float]:
-    """Rows and expected partners of each option, by band."""
+    """Rows and expected partners of each allocation, by band."""
     e = entries(np.diff(first), percent)
     costs: dict[tuple[int, int], float] = {}
     if not len(e.doc):
         return costs
     f = fill(h, first, e, counts)
     for o, share in enumerate(OPTIONS):
-        second = f.segment < (share * e.segments).astype(np.int64)[f.entry]
-        need = np.maximum(e.differ - _spent(f, second, len(e.doc)) + 1, 0)
-        kept = _cheapest(f, f.total, ~second, need)
-        one = np.bincount(f.entry[kept], weights=1 + f.cost[kept], minlength=len(e.doc))
-        rows = np.where(f.size[second] > 1, f.size[second] + 1, 1) * (1 + f.cost[second])
-        two = np.bincount(f.entry[second], weights=rows, minlength=len(e.doc))
-        for b, c in enumerate(np.bincount(e.band, weights=one + two)):
+        if share == SUBSETS:
+            _, entry, cost, _ = _first_elements(h, first, e, counts)
+            total = np.bincount(entry, weights=1 + cost, minlength=len(e.doc))
+        else:
+            second = f.segment < (share * e.segments).astype(np.int64)[f.entry]
+            need = np.maximum(e.differ - _spent(f, second, len(e.doc)) + 1, 0)
+            kept = _cheapest(f, f.total, ~second, need)
+            total = np.bincount(f.entry[kept], weights=1 + f.cost[kept], minlength=len(e.doc))
+            rows = np.where(f.size[second] > 1, f.size[second] + 1, 1) * (1 + f.cost[second])
+            total = total + np.bincount(f.entry[second], weights=rows, minlength=len(e.doc))
+        for b, c in enumerate(np.bincount(e.band, weights=total)):
             if c:
                 costs[b, o] = costs.get((b, o), 0.0) + c
     return costs
@@ -279,36 +335,64 @@ def _survey(percent: int) -> Callable:
     return run
 
 
+#: Factor of the size in ``info``; the rank is counted in twos.
+_SIZE = 1 << 32
+
+
+def _info(size: np.ndarray, rank: np.ndarray, leading: np.ndarray) -> np.ndarray:
+    return size * _SIZE + 2 * rank + ~leading
+
+
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
+    """Whether two rows' sizes leave room for the wanted likeness."""
+    n, m = F.shiftright(a, 32), F.shiftright(b, 32)
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _ranks_fit(a: str, b: str, percent: int) -> Column:
+    """Whether two rows' ranks leave room for it, if they are the first that the sets share."""
+    (n, i), (m, j) = (
+        (F.shiftright(x, 32), F.shiftright(F.col(x).bitwiseAND(F.lit(_SIZE - 1)), 1)) for x in (a, b)
+    )
+    return (100 + percent) * F.least(n - i, m - j) >= percent * (n + m)
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From index rows sorted by signature and class: classes that meet, with the first one as hub."""
+    """From index rows sorted by signature, leading rows first: classes that meet, with the first one as hub.
+
+    ``info`` holds the size of the set, the rank, and whether the row does not
+    lead (``_info``). A hub leads; where no row does, nothing meets.
+    """
     last_sig = last_cls = hub = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, cls = batch.column("sig").to_numpy(), batch.column("cls").to_numpy()
+        sig, cls, info = (batch.column(c).to_numpy() for c in ("sig", "cls", "info"))
         new_sig, new_cls = np.ones(len(sig), dtype=bool), np.ones(len(sig), dtype=bool)
         new_sig[1:], new_cls[1:] = sig[1:] != sig[:-1], cls[1:] != cls[:-1]
         new_sig[0], new_cls[0] = sig[0] != last_sig, cls[0] != last_cls
         begin = np.where(new_sig, np.arange(len(sig)), -1)
         np.maximum.accumulate(begin, out=begin)
-        hubs = np.where(begin < 0, 0 if hub is None else hub, cls[np.maximum(begin, 0)])
-        member = ~new_sig & new_cls
-        yield record(sig=pa.array(sig[member]), hub=pa.array(hubs[member]), cls=pa.array(cls[member]))
-        last_sig, last_cls, hub = int(sig[-1]), int(cls[-1]), int(hubs[-1])
+        carried = hub if hub is not None else (0, 1)
+        hubs = np.where(begin < 0, carried[0], cls[np.maximum(begin, 0)])
+        infos = np.where(begin < 0, carried[1], info[np.maximum(begin, 0)])
+        member = ~new_sig & new_cls & (cls != hubs) & (infos & 1 == 0)
+        yield record(
+            sig=pa.array(sig[member]), hub=pa.array(hubs[member]), hub_info=pa.array(infos[member]),
+            cls=pa.array(cls[member]), info=pa.array(info[member]),
+        )
+        last_sig, last_cls, hub = int(sig[-1]), int(cls[-1]), (int(hubs[-1]), int(infos[-1]))
 
 
 def _compare(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, alike = batch.column("a"), batch.column("b"), []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+            alike = []
+            for x, y in zip(batch.column("value_a"), batch.column("value_b")):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                small, large = sorted((len(x), len(y)))
-                common = 0
-                if 100 * small >= percent * large:
-                    common = len(np.intersect1d(x, y, assume_unique=True))
+                common = len(np.intersect1d(x, y, assume_unique=True))
                 alike.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield record(a=a, b=b, alike=pa.array(alike, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
     return run
 
@@ -352,59 +436,109 @@ def class_links(docs: DataFrame, percent: int = PERCENT, options: tuple[float, .
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, h, first, cls, new in _first_of_class(batches):
             which = np.flatnonzero(new)
-            sig, doc = signatures(*_only(h, first, which), counts, shares, percent)
-            yield record(sig=pa.array(sig, pa.int64()), cls=pa.array(cls[which][doc], pa.int64()))
+            sig, doc, rank, leading = signatures(*_only(h, first, which), counts, shares, percent)
+            info = _info(np.diff(first)[which][doc], rank, leading)
+            yield record(sig=pa.array(sig, pa.int64()), cls=pa.array(cls[which][doc], pa.int64()), info=pa.array(info, pa.int64()))
+
+    rows = docs.mapInArrow(index, "sig long, cls long, info long").repartition("sig")
+    rows = rows.sortWithinPartitions("sig", F.col("info").bitwiseAND(F.lit(1)), "cls")
+    met = stage(rows.mapInArrow(_groups, "sig long, hub long, hub_info long, cls long, info long"), "shingle_groups")
+
+    return members, _links(docs, met, percent)
 
-    rows = docs.mapInArrow(index, "sig long, cls long").repartition("sig").sortWithinPartitions("sig", "cls")
-    met = stage(rows.mapInArrow(_groups, "sig long, hub long, cls long"), "shingle_groups")
 
-    bits = _class_filter(met.select("cls").union(met.select(F.col("hub").alias("cls"))))
+def _class_rows(docs: DataFrame, classes: DataFrame, value: Callable[[np.ndarray], bytes | None]) -> DataFrame:
+    """For the given classes (``cls``): ``n`` and a value made of the set; one row each."""
+    bits = _class_filter(classes)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, h, first, cls, new in _first_of_class(batches):
             bit = cls & (FILTER_BITS - 1)
             which = np.flatnonzero(new & ((bits[bit >> 6] >> (bit & 63)) & 1 == 1))
-            raw = [h[first[i] : first[i + 1]].tobytes() for i in which]
-            yield record(cls=pa.array(cls[which], pa.int64()), set=pa.array(raw, pa.binary()))
+            raw = [value(h[first[i] : first[i + 1]]) for i in which]
+            yield record(cls=pa.array(cls[which]), n=pa.array(np.diff(first)[which]), value=pa.array(raw, pa.binary()))
+
+    return docs.mapInArrow(run, "cls long, n long, value binary").dropDuplicates(["cls"])
+
 
-    compared = stage(docs.mapInArrow(sets, "cls long, set binary").dropDuplicates(["cls"]), "shingle_sets")
-    return members, _links(met, compared, percent)
+def cell_counts(h: np.ndarray) -> bytes | None:
+    """Shingles in each cell; a power of two of cells. Null if a count needs more than a byte."""
+    cells = 1 << max(6, int(len(h) // 2).bit_length())
+    counts = np.bincount(((h >> np.uint64(8)) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else None
 
 
-def _links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def may_be_alike(n_a: int, n_b: int, a: bytes | None, b: bytes | None, percent: int) -> bool:
+    """False if sizes or cell counts show that two sets are not alike."""
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return False
+    if a is None or b is None:
+        return True
+    x, y = (np.frombuffer(c, np.uint8).astype(np.int32) for c in (a, b))
+    cells = min(len(x), len(y))
+    # The cell is the low bits of the hash, so larger tables fold onto smaller ones.
+    x, y = x.reshape(-1, cells).sum(axis=0), y.reshape(-1, cells).sum(axis=0)
+    return int(np.abs(x - y).sum()) <= (n_a + n_b) * (100 - percent) // (100 + percent)
+
+
+def _screen(percent: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = [batch.column(x) for x in ("n_a", "n_b", "value_a", "value_b")]
+            keep = [may_be_alike(na.as_py(), nb.as_py(), x.as_py(), y.as_py(), percent) for na, nb, x, y in zip(*c)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs with ``n`` and ``value`` of both classes."""
+    for side in ("a", "b"):
+        pairs = pairs.join(rows.select(*(F.col(c).alias(d) for c, d in (("cls", side), ("n", f"n_{side}"), ("value", f"value_{side}")))), side)
+    return pairs
+
+
+def _links(docs: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """Links (``a``, ``b``) that connect every component of alike classes."""
+    rows = stage(
+        met.select("sig", "cls", "info").union(met.select("sig", F.col("hub").alias("cls"), F.col("hub_info").alias("info"))).distinct(),
+        "index_rows",
+    )
+    cells = stage(_class_rows(docs, rows.select("cls"), cell_counts), "shingle_cells")
 
     def compare(pairs: DataFrame, k: int) -> DataFrame:
-        both = (
-            pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")), "b")
-        )
-        return stage(both.mapInArrow(_compare(percent), "a long, b long, alike boolean"), f"compared_{k}")
+        passed = stage(_both(pairs, cells).mapInArrow(_screen(percent), "a long, b long"), f"screened_{k}")
+        classes = passed.select(F.explode(F.array("a", "b")).alias("cls"))
+        sets = stage(_class_rows(docs, classes, lambda h: h.tobytes()), "shingle_sets")
+        return stage(_both(passed, sets).mapInArrow(_compare(percent), "a long, b long"), f"links_{k}")
 
     def ordered(a: str, b: str) -> list:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
-    tested = compare(met.select(*ordered("hub", "cls")).distinct(), 0)
-    rows = met.select("sig", "cls").union(met.select("sig", F.col("hub").alias("cls"))).distinct()
+    tested = stage(met.where(_sizes_fit("hub_info", "info", percent)).select(*ordered("hub", "cls")).distinct(), "pairs")
+    links = compare(tested, 0)
     for k in range(1, HUB_ROUNDS + 1):
-        roots = components(tested.where("alike"), "a", "b").select(F.col("node").alias("cls"), "root")
-        rooted = rows.join(roots, "cls", "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
+        roots = components(links, "a", "b").select(F.col("node").alias("cls"), "root")
+        rooted = rows.join(roots, "cls", "left").select("sig", "cls", "info", F.coalesce("root", "cls").alias("root"))
         spread = rooted.groupBy("sig").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias("hub"),
+            F.min("root").alias("low"), F.max("root").alias("high"),
+            F.min_by(F.struct("cls", "info", "root"), F.struct(F.col("info").bitwiseAND(F.lit(1)), F.xxhash64("cls", F.lit(k)))).alias("hub"),
         ).where("low <> high").select("sig", "hub")
         rooted = stage(rooted.join(spread, "sig"), "open_groups")
-        rows = rooted.select("sig", "cls")
+        rows = rooted.select("sig", "cls", "info")
         if k < HUB_ROUNDS:
-            hubs = rooted.where("cls = hub").select("sig", F.col("root").alias("hub_root"))
-            pairs = rooted.join(hubs, "sig").where("root <> hub_root").select(*ordered("hub", "cls"))
+            pairs = rooted.where((F.col("root") != F.col("hub.root")) & _sizes_fit("hub.info", "info", percent)).select(*ordered("hub.cls", "cls"))
         else:
-            other = rooted.select("sig", F.col("cls").alias("b"), F.col("root").alias("root_b"))
-            pairs = rooted.select("sig", F.col("cls").alias("a"), "root").join(other, "sig").where("root <> root_b and a < b").select("a", "b")
+            # Leading rows with the rows of sets that are not smaller.
+            small = rooted.where("info & 1 = 0").select("sig", F.col("cls").alias("c"), F.col("info").alias("i"), F.col("root").alias("r"))
+            larger = (F.shiftright("i", 32) <= F.shiftright("info", 32)) & _sizes_fit("i", "info", percent) & _ranks_fit("i", "info", percent)
+            pairs = small.join(rooted, "sig").where((F.col("root") != F.col("r")) & larger).select(*ordered("c", "cls"))
         pairs = stage(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
             break
-        tested = tested.unionByName(compare(pairs, k))
-    return tested.where("alike").select("a", "b")
+        links = links.unionByName(compare(pairs, k))
+        tested = tested.unionByName(pairs)
+    return links
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
