@@ -23,7 +23,7 @@ _INV = pow(_BASE, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
 
 #: Bytes of text handled by one numpy pass; bounds the memory of a task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +122,14 @@ def windows(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, n
     return at, span_hashes(words, at, at + n)
 
 
+def sort_within(values: np.ndarray, first: np.ndarray) -> None:
+    """Sort each part of an array, in place."""
+    edges = first.tolist()
+    for s, e in zip(edges[:-1], edges[1:]):
+        if e - s > 1:
+            values[s:e].sort()
+
+
 def owner(first: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Document number of each position."""
     return np.searchsorted(first, at, "right") - 1
