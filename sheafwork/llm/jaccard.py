@@ -63,7 +63,7 @@ from pyspark.sql import functions as F
 
 from sheafwork.llm.components import components
 from sheafwork.llm.jobs import record, stage
-from sheafwork.llm.textops import byte_hashes, lower_ascii, mix, owner, span_hashes, text_chunks, windows, word_spans
+from sheafwork.llm.textops import byte_hashes, lower_ascii, mix, sort_within, span_hashes, text_chunks, windows, word_spans
 
 WORDS = 5
 PERCENT = 80
@@ -87,18 +87,17 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     words = byte_hashes(low, starts, ends)
     at, h = windows(words, first, WORDS)
-    doc = owner(first, at)
+    begin = np.searchsorted(at, first)
     counts = np.diff(first)
     short = np.flatnonzero((counts > 0) & (counts < WORDS))
     if len(short):
-        doc = np.append(doc, short)
-        h = np.append(h, span_hashes(words, first[short], first[short + 1]))
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+        h = np.insert(h, begin[short], span_hashes(words, first[short], first[short + 1]))
+        begin = begin + np.searchsorted(short, np.arange(len(begin)))
+    sort_within(h, begin)
     new = np.ones(len(h), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-    doc, h = doc[new], h[new]
-    return h, np.searchsorted(doc, np.arange(len(offsets)))
+    new[1:] = h[1:] != h[:-1]
+    new[begin[:-1][begin[:-1] < len(h)]] = True
+    return h[new], np.append(0, np.cumsum(new))[begin]
 
 
 def _segment_sum(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -148,7 +147,7 @@ def entries(sizes: np.ndarray, percent: int = PERCENT) -> Entries:
     every = n - -(-percent * n // 100) + 1
     # In the next band all partners are larger.
     return Entries(
-        doc, bands, differ, np.maximum(_BOUNDS[bands + 1] // 2, 1),
+        doc, bands, differ, np.clip(_BOUNDS[bands + 1] // 2, 1, 1 << 24),
         np.concatenate([leading, leading[over]]), np.concatenate([every, leading[over]]),
     )
 
@@ -165,18 +164,25 @@ def _elements(h: np.ndarray, first: np.ndarray, e: Entries) -> tuple[np.ndarray,
     return h[index], entry
 
 
+def _bucket(x: np.ndarray) -> np.ndarray:
+    return ((x >> np.uint64(24)) & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)
+
+
+def _order_key(cost: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Place in the cost order: cost (16 bits), then hash (48)."""
+    return np.minimum(cost, 65535).astype(np.uint64) << np.uint64(48) | h >> np.uint64(16)
+
+
 def _first_elements(h: np.ndarray, first: np.ndarray, e: Entries, counts: np.ndarray):
-    """The elements to index by one-element subsets: element, entry, cost, rank in the order."""
+    """The elements to index by one-element subsets: order key, entry, cost, rank in the order."""
     x, entry = _elements(h, first, e)
-    cost = counts[(x & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)]
-    # One number for entry, cost and hash; elements come sorted, so that ties keep one order.
-    key = entry.astype(np.uint64) << np.uint64(44) | np.minimum(cost, 65535).astype(np.uint64) << np.uint64(28) | x >> np.uint64(36)
-    order = np.argsort(key, kind="stable")
-    entry = entry[order]
-    rank = np.arange(len(order)) - np.searchsorted(entry, np.arange(len(e.doc)))[entry]
+    key = _order_key(counts[_bucket(x)], x)
+    begin = np.searchsorted(entry, np.arange(len(e.doc) + 1))
+    sort_within(key, begin)
+    rank = np.arange(len(key)) - begin[entry]
     kept = rank < e.all[entry]
-    order = order[kept]
-    return x[order], entry[kept], cost[order], rank[kept]
+    key = key[kept]
+    return key, entry[kept], (key >> np.uint64(48)).astype(np.int64), rank[kept]
 
 
 @dataclass(frozen=True)
@@ -196,20 +202,19 @@ def fill(h: np.ndarray, first: np.ndarray, e: Entries, counts: np.ndarray) -> Fi
     x, entry = _elements(h, first, e)
     place = mix(x ^ mix(e.band.astype(np.uint64) + np.uint64(1000))[entry])
     segment = ((place >> np.uint64(32)) % e.segments[entry].astype(np.uint64)).astype(np.int64)
-    # A set fills at most as many segments as it has elements: number them by sorting.
-    key = entry * np.int64(1 << 40) + segment
-    order = np.argsort(key)
-    key, x, entry = key[order], x[order], entry[order]
+    # Sorted by segment in each entry; 40 bits of the hash stand for the element.
+    key = segment.astype(np.uint64) << np.uint64(40) | x >> np.uint64(24)
+    sort_within(key, np.searchsorted(entry, np.arange(len(e.doc) + 1)))
+    segment, x = (key >> np.uint64(40)).astype(np.int64), key & np.uint64((1 << 40) - 1)
     new = np.ones(len(key), dtype=bool)
-    new[1:] = key[1:] != key[:-1]
+    new[1:] = (segment[1:] != segment[:-1]) | (entry[1:] != entry[:-1])
     begin = np.flatnonzero(new)
-    slot = np.cumsum(new) - 1
     element = mix(x + np.uint64(12345))
     edges = np.append(begin, len(key))
     cost = counts[(x & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)]
     return Filled(
-        entry[begin], key[begin] & ((1 << 40) - 1), np.diff(edges), _segment_sum(element, edges),
-        np.minimum.reduceat(cost, begin) if len(begin) else cost[:0], slot, element,
+        entry[begin], segment[begin], np.diff(edges), _segment_sum(element, edges),
+        np.minimum.reduceat(cost, begin) if len(begin) else cost[:0], np.cumsum(new) - 1, element,
     )
 
 
@@ -221,11 +226,15 @@ def _spent(f: Filled, second: np.ndarray, n_entries: int) -> np.ndarray:
 def _cheapest(f: Filled, sig: np.ndarray, use: np.ndarray, need: np.ndarray) -> np.ndarray:
     """The segments among ``use`` that are the first ``need`` of their entry in the cost order."""
     which = np.flatnonzero(use)
-    order = which[np.lexsort((sig[which], f.cost[which], f.entry[which]))]
-    entry = f.entry[order]
-    begin = np.searchsorted(entry, np.arange(len(need)))
-    rank = np.arange(len(order)) - begin[entry]
-    return order[rank < need[entry]]
+    entry = f.entry[which]
+    key = _order_key(f.cost[which], sig[which])
+    begin = np.searchsorted(entry, np.arange(len(need) + 1))
+    ordered = key.copy()
+    sort_within(ordered, begin)
+    count = np.diff(begin)
+    last = begin[:-1] + np.clip(need, 1, np.maximum(count, 1)) - 1
+    limit = ordered[np.minimum(last, max(len(key) - 1, 0))] if len(key) else np.zeros(len(need), np.uint64)
+    return which[(key <= limit[entry]) & (need[entry] > 0)]
 
 
 def signatures(h: np.ndarray, first: np.ndarray, counts: np.ndarray, shares: np.ndarray, percent: int = PERCENT):
@@ -233,8 +242,8 @@ def signatures(h: np.ndarray, first: np.ndarray, counts: np.ndarray, shares: np.
     every = entries(np.diff(first), percent)
     by_subset = shares[every.band] == SUBSETS
     e = _take(every, by_subset)
-    x, entry, _, rank = _first_elements(h, first, e, counts)
-    out = [mix(x ^ mix(e.band.astype(np.uint64) + np.uint64(9000))[entry])]
+    key, entry, _, rank = _first_elements(h, first, e, counts)
+    out = [mix(key ^ mix(e.band.astype(np.uint64) + np.uint64(9000))[entry])]
     doc, ranks, lead = [e.doc[entry]], [rank], [rank < e.leading[entry]]
     e = _take(every, ~by_subset)
     if len(e.doc):
@@ -254,7 +263,7 @@ def signatures(h: np.ndarray, first: np.ndarray, counts: np.ndarray, shares: np.
         got = np.bincount(f.entry[kept], minlength=len(e.doc))
         for i in np.flatnonzero(got < need):
             own = h[first[e.doc[i]] : first[e.doc[i] + 1]]
-            cost = counts[(own & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)]
+            cost = counts[_bucket(own)]
             single = own[np.lexsort((own, cost))[: e.differ[i] + 1]]
             out.append(mix(single ^ mix(np.uint64([e.band[i] + 5000]))))
             doc.append(np.full(len(single), e.doc[i]))
@@ -320,7 +329,7 @@ def _survey(percent: int) -> Callable:
                 cls=pa.array(cls, pa.int64(), mask=sizes == 0), value=pa.nulls(n, pa.float64()),
             )
             x, f = _only(h, first, np.flatnonzero(new))
-            counts += np.bincount((x & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64), minlength=COUNT_BUCKETS)
+            counts += np.bincount(_bucket(x), minlength=COUNT_BUCKETS)
             # Costs by the counts of this task so far: an estimate that only steers the choice.
             for k, c in _option_costs(x, f, counts, percent).items():
                 costs[k] = costs.get(k, 0.0) + c
