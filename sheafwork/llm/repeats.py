@@ -259,13 +259,15 @@ def _bitmap(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _filtered(docs: DataFrame, bits: np.ndarray, inside: bool) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = batch.column("_hash").to_numpy() & (FILTER_BITS - 1)
-            yield batch.filter(pa.array(((bits[bit >> 6] >> (bit & 63)) & 1 == 1) == inside))
+def _picked(batches: Iterator[pa.RecordBatch], bits: np.ndarray, inside: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bit = batch.column("_hash").to_numpy() & (FILTER_BITS - 1)
+        yield batch.filter(pa.array(((bits[bit >> 6] >> (bit & 63)) & 1 == 1) == inside))
+
 
-    return docs.mapInArrow(run, docs.schema)
+def _filtered(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Documents that may be among those of the bitmap."""
+    return docs.mapInArrow(lambda batches: _picked(batches, bits, True), docs.schema)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +308,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     probes = stage(keyed.mapInArrow(_probe_runs(hash_bits(positions), bucket), _RUN_SCHEMA), "probe_runs")
     hits = _decide(probes, _hits, True, "anchor_hits")
 
-    near = _filtered(keyed, _bitmap(hits), True).select(
+    near = _filtered(keyed, _bitmap(hits)).select(
         "_id", F.col("_id").isNull().cast("long").alias("_null"), "_hash", F.lit(None).cast("binary").alias("_places"), "_text"
     )
     marks = hits.select(
@@ -320,11 +322,12 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = _decide(full, _later, False, "repeats")
 
     bits = _bitmap(gone)
-    plain = _filtered(keyed, bits, False).withColumn("_places", F.lit(None).cast("binary"))
+    schema = "_id long, _text string, n_words long, n_removed long"
+    # Documents that surely lose nothing: picked and cut in one Python worker.
+    unmarked = keyed.withColumn("_places", F.lit(None).cast("binary"))
+    plain = unmarked.mapInArrow(lambda batches: _cut(_picked(batches, bits, False)), schema)
     marked = gone.select(F.when(F.col("_null") == 0, F.col("_id")).alias("_i"), F.col("_hash").alias("_h"), "_places")
-    cut = _filtered(keyed, bits, True)
+    cut = _filtered(keyed, bits)
     cut = cut.join(marked, cut["_id"].eqNullSafe(marked["_i"]) & (cut["_hash"] == marked["_h"]), "left").drop("_i", "_h")
-    kept = plain.mapInArrow(_cut, "_id long, _text string, n_words long, n_removed long").unionByName(
-        cut.select(*plain.columns).mapInArrow(_cut, "_id long, _text string, n_words long, n_removed long")
-    )
+    kept = plain.unionByName(cut.select(*unmarked.columns).mapInArrow(_cut, schema))
     return kept.select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), "n_words", "n_removed")

@@ -16,7 +16,7 @@ import numpy as np
 #: Positions of a run; small enough for a worker.
 RUN_POSITIONS = 1 << 20
 #: Entries a bucket should hold.
-BUCKET_ENTRIES = 2_000_000
+BUCKET_ENTRIES = 500_000
 LEAST_BUCKET_BITS = 6
 
 
