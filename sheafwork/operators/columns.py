@@ -42,14 +42,15 @@ def try_cast_columns(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in targets.items()})
 
 
-def bands(value: Column, edges: Sequence[tuple[float, str]], otherwise: str) -> Column:
+def bands(value: Column, edges: Sequence[tuple[float, str]], otherwise: str, inclusive: bool = False) -> Column:
     """PRJ-06: label by the first upper edge that ``value`` stays below.
 
-    A null value has no band.
+    With ``inclusive`` an edge belongs to the band below it. A null value has no
+    band.
     """
     chain = F.when(value.isNull(), F.lit(None))
     for edge, label in edges:
-        chain = chain.when(value < edge, label)
+        chain = chain.when(value <= edge if inclusive else value < edge, label)
     return chain.otherwise(otherwise)
 
 

@@ -42,6 +42,6 @@ def run_steps(spark: SparkSession, steps: Sequence[Step]) -> DataFrame:
             try:
                 n_rows, status = step.job(), "done"
             except Exception as e:  # the run report carries the failure
-                status, message, failed = "failed", f"{type(e).__name__}: {e}"[:500], True
+                status, message, failed = "failed", f"{type(e).__name__}: {e}", True
         rows.append((position, step.name, status, n_rows, message, started, dt.datetime.now(dt.timezone.utc)))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
