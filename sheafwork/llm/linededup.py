@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sheafwork.llm.jobs import record
-from sheafwork.workspace import fresh
+from sheafwork.workspace import fresh, stage
 
 MIN_DOCS = 10
 FAN_IN = 3
@@ -100,6 +100,8 @@ class LineRuns:
         schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
         if known is None:
             known = self.spark.createDataFrame([], "_key binary")
+        # Written first: Spark then knows its size, and can split the lines of a very common key.
+        known = stage(known, "known_lines")
         drop = (
             line_keys(docs, id_col, text_col).join(known, "_key")
             .groupBy("_id").agg(F.collect_set("_key").alias("_drop"))
