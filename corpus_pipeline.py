@@ -4,7 +4,7 @@
 predecessor kept and returns a DataFrame with the columns of documents, the
 last one the pieces of the packed sequences.
 
-1. language ID: documents without a language (``und``) or below ``MIN_SCORE`` go.
+1. language ID: documents without a language (``und``) go.
 2. line dedup: lines that ten documents hold go from all of them.
 3. near duplicates: one document of each component of five-word shingle sets
    with a likeness of 0.8 stays.
@@ -21,16 +21,13 @@ from sheafwork.llm import jaccard, langid, linededup, mixing, packing
 from sheafwork.llm.jobs import documents, prepare, stage
 from sheafwork.llm.queries import REPETITION, WORD_END_ID, held_out, tokenizer_path
 
-#: Least probability of the predicted language.
-MIN_SCORE = 0.35
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language. Learns from the rows that are not held out."""
     prepare(spark)
     model = langid.fit(docs, F.coalesce(~held_out(), F.lit(False)))
     found = langid.predict(docs, model, lang_out="_lang_pred", score_out="_lang_score")
-    return found.where((F.col("_lang_pred") != "und") & (F.col("_lang_score") >= MIN_SCORE)).select(*docs.columns)
+    return found.where(F.col("_lang_pred") != "und").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
