@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_BYTES = 32 << 20
+
+
 def lookup_join(
     fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left", max_rows: int = 100_000
 ) -> DataFrame:
-    """JON-10: broadcast ``dim`` after checking that it is small.
+    """JON-10: broadcast ``dim`` after checking that it is small, in rows and in bytes.
 
     The check reads at most ``max_rows`` + 1 rows of ``dim``. A larger dimension
     is left to the ordinary shuffle join.
@@ -21,8 +24,10 @@ def lookup_join(
 
 
 def _small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows and ``BROADCAST_BYTES`` as text."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= BROADCAST_BYTES else df
 
 
 def hinted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, strategy: str) -> DataFrame:

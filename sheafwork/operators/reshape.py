@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafwork.operators.skew import ROWS_PER_TASK, split_hot
+from sheafwork.operators.skew import ROWS_PER_TASK
+from sheafwork.operators.windows import ranked
 
 
 def wide_sums(
@@ -39,12 +40,13 @@ def collect_chunks(
 ) -> DataFrame:
     """AGG-10: rows to sorted arrays, one array per key and chunk.
 
-    ``chunk`` is 0 unless a key has more than ``limit`` rows; such a key is cut
-    into several arrays so that no single row has to hold an unbounded group.
+    The sorted items of a key are cut into chunks of ``limit`` items, numbered
+    from 0: chunks joined in order are the sorted list. No row has to hold an
+    unbounded group. ``spread_by`` orders equal items.
     """
-    parts = split_hot(df.withColumn("_item", item), keys, spread_by, limit)
+    placed = ranked(df.withColumn("_item", item), keys, "_item", spread_by)
     return (
-        parts.groupBy(*keys, F.col("_part").alias("chunk"))
+        placed.groupBy(*keys, F.floor((F.col("row_number") - 1) / F.lit(limit)).alias("chunk"))
         .agg(F.array_sort(F.collect_list("_item")).alias("items"))
     )
 

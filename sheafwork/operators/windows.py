@@ -216,7 +216,8 @@ class OrderedSlices:
         )
 
     def running_sum(self, column: str, name: str) -> DataFrame:
-        """WIN-08: cumulative sum in order, rows frame."""
+        """WIN-08: cumulative sum in order, rows frame; of the type that a plain sum has."""
+        kind = self.staged.agg(F.sum(column).alias("_s")).schema["_s"].dataType
         per = self.staged.groupBy("_slice", *self.keys).agg(F.sum(column).alias("_s"))
         offsets = (
             per.withColumns(
@@ -227,7 +228,7 @@ class OrderedSlices:
         )
         local = F.sum(column).over(self._local().rowsBetween(Window.unboundedPreceding, 0))
         total = F.when(local.isNull(), F.col("_prior")).otherwise(local + F.coalesce(F.col("_prior"), F.lit(0)))
-        return self._attach(offsets).withColumn(name, total).drop("_slice", "_prior")
+        return self._attach(offsets).withColumn(name, total.cast(kind)).drop("_slice", "_prior")
 
     def neighbours(self, column: str, lag_name: str, lead_name: str) -> DataFrame:
         """WIN-06/07: value of the preceding and following row."""

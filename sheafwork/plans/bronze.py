@@ -30,15 +30,19 @@ def load_cubes(
     dims: Sequence[str],
     source_name: str,
     target: DataFrame | None,
-    known_hashes: DataFrame | None = None,
     pattern: str = "*.json",
 ) -> DataFrame:
-    """Long rows of all new cube files.
+    """Long rows of all new cube files, each with the ``content_hash`` of its file.
 
-    A file is new when neither its path nor its content was loaded before; files
-    with equal content under several names count once.
+    A file is new when neither its path nor its content is in ``target``; files
+    with equal content under several names count once. Broken documents are
+    left to ``broken_cubes``.
     """
-    cubes = not_loaded(cube.read_cubes(spark, landing, pattern), target)
-    fresh = new_content(canonical_cube_hash(cubes), known_hashes, "source_file", "modified_at")
-    rows = cube.decode(cubes.join(fresh.select("source_file"), "source_file", "left_semi"), dims)
-    return _with_metadata(rows, source_name)
+    cubes, _ = cube.split_documents(not_loaded(cube.read_cubes(spark, landing, pattern), target))
+    fresh = new_content(canonical_cube_hash(cubes), target, "source_file", "modified_at")
+    return _with_metadata(cube.decode(cubes.join(fresh, "source_file"), dims, ["content_hash"]), source_name)
+
+
+def broken_cubes(spark: SparkSession, landing: str, pattern: str = "*.json") -> DataFrame:
+    """Dead letters: text, path and time of every landed document that is not a whole cube."""
+    return cube.split_documents(cube.read_cubes(spark, landing, pattern))[1]

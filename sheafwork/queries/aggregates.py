@@ -19,11 +19,11 @@ SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_quantity AS DE
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS sum_disc_price,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_qty,
        min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price
-FROM lineitem WHERE l_shipdate <= TIMESTAMP '2000-09-02' GROUP BY 1, 2""")
+FROM lineitem GROUP BY 1, 2""")
 def agg_multi(spark, sf):
     price, qty = money("l_extendedprice"), money("l_quantity")
     return (
-        table(spark, sf, "lineitem").filter(F.col("l_shipdate") <= F.lit("2000-09-02").cast("timestamp_ntz"))
+        table(spark, sf, "lineitem")
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -189,23 +189,27 @@ def pivot_multi(spark, sf):
 
 
 @query("pivot_zero_fill", "AGG-16", """
-SELECT user_id, count(*) FILTER (event_type = 'purchase') AS purchase, count(*) FILTER (event_type = 'error') AS error,
-       count(*) FILTER (event_type = 'refund') AS refund FROM events GROUP BY 1""")
+SELECT user_id, count(*) FILTER (event_type = 'view') AS "view", count(*) FILTER (event_type = 'click') AS click,
+       count(*) FILTER (event_type = 'signup') AS signup, count(*) FILTER (event_type = 'purchase') AS purchase,
+       count(*) FILTER (event_type = 'error') AS error FROM events GROUP BY 1""")
 def pivot_zero_fill(spark, sf):
     wide = reshape.pivot(
-        table(spark, sf, "events"), ["user_id"], "event_type", ["purchase", "error", "refund"], [F.count(F.lit(1))]
+        table(spark, sf, "events"), ["user_id"], "event_type", ["view", "click", "signup", "purchase", "error"], [F.count(F.lit(1))]
     )
     return wide.na.fill(0)
 
 
 @query("pivot_sql", "AGG-17", """
-SELECT c_nationkey::BIGINT AS nationkey, count(*) FILTER (c_mktsegment = 'BUILDING') AS building,
-       count(*) FILTER (c_mktsegment = 'MACHINERY') AS machinery FROM customer GROUP BY 1""")
+SELECT c_nationkey::BIGINT AS nationkey, count(*) FILTER (c_mktsegment = 'AUTOMOBILE') AS automobile,
+       count(*) FILTER (c_mktsegment = 'BUILDING') AS building, count(*) FILTER (c_mktsegment = 'FURNITURE') AS furniture,
+       count(*) FILTER (c_mktsegment = 'HOUSEHOLD') AS household, count(*) FILTER (c_mktsegment = 'MACHINERY') AS machinery FROM customer GROUP BY 1""")
 def pivot_sql(spark, sf):
     return spark.sql(
-        """SELECT CAST(nationkey AS BIGINT) AS nationkey, coalesce(building, 0) AS building, coalesce(machinery, 0) AS machinery
+        """SELECT CAST(nationkey AS BIGINT) AS nationkey, coalesce(automobile, 0) AS automobile, coalesce(building, 0) AS building,
+                  coalesce(furniture, 0) AS furniture, coalesce(household, 0) AS household, coalesce(machinery, 0) AS machinery
            FROM (SELECT c_nationkey AS nationkey, c_mktsegment FROM {customer})
-           PIVOT (count(*) FOR c_mktsegment IN ('BUILDING' AS building, 'MACHINERY' AS machinery))""",
+           PIVOT (count(*) FOR c_mktsegment IN ('AUTOMOBILE' AS automobile, 'BUILDING' AS building, 'FURNITURE' AS furniture,
+                                                'HOUSEHOLD' AS household, 'MACHINERY' AS machinery))""",
         customer=table(spark, sf, "customer"),
     )
 

@@ -363,10 +363,11 @@ def panel_profile(spark, sf):
 
 
 @query("densified_panel", "JON-05 SRT-05", f"""WITH {LONG},
-grid AS (SELECT geo, y.year FROM (SELECT DISTINCT geo FROM long) g, (SELECT CAST(unnest(range(1995, 2004)) AS BIGINT) AS year) y)
+grid AS (SELECT geo, y.year FROM (SELECT DISTINCT geo FROM long WHERE code = 'TOTAL') g, (SELECT CAST(unnest(range(a, z + 1)) AS BIGINT) AS year FROM (SELECT min(year) AS a, max(year) AS z FROM long WHERE code = 'TOTAL')) y)
 SELECT grid.geo AS country_code, grid.year, CAST(long.value AS DOUBLE) AS total
 FROM grid LEFT JOIN long ON long.geo = grid.geo AND long.year = grid.year AND long.code = 'TOTAL'""")
 def densified_panel(spark, sf):
     totals = long_panel(spark, sf).filter(F.col("fuel_type_code") == "TOTAL")
     flat = totals.select("country_code", "year", F.col("value").alias("total"))
-    return _plain(joins.densify(flat, ["country_code"], "year", 1995, 2003))
+    first, last = flat.agg(F.min("year"), F.max("year")).first()
+    return _plain(joins.densify(flat, ["country_code"], "year", first, last))

@@ -98,11 +98,11 @@ def pandas_group_agg(spark, sf):
 
 
 @query("pandas_merge", "JON-18 SRC-15", """
-SELECT n_name AS nation, r_name AS region FROM nation LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') ON n_regionkey = r_regionkey""")
+SELECT n_name AS nation, r_name AS region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey + 1""")
 def pandas_merge(spark, sf):
     _pandas_defaults()
     nations = table(spark, sf, "nation").select("n_name", F.col("n_regionkey").alias("key")).pandas_api()
-    regions = table(spark, sf, "region").filter(F.col("r_name") != "ASIA").select(F.col("r_regionkey").alias("key"), "r_name").pandas_api()
+    regions = table(spark, sf, "region").select((F.col("r_regionkey") + 1).alias("key"), "r_name").pandas_api()
     merged = nations.merge(regions, on="key", how="left")[["n_name", "r_name"]]
     return merged.rename(columns={"n_name": "nation", "r_name": "region"}).to_spark()
 

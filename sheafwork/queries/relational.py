@@ -223,31 +223,27 @@ def dedup_first(spark, sf):
 
 # --- joins ---------------------------------------------------------------------
 
-_OPEN = "o_totalprice > 450000"
+# Customer keys are shifted, so that both sides have rows without a match.
+_SHIFTED = "(SELECT c_custkey + 100 AS custkey, c_name, c_nationkey::BIGINT AS c_nationkey FROM customer)"
 
 
 def _customers(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_nationkey")
+    return table(spark, sf, "customer").select(
+        (F.col("c_custkey") + 100).alias("custkey"), "c_name", big("c_nationkey").alias("c_nationkey")
+    )
 
 
-def _large_orders(spark, sf):
-    return (
-        table(spark, sf, "orders").filter(_OPEN)
-        .select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
-    )
+def _orders_of(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
 
 
 def _join_sql(kind):
-    return f"""SELECT coalesce(c_custkey, o_custkey) AS custkey, c_name, o_orderkey, o_totalprice
-    FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c {kind} JOIN (SELECT * FROM orders WHERE {_OPEN}) o
-    ON c_custkey = o_custkey"""
+    return f"""SELECT coalesce(custkey, o_custkey) AS custkey, c_name, o_orderkey, o_totalprice
+    FROM {_SHIFTED} c {kind} JOIN orders ON custkey = o_custkey"""
 
 
 def _joined(spark, sf, how):
-    customers = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "BUILDING").select(
-        F.col("c_custkey").alias("custkey"), "c_name"
-    )
-    return customers.join(_large_orders(spark, sf), "custkey", how)
+    return _customers(spark, sf).drop("c_nationkey").join(_orders_of(spark, sf), "custkey", how)
 
 
 @query("join_inner", "JON-01", _join_sql("INNER"))
@@ -270,18 +266,14 @@ def join_full(spark, sf):
     return _joined(spark, sf, "full")
 
 
-@query("join_semi", "JON-06", f"""SELECT c_custkey AS custkey, c_name, c_nationkey::BIGINT AS c_nationkey FROM customer
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {_OPEN})""")
+@query("join_semi", "JON-06", f"SELECT * FROM {_SHIFTED} c WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c.custkey)")
 def join_semi(spark, sf):
-    customers = _customers(spark, sf).withColumn("c_nationkey", big("c_nationkey"))
-    return customers.join(_large_orders(spark, sf), "custkey", "left_semi")
+    return _customers(spark, sf).join(_orders_of(spark, sf), "custkey", "left_semi")
 
 
-@query("join_anti", "JON-07", f"""SELECT c_custkey AS custkey, c_name, c_nationkey::BIGINT AS c_nationkey FROM customer
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {_OPEN})""")
+@query("join_anti", "JON-07", f"SELECT * FROM {_SHIFTED} c WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c.custkey)")
 def join_anti(spark, sf):
-    customers = _customers(spark, sf).withColumn("c_nationkey", big("c_nationkey"))
-    return customers.join(_large_orders(spark, sf), "custkey", "left_anti")
+    return _customers(spark, sf).join(_orders_of(spark, sf), "custkey", "left_anti")
 
 
 @query("join_multi_key", "JON-08", """

@@ -3,8 +3,7 @@
 A cube document lists its dimensions (``id``), their sizes (``size``), a sparse
 map from flat row-major index to number (``value``) and, per dimension, the
 position of every label. Only cells that are present get touched: they are
-exploded, spread over the cluster, and their index is taken apart by the strides
-of the dimensions.
+exploded, and their index is taken apart by the strides of the dimensions.
 """
 
 from __future__ import annotations
@@ -16,26 +15,35 @@ from pyspark.sql import functions as F
 
 SCHEMA = (
     "id array<string>, size array<bigint>, value map<string,double>, "
-    "dimension map<string,struct<category:struct<index:map<string,bigint>>>>"
+    "dimension map<string,struct<category:struct<index:map<string,bigint>>>>, _corrupt string"
 )
 
 
 def read_cubes(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """One row per cube file, parsed, with its path and modification time."""
+    """One row per cube file, parsed, with its text, path and modification time."""
     return (
         spark.read.option("wholetext", True)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .text(path)
         .select(
-            F.from_json("value", SCHEMA).alias("c"),
+            F.from_json("value", SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"}).alias("c"),
+            F.col("value").alias("document"),
             F.col("_metadata.file_path").alias("source_file"),
             F.col("_metadata.file_modification_time").alias("modified_at"),
         )
-        .select("c.*", "source_file", "modified_at")
+        .select("c.*", "document", "source_file", "modified_at")
     )
 
 
+def split_documents(cubes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Whole documents, and a dead letter (text, path, time) for each broken one."""
+    broken = F.col("_corrupt").isNotNull()
+    for part in ("id", "size", "value", "dimension"):
+        broken = broken | F.col(part).isNull()
+    return cubes.filter(~broken).drop("_corrupt", "document"), cubes.filter(broken).select("document", "source_file", "modified_at")
+
+
 def _strides(size: Column) -> Column:
     """Row-major strides: the product of the sizes to the right of each dimension."""
     one = F.lit(1).cast("bigint")
@@ -54,8 +62,8 @@ def _labels(dim: str) -> Column:
     return F.transform(by_position, lambda e: e["label"])
 
 
-def decode(cubes: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """One row per present, non-null cell: a column per dimension and ``value``.
+def decode(cubes: DataFrame, dims: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row per present, non-null cell: a column per dimension, ``value``, the path and columns to ``keep``.
 
     Strides and label arrays are worked out once per document; every cell then
     picks its labels by position. No join and no shuffle: documents decode in
@@ -64,6 +72,7 @@ def decode(cubes: DataFrame, dims: Sequence[str]) -> DataFrame:
     at = {d: F.array_position("id", d).cast("int") for d in dims}
     ready = cubes.withColumn("stride", _strides(F.col("size"))).select(
         "source_file",
+        *keep,
         "value",
         *[F.element_at("stride", at[d]).alias(f"_stride_{d}") for d in dims],
         *[F.element_at("size", at[d]).alias(f"_size_{d}") for d in dims],
@@ -76,7 +85,7 @@ def decode(cubes: DataFrame, dims: Sequence[str]) -> DataFrame:
         position = F.floor(cell / F.col(f"_stride_{d}")) % F.col(f"_size_{d}")
         return F.get(F.col(f"_labels_{d}"), position.cast("int"))
 
-    return cells.select(*[label(d).alias(d) for d in dims], F.col("_number").alias("value"), "source_file")
+    return cells.select(*[label(d).alias(d) for d in dims], F.col("_number").alias("value"), "source_file", *keep)
 
 
 def encode(panel: DataFrame, dims: Sequence[str], value: str, part: Column) -> DataFrame:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-
-
-MAX_NEW_COLUMNS = 1000
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 
 def file_stream(
@@ -85,38 +83,84 @@ def each_batch(
     return stream.writeStream.outputMode(mode).foreachBatch(work)
 
 
+def feed_of(batch: DataFrame) -> str:
+    """Id of the checkpoint a micro-batch belongs to: the same after a restart, another for every other stream."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """STR-13: a foreachBatch job that stores the batch under its ``_batch_id``.
+    """STR-13: a foreachBatch job that stores the batch under its ``_feed`` and ``_batch_id``.
 
     A batch that is run again after a failure overwrites its own partition, so
-    the rows are there once.
+    the rows are there once. Streams with checkpoints of their own do not
+    overwrite each other.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
+            batch.withColumns({"_feed": F.lit(feed_of(batch)), "_batch_id": F.lit(batch_id).cast("bigint")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_batch_id")
+            .partitionBy("_feed", "_batch_id")
             .parquet(path)
         )
 
     return write
 
 
+def stored_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of ``batch_writer`` with the columns of all batches."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def latest_state(updates: DataFrame, keys: list[str]) -> DataFrame:
-    """STR-15: current value per key from the batches of an update-mode query."""
-    values = [c for c in updates.columns if c not in keys and c != "_batch_id"]
+    """STR-15: current value per key from the batches of one update-mode query."""
+    values = [c for c in updates.columns if c not in keys and c not in ("_feed", "_batch_id")]
     newest = F.max_by(F.struct(*values), F.col("_batch_id")).alias("_v")
     return updates.groupBy(*keys).agg(newest).select(*keys, "_v.*")
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """STR-17: one row per finished micro-batch with its input and dropped rows."""
-    rows = []
-    for p in query.recentProgress:
+class BatchLog(StreamingQueryListener):
+    """Input and dropped rows of every micro-batch of a session's streams, however many there are."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, list[tuple[int, int, int]]] = {}
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
         dropped = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
-        rows.append((p.batchId, p.numInputRows, dropped))
+        self.rows.setdefault(str(p.runId), []).append((p.batchId, p.numInputRows, dropped))
+
+    def onQueryTerminated(self, event) -> None:
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+    def of(self, query: StreamingQuery, seconds: float = 60) -> list[tuple[int, int, int]]:
+        """Rows of an ended query; its end is reported after all its batches."""
+        run = str(query.runId)
+        with self._news:
+            if not self._news.wait_for(lambda: run in self._ended, seconds):
+                raise TimeoutError(f"no end reported for stream {run}")
+        return self.rows.get(run, [])
+
+
+def drain_logged(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> DataFrame:
+    """STR-17: ``drain``, returning one row per micro-batch with its input and dropped rows."""
+    log = BatchLog()
+    spark.streams.addListener(log)
+    try:
+        rows = log.of(drain(writer, checkpoint))
+    finally:
+        spark.streams.removeListener(log)
     return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, dropped_rows bigint")
 
 
@@ -140,11 +184,9 @@ def check_columns(batch: DataFrame, text: str, schema: T.StructType, policy: str
         return rows.select(*kept)
     if policy == "rescue":
         return rows.select(*kept, F.when(F.size("_extra") > 0, F.to_json("_extra")).alias("_rescued"))
-    # Field names are schema, not data; more than ``MAX_NEW_COLUMNS`` is an error.
+    # Field names are schema, not data: each becomes a column of the batch.
     found = rows.select(F.explode(F.map_keys("_extra")).alias("name")).distinct().orderBy("name")
-    names = [r[0] for r in found.limit(MAX_NEW_COLUMNS + 1).collect()]
-    if len(names) > MAX_NEW_COLUMNS:
-        raise ValueError(f"more than {MAX_NEW_COLUMNS} new columns")
+    names = [r[0] for r in found.collect()]
     if policy == "failOnNewColumns":
         if names:
             raise ValueError(f"new columns: {names}")

@@ -43,20 +43,20 @@ class Medallion:
         on: str,
         derived: Mapping[str, Column],
         late: str,
-        many_copies: bool = False,
         parts: int = 1,
     ) -> None:
-        """STR-11/12/14: valid, unique and enriched rows.
+        """STR-11/12/14: valid, unique and enriched rows; rejected ones go to ``quarantine`` with their reasons.
 
         The duplicate check keeps state across batches; a check inside each
-        batch would let a copy in a later batch through. ``many_copies`` and
-        ``parts`` spread keys that hold much of the stream.
+        batch would let a copy in a later batch through. ``parts`` spreads
+        static keys that hold much of the stream.
         """
-        stored = T.StructType([*schema.fields, T.StructField("_batch_id", T.LongType())])
+        stored = T.StructType([*schema.fields, T.StructField("_feed", T.StringType()), T.StructField("_batch_id", T.LongType())])
         stream = io.event_time(io.file_stream(self.spark, self.path("bronze"), stored), at)
-        valid, _ = split_rows(stream, rules)
-        unique = unique_events(valid, at, key, late, many_copies)
-        enriched = enrich(unique, static, on, "left", key, parts).withColumns(dict(derived)).drop("_batch_id")
+        valid, rejected = split_rows(stream, rules)
+        io.drain(io.to_files(rejected.drop("_feed", "_batch_id"), self.path("quarantine")), self._checkpoint("quarantine"))
+        unique = unique_events(valid, at, key, late)
+        enriched = enrich(unique, static, on, "left", key, parts).withColumns(dict(derived)).drop("_feed", "_batch_id")
         io.drain(io.to_files(enriched, self.path("silver")), self._checkpoint("silver"))
 
     def gold(self, schema: T.StructType, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
@@ -74,12 +74,14 @@ def upsert_stream(
 
     ``newest`` names the columns that order the rows of a key. Within a batch the
     newest row counts; when the table has these columns too, a row that arrives
-    after a newer one is left out. The version a batch writes is tied to its id,
-    so a batch that runs again is recognised.
+    after a newer one is left out. The version a batch writes is tied to the
+    stream's checkpoint and the batch id, so a batch that runs again is
+    recognised, and a second stream is not taken for it.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        done = table.history().filter(F.col("operation") == f"STREAM {batch_id}")
+        name = f"STREAM {io.feed_of(batch)} {batch_id}"
+        done = table.history().filter(F.col("operation") == name)
         if not done.isEmpty() or batch.isEmpty():
             return
         target = table.read()
@@ -88,6 +90,6 @@ def upsert_stream(
             held = target.select(*keys, F.struct(*newest).alias("_held"))
             current = F.col("_held").isNull() | (F.struct(*newest) >= F.col("_held"))
             rows = rows.join(held, list(keys), "left").filter(current).drop("_held")
-        table.commit(upsert(target, rows, keys), f"STREAM {batch_id}")
+        table.commit(upsert(target, rows, keys), name)
 
     io.drain(io.each_batch(stream, merge), checkpoint)

@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafwork.session import is_local
-
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one in local mode only."""
-    folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not is_local(spark):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="run-")
-    return _local_roots[app]
+    """The shared folder the cluster names; where it names none, a folder in its warehouse."""
+    folder = spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+    return folder.rstrip("/")
 
 
 def fresh(spark: SparkSession, name: str) -> str:

@@ -87,6 +87,14 @@ def test_running_sum_split(data):
     assert rows(native, "id", "total") == rows(split, "id", "total")
 
 
+def test_running_sum_has_one_type(data):
+    exact = data[0].withColumn("x", F.col("x").cast("decimal(18,2)"))
+    native = windows.running_sum(exact, ["k"], "v", ["id"], "x", "total")
+    split = windows.running_sum(exact, ["k"], "v", ["id"], "x", "total", limit=20)
+    assert native.schema["total"].dataType == split.schema["total"].dataType
+    assert rows(native, "id", "total") == rows(split, "id", "total")
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_neighbours_split(data, descending):
     df, _ = data
@@ -143,10 +151,21 @@ def test_collect_chunks_is_whole(data):
     chunks = reshape.collect_chunks(df, ["k"], F.col("id"), ["id"], limit=40)
     sizes = {r.k: r.n for r in chunks.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert sizes["hot"] > 1
+    joined = {}
+    for r in sorted(chunks.collect(), key=lambda r: r.chunk):
+        assert r.chunk == len(joined.get(r.k, [])) / 40
+        joined.setdefault(r.k, []).extend(r["items"])
+    assert all(v == sorted(v) for v in joined.values())
     flat = chunks.select("k", F.explode("items").alias("id"))
     assert rows(flat) == sorted([(r[1], r[0]) for r in raw], key=repr)
 
 
+def test_collect_chunks_cuts_equal_rows(spark):
+    same = spark.range(100).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
+    chunks = reshape.collect_chunks(same, ["k"], F.col("v"), ["v"], limit=10)
+    assert rows(chunks.select("chunk", F.size("items"))) == [(i, 10) for i in range(10)]
+
+
 def test_group_stats_match_window(data):
     df, _ = data
     joined = windows.with_group_stats(df, ["k"], [F.max("x").alias("m")])

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheafwork import workspace
-from sheafwork.operators import quality, versions
+from sheafwork.operators import joins, quality, versions
 from sheafwork.plans import bronze
 from sheafwork.plans.run import Step, run_steps
 from sheafwork.sinks import layers, layout
@@ -52,9 +52,15 @@ def test_bronze_cubes_incremental(spark, tmp_path):  # PIP-01, SRC-11, SRC-12
     assert spark.read.parquet(target).count() == 1
     (land / "c.json").write_text(cube_text({"1": 2, "3": 4}))
     loaded = spark.read.parquet(target)
-    again = bronze.load_cubes(spark, str(land), ["geo", "time"], "feed", loaded,
-                              landing.canonical_cube_hash(cube.read_cubes(spark, str(land), "a.json")))
+    # Landed again under a new name, and a document cut short.
+    (land / "d.json").write_text(cube_text({"0": 1}))
+    (land / "e.json").write_text(cube_text({"5": 1})[:-20])
+    again = bronze.load_cubes(spark, str(land), ["geo", "time"], "feed", loaded)
     assert rows(again, "geo", "time", "value") == [("AT", "2021", 2.0), ("RO", "2020", 4.0)]
+    layers.append_rows(again, target)
+    assert bronze.load_cubes(spark, str(land), ["geo", "time"], "feed", spark.read.parquet(target)).isEmpty()
+    (dead,) = bronze.broken_cubes(spark, str(land)).collect()
+    assert dead.source_file.endswith("e.json") and dead.document == cube_text({"5": 1})[:-20]
 
 
 def test_content_hashes(spark, tmp_path):  # SRC-12
@@ -118,11 +124,18 @@ def test_partition_overwrite_keeps_others(spark, tmp_path):  # SNK-07
     assert rows(spark.read.parquet(path), "v", "k") == [(2, "b"), (9, "a")]
 
 
-def test_export_refuses_large_results(spark, tmp_path):  # SNK-03
-    with pytest.raises(ValueError):
-        layers.export_single_file(spark.range(11), str(tmp_path / "x"), max_rows=10)
-    layers.export_single_file(spark.range(10), str(tmp_path / "y"), "csv", max_rows=10)
-    assert len(list((tmp_path / "y").glob("part-*.csv"))) == 1
+def test_export_is_one_file(spark, tmp_path):  # SNK-03
+    layers.export_single_file(spark.range(1000, numPartitions=7), str(tmp_path / "y"), "csv")
+    (part,) = (tmp_path / "y").glob("part-*.csv")
+    assert len(part.read_text().splitlines()) == 1001
+
+
+def test_lookup_checks_bytes(spark):  # JON-10
+    fact = spark.range(3)
+    wide = fact.withColumn("text", F.repeat(F.lit("x"), F.lit(20 << 20)))
+    for dim, hinted in ((fact, True), (wide, False)):
+        plan = joins.lookup_join(fact, dim, "id")._jdf.queryExecution().analyzed().toString()
+        assert ("ResolvedHint (strategy=broadcast)" in plan) == hinted
 
 
 def test_shared_is_released(spark):  # SNK-11
