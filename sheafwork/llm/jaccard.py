@@ -62,7 +62,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.llm.components import components
-from sheafwork.llm.jobs import record, stage
+from sheafwork.llm.jobs import every, record, stage
 from sheafwork.llm.textops import byte_hashes, lower_ascii, mix, sort_within, span_hashes, text_chunks, windows, word_spans
 
 WORDS = 5
@@ -594,8 +594,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, id_col="doc_id", text_col=
         "going",
     )
     bits = _class_filter(going.select(F.col("_h").alias("cls")))
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"))
+    packed = docs.select(F.struct(*every(docs)).alias("row"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"))
 
     def part(inside: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

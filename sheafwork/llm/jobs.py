@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheafwork.session import apply_defaults
@@ -24,6 +24,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` begins with it."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    return name
+
+
+def every(docs: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def task_number() -> int:
     return TaskContext.get().partitionId()
 
@@ -45,4 +57,4 @@ def task_offsets(staged: DataFrame, value: str, by: tuple[str, ...] = ()) -> Dat
     return totals.select("task", *by, F.coalesce(F.sum("_sum").over(order), F.lit(0)).cast("long").alias("before"))
 
 
-__all__ = ["BATCH_BYTES", "prepare", "documents", "task_number", "record", "task_offsets", "stage"]
+__all__ = ["BATCH_BYTES", "prepare", "documents", "free", "every", "task_number", "record", "task_offsets", "stage"]

@@ -14,7 +14,7 @@ to the driver.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0. A
 table without labelled rows gives ``und`` everywhere. Rows with one id are
-judged one by one.
+judged one by one. The two columns added replace columns of their names.
 """
 
 from __future__ import annotations

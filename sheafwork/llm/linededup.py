@@ -12,8 +12,8 @@ in lower case. Equal hashes count as equal keys (128 bits).
 
 Defined cases: a null or empty text is one empty line; empty keys never go, and
 a null text stays null. Every row counts as a document of its own. Rows with
-one id are cleaned alike. All columns of the documents are kept; the columns
-added (``n_lines``, ``n_dropped``) replace columns of that name.
+one id are cleaned alike. All columns of the documents are kept; the two counts
+added (``counts``: lines before, lines dropped) replace columns of their names.
 """
 
 from __future__ import annotations
@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from sheafwork.llm.jobs import record
+from sheafwork.llm.jobs import every, record
 from sheafwork.workspace import fresh, stage
 
 MIN_DOCS = 10
+COUNTS = ("n_lines", "n_dropped")
 FAN_IN = 3
 BATCHES = 4
 _STRIP = b" \t\n\x0b\x0c\r"
@@ -93,11 +94,14 @@ class LineRuns:
         paths = [p for level in self.levels for p in level]
         return self._merged(paths).where(F.col("_docs") >= min_docs).select("_key") if paths else None
 
-    def clean(self, docs: DataFrame, min_docs: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Documents without the lines that are known; adds ``n_lines`` and ``n_dropped``."""
+    def clean(
+        self, docs: DataFrame, min_docs: int = 1, id_col: str = "doc_id", text_col: str = "text",
+        counts: tuple[str, str] = COUNTS,
+    ) -> DataFrame:
+        """Documents without the lines that are known; adds the ``counts`` of lines and of dropped lines."""
         known = self.known(min_docs)
-        docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")])
-        schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+        docs = docs.drop(*counts)
+        schema = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in counts]])
         if known is None:
             known = self.spark.createDataFrame([], "_key binary")
         # Written first: Spark then knows its size, and can split the lines of a very common key.
@@ -128,18 +132,19 @@ class LineRuns:
 
         carried = docs.select(
             F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
-            *[(F.lit(None) if c == text_col else docs[c]).alias(f"c{i}") for i, c in enumerate(columns)],
+            *[(F.lit(None) if name == text_col else c).alias(f"c{i}") for i, (name, c) in enumerate(zip(columns, every(docs)))],
         )
         same = carried["_id"].eqNullSafe(drop["_id"])
         return carried.join(drop, same, "left").drop("_id").mapInArrow(apply, schema)
 
 
 def drop_common_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text",
+    counts: tuple[str, str] = COUNTS,
 ) -> DataFrame:
     """Drop lines that at least ``min_docs`` documents hold, in all documents."""
     runs = LineRuns(docs.sparkSession)
     part = F.pmod(F.xxhash64(id_col), F.lit(batches))
     for b in range(batches):
         runs.add(docs.where(part == b), id_col, text_col)
-    return runs.clean(docs, min_docs, id_col, text_col)
+    return runs.clean(docs, min_docs, id_col, text_col, counts)

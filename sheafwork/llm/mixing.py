@@ -15,7 +15,8 @@ depends on the row only, and no text is shuffled.
 
 Defined cases: a null text has no tokens; a null source is one of its own;
 sources without tokens are kept once. Equal rows are taken together. With no
-rows there are no weights and no result.
+rows there are no weights and no result. The result's struct column replaces
+one of its name; all other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafwork.llm.jobs import record, stage, task_number, task_offsets
+from sheafwork.llm.jobs import every, free, record, stage, task_number, task_offsets
 
 BLOCKS = 4096
 SEED = 11
@@ -123,27 +124,30 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def mix_sources(
     docs: DataFrame, budget: int | None = None, entropy: float | None = None, repetition: float | None = None,
     tokens: Column | None = None, seed: int = SEED, id_col="doc_id", text_col="text", source_col="source",
+    out: str = "_mix",
 ) -> DataFrame:
-    """Documents with ``copies`` (0 and up), ``weight`` and ``n_tokens``, in a struct column ``_mix``.
+    """Documents with ``copies`` (0 and up), ``weight`` and ``n_tokens``, in a struct column ``out``.
 
     One row for each source comes to the driver.
     """
     spark = docs.sparkSession
     tokens = word_tokens(text_col) if tokens is None else tokens
     source = F.col(source_col).cast("string")
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    docs = docs.drop(out)
     totals = {r[0]: int(r[1]) for r in docs.groupBy(source.alias("_source")).agg(F.sum(tokens)).collect()}
     shares = solve(totals, budget, entropy, repetition)
     table = spark.createDataFrame(
         [(s, x.epochs, x.rest, x.weight) for s, x in shares.items()], "_s string, _epochs long, _rest long, _weight double"
     )
-    block = F.pmod(row, F.lit(BLOCKS))
+    row = F.xxhash64(F.col(id_col), F.col(text_col))
+    block = F.pmod(F.col("_row"), F.lit(BLOCKS))
     # Keys of the last epoch's permutation: of the block, then of the document in it.
     block_key = F.xxhash64(F.lit(seed), F.col("_epochs"), F.col("_s"), block)
-    doc_key = F.xxhash64(F.lit(seed), F.col("_epochs"), row)
-    known = docs.select("*", source.alias("_source")).join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_s")))
+    doc_key = F.xxhash64(F.lit(seed), F.col("_epochs"), F.col("_row"))
+    narrow = docs.select(source.alias("_source"), row.alias("_row"), tokens.alias("_tokens"))
+    known = narrow.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_s")))
     keys = (
-        known.where("_rest > 0").select("_source", block_key.alias("_block"), doc_key.alias("_doc"), tokens.alias("_tokens"))
+        known.where("_rest > 0").select("_source", block_key.alias("_block"), doc_key.alias("_doc"), "_tokens")
         .groupBy("_source", "_block", "_doc").agg(F.sum("_tokens").alias("_tokens"))
         .repartitionByRange("_source", "_block", "_doc").sortWithinPartitions("_source", "_block", "_doc")
     )
@@ -160,26 +164,30 @@ def mix_sources(
         .groupBy("_source").agg(F.max(F.struct("_block", "_doc")).alias("cut"))
     )
     cuts = {r[0]: r[1] for r in taken.collect()}
+    # Beside the documents' own columns, names that none of them begins with.
+    p = free(docs, "_m")
     table = spark.createDataFrame(
         [(s, x.epochs, x.weight, *(cuts.get(s) or (None, None))) for s, x in shares.items()],
-        "_s string, _epochs long, _weight double, _cut_block long, _cut_doc long",
-    )
-    in_last = F.coalesce(
-        (block_key < F.col("_cut_block")) | ((block_key == F.col("_cut_block")) & (doc_key <= F.col("_cut_doc"))), F.lit(False)
+        f"{p}_s string, {p}_epochs long, {p}_weight double, {p}_cut_block long, {p}_cut_doc long",
     )
-    mixed = docs.select(*docs.columns, source.alias("_source")).join(
-        F.broadcast(table), F.col("_source").eqNullSafe(F.col("_s"))
+    key = F.xxhash64(F.lit(seed), F.col(f"{p}_epochs"), F.col(f"{p}_s"), F.pmod(row, F.lit(BLOCKS)))
+    inner = F.xxhash64(F.lit(seed), F.col(f"{p}_epochs"), row)
+    cut_block, cut_doc = F.col(f"{p}_cut_block"), F.col(f"{p}_cut_doc")
+    in_last = F.coalesce((key < cut_block) | ((key == cut_block) & (inner <= cut_doc)), F.lit(False))
+    mixed = docs.select(*every(docs), source.alias(f"{p}_source")).join(
+        F.broadcast(table), F.col(f"{p}_source").eqNullSafe(F.col(f"{p}_s"))
     )
     return mixed.select(
-        *docs.columns,
+        *every(docs),
         F.struct(
-            (F.col("_epochs") + in_last.cast("long")).alias("copies"), F.col("_weight").alias("weight"), tokens.alias("n_tokens")
-        ).alias("_mix"),
+            (F.col(f"{p}_epochs") + in_last.cast("long")).alias("copies"),
+            F.col(f"{p}_weight").alias("weight"), tokens.alias("n_tokens"),
+        ).alias(out),
     )
 
 
-def repeat_rows(mixed: DataFrame) -> DataFrame:
+def repeat_rows(mixed: DataFrame, out: str = "_mix") -> DataFrame:
     """Every document as often as its ``copies``; the columns of the documents."""
-    columns = [c for c in mixed.columns if c != "_mix"]
-    numbered = mixed.where("_mix.copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("_mix.copies"))).alias("_copy"))
-    return numbered.select(*columns)
+    docs = mixed.drop(out)
+    number = F.explode(F.sequence(F.lit(1), F.col(f"{out}.copies"))).alias(free(mixed, "_copy"))
+    return mixed.where(F.col(f"{out}.copies") > 0).select(*every(docs), number).select(*every(docs))

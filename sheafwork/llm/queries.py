@@ -78,7 +78,58 @@ def language_id(spark, sf_dir):
     return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@register("op4_host_graph")
+_HOSTS_SQL = r"""
+WITH RECURSIVE rules(action, suffix, path, rule) AS (
+  VALUES ('block', 'net', '/', 'net/'), ('allow', 'example.net', '/en/', 'example.net/en/'),
+         ('block', 'example.com', '/de/', 'example.com/de/'), ('allow', 'org', '/fr/', 'org/fr/')
+), rest AS (
+  SELECT page_id, html,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), named AS (
+  SELECT page_id, html,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rest
+), ruled AS (
+  SELECT n.page_id, n.host, n.path, r.rule, r.action
+  FROM named n LEFT JOIN rules r
+    ON (n.host = r.suffix OR ends_with(n.host, '.' || r.suffix)) AND starts_with(n.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY n.page_id ORDER BY length(r.rule) DESC) = 1
+), seeds AS (
+  SELECT kind, host, seed FROM (
+    SELECT 'trust' AS kind, host, avg(CASE WHEN action = 'allow' THEN 1.0 ELSE 0.0 END) AS seed FROM ruled GROUP BY host
+    UNION ALL
+    SELECT 'distrust', host, avg(CASE WHEN action = 'block' THEN 1.0 ELSE 0.0 END) FROM ruled GROUP BY host
+  ) WHERE host <> '' AND seed > 0
+), links AS (
+  SELECT host AS src, translate(dst, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+  FROM (SELECT host, unnest(regexp_extract_all(
+          coalesce(html, ''), '(?i)href\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)) AS dst
+        FROM named WHERE host <> '')
+), edges AS (
+  SELECT src, dst, count(*) AS n FROM links WHERE src <> dst GROUP BY src, dst
+), both_ways AS (
+  SELECT 'trust' AS kind, src, dst, n FROM edges UNION ALL SELECT 'distrust', dst, src, n FROM edges
+), flow AS (
+  SELECT kind, src AS host, dst, n / sum(n) OVER (PARTITION BY kind, src) AS part FROM both_ways
+), walk(k, kind, host, score) AS (
+  SELECT 0, kind, host, seed FROM seeds
+  UNION ALL
+  SELECT any_value(w.k) + 1, w.kind, f.dst, sum(0.5 * w.score * f.part)
+  FROM walk w JOIN flow f ON w.kind = f.kind AND w.host = f.host
+  WHERE w.k < 8
+  GROUP BY w.kind, f.dst
+), verdicts AS (
+  SELECT host, sum(CASE WHEN kind = 'distrust' THEN score ELSE -score END) AS distrust FROM walk GROUP BY host
+)
+SELECT page_id, r.host, path, rule,
+       coalesce(action, CASE WHEN distrust > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r LEFT JOIN verdicts v ON r.host = v.host
+"""
+
+
+@register("op4_host_graph", _HOSTS_SQL)
 def host_graph(spark, sf_dir):
     """Rules, else trust and distrust over the link graph, for every page."""
     found = hostgraph.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
@@ -132,13 +183,64 @@ def mixture_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), WORD_END_ID)
 
 
-@register("op9_jaccard_join")
+_JACCARD_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON a.doc_id = x.doc_id JOIN sizes y ON b.doc_id = y.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT d.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM docs d JOIN reach r ON d.doc_id = r.doc_id LEFT JOIN sizes z ON d.doc_id = z.doc_id
+GROUP BY d.doc_id
+"""
+
+
+@register("op9_jaccard_join", _JACCARD_SQL)
 def jaccard_join(spark, sf_dir):
     """Shingle sets and near-duplicate components of all documents."""
     return jaccard.components_table(documents(spark, sf_dir))
 
 
-@register("op10_repeated_passages")
+_REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM docs WHERE len(words) >= 20)
+), later AS (
+  SELECT doc_id, i FROM starts QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM later
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM docs
+), kept AS (
+  SELECT p.doc_id, count(g.pos) AS n_removed,
+         string_agg(word, ' ' ORDER BY p.pos) FILTER (WHERE g.pos IS NULL) AS text
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos
+  GROUP BY p.doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@register("op10_repeated_passages", _REPEATS_SQL)
 def repeated_passages(spark, sf_dir):
     """Words left and removed when repeats of 20 words go."""
     kept = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"))
