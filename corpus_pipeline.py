@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork.llm import jaccard, langid, linededup, mixing, packing
-from sheafwork.llm.jobs import documents, prepare, stage
+from sheafwork.llm.jobs import documents, every, free, prepare, stage
 from sheafwork.llm.queries import REPETITION, WORD_END_ID, held_out, tokenizer_path
 
 
@@ -26,15 +26,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language. Learns from the rows that are not held out."""
     prepare(spark)
     model = langid.fit(docs, F.coalesce(~held_out(), F.lit(False)))
-    found = langid.predict(docs, model, lang_out="_lang_pred", score_out="_lang_score")
-    return found.where(F.col("_lang_pred") != "und").select(*docs.columns)
+    name = free(docs, "_found")
+    found = langid.predict(docs, model, lang_out=f"{name}_lang", score_out=f"{name}_score")
+    return found.where(F.col(f"{name}_lang") != "und").select(*every(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without common lines; ``n_chars`` follows the text."""
     prepare(spark)
-    kept = linededup.drop_common_lines(docs)
-    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    added = free(docs, "_lines")
+    kept = linededup.drop_common_lines(docs, counts=(f"{added}_all", f"{added}_dropped"))
+    columns = [
+        F.length("text").cast("long").alias(name) if name == "n_chars" else c for name, c in zip(docs.columns, every(docs))
+    ]
     return kept.select(*columns)
 
 
@@ -47,7 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix uses them; every document at least once."""
     prepare(spark)
-    return mixing.repeat_rows(mixing.mix_sources(docs, repetition=REPETITION))
+    name = free(docs, "_mix")
+    return mixing.repeat_rows(mixing.mix_sources(docs, repetition=REPETITION, out=name), name)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
