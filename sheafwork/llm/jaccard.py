@@ -534,6 +534,8 @@ def _links(docs: DataFrame, met: DataFrame, percent: int) -> DataFrame:
             F.min_by(F.struct("cls", "info", "root"), F.struct(F.col("info").bitwiseAND(F.lit(1)), F.xxhash64("cls", F.lit(k)))).alias("hub"),
         ).where("low <> high").select("sig", "hub")
         rooted = stage(rooted.join(spread, "sig"), "open_groups")
+        if not rooted.limit(1).count():
+            break
         rows = rooted.select("sig", "cls", "info")
         if k < HUB_ROUNDS:
             pairs = rooted.where((F.col("root") != F.col("hub.root")) & _sizes_fit("hub.info", "info", percent)).select(*ordered("hub.cls", "cls"))
@@ -544,7 +546,7 @@ def _links(docs: DataFrame, met: DataFrame, percent: int) -> DataFrame:
             pairs = small.join(rooted, "sig").where((F.col("root") != F.col("r")) & larger).select(*ordered("c", "cls"))
         pairs = stage(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
-            break
+            continue  # the hub may be an old one, or fit nobody: a later round still has pairs
         links = links.unionByName(compare(pairs, k))
         tested = tested.unionByName(pairs)
     return links

@@ -307,6 +307,28 @@ def test_jaccard(docs, rows, empty, options):
     assert jaccard.components_table(empty).count() == 0
 
 
+def test_links_beyond_a_repeated_hub(spark):
+    """A, B and C meet in one shingle only; A is like neither, B and C are alike, and A is the hub of rounds 0 and 1."""
+
+    def texts(salt):
+        w, x = ([f"{c}{salt}n{i}" for i in range(11)] for c in "wx")
+        b = w[1:10]
+        own = [" ".join(f"own{salt}n{f}n{i}" for i in range(50)) for f in range(4)]
+        # The long ones make all but the shared shingle common, so that it leads in A, B and C.
+        return [" ".join(t) for t in (x[1:5] + w[1:6], b, b + w[10:])] + [" ".join([o, *x[1:5], *w[1:5], o[::-1], *w[2:11]]) for o in own]
+
+    def classes(salt):
+        parts = [t.encode() for t in texts(salt)[:3]]
+        offsets = np.cumsum([0, *map(len, parts)])
+        return jaccard.class_ids(*jaccard.shingle_sets(np.frombuffer(b"".join(parts), np.uint8), offsets)).tolist()
+
+    table = spark.createDataFrame([(s, k, c) for s in range(60) for k, c in enumerate(classes(s))], "salt int, k int, cls long")
+    hubs = table.groupBy("salt").agg(F.min_by("k", "cls").alias("first"), F.min_by("k", F.xxhash64("cls", F.lit(1))).alias("next"))
+    salt = hubs.where("first = 0 and next = 0").agg(F.min("salt")).first()[0]
+    got = jaccard.components_table(prepare(spark).createDataFrame(list(enumerate(texts(salt))), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6}
+
+
 def test_one_of_each_group_stays(docs, rows):
     want = _components(rows)
     kept = jaccard.keep_one(docs)
