@@ -1,13 +1,14 @@
 """Mixture-controlled packing of token ids into fixed-length sequences.
 
 Every source is a queue of tokens. Packing goes window by window: a window of
-``window`` tokens takes from each queue its target share. Deficit round-robin
-serves a queue the whole tokens of its credit and carries the rest (a deficit
-below one token) to the next window. After ``j`` windows a queue with ``n`` of
-the ``N`` tokens of a phase has thus been served ``floor(x_j * n / N)`` tokens,
-``x_j`` being the tokens of ``j`` windows: every task works out its documents'
-places by itself, and deficits carry over windows and tasks alike. When a queue
-runs out a new phase begins with the shares of the others.
+``window`` tokens, by default one sequence, takes from each queue its target
+share. Deficit round-robin serves whole tokens, by due time, and carries the
+rest to the next window. Token ``i`` of a queue with ``n`` of the ``N`` tokens
+of a phase is due at ``(2 i + 1) N / (2 n)``; the first ``x`` tokens of a phase
+are those due first (ties: the first queue). So windows are exactly full, every
+task works out its documents' places by itself, and deficits carry over windows
+and tasks alike. When a queue runs out a new phase begins with the shares of the
+others, in the middle of a window, which the two phases fill together.
 
 The windows, one after another, are one stream; sequences are cut from it, so
 that only the last is not full.
@@ -23,6 +24,7 @@ a target of 0, or without one, come when all others have run out.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -36,8 +38,8 @@ from sheafwork.llm.jobs import record, stage, task_number, task_offsets
 from sheafwork.llm.textops import text_chunks
 
 SEQUENCE_TOKENS = 2048
-#: Tokens of a mixing window.
-WINDOW_TOKENS = 64 * SEQUENCE_TOKENS
+#: Tokens of a mixing window: every sequence has the target proportions.
+WINDOW_TOKENS = SEQUENCE_TOKENS
 
 
 class Layout:
@@ -68,37 +70,72 @@ class Layout:
         take[out_first] = left[out_first]
         return take
 
-    def _window(self, phase: int, j: int) -> tuple[list[int], list[int]]:
-        """Queue positions (in the phase) at the start of window j, and where each part begins in the stream."""
+    @staticmethod
+    def _served(take: list[int], x: int) -> list[int]:
+        """Tokens of each queue among the first ``x`` that are due in a phase."""
+        total = sum(take)
+        if x <= 0 or x >= total:
+            return [0] * len(take) if x <= 0 else list(take)
+        # Those due before x, then as many more or fewer as make it x.
+        count = [((2 * n * x - 1) // total + 1) // 2 if n else 0 for n in take]
+        over = sum(count) - x
+        if over > 0:
+            heap = [(-_due(total, take[k], c - 1), -k) for k, c in enumerate(count) if c]
+        else:
+            heap = [(_due(total, take[k], c), k) for k, c in enumerate(count) if c < take[k]]
+        step = 1 if over < 0 else -1
+        heapq.heapify(heap)
+        for _ in range(abs(over)):
+            k = abs(heap[0][1])
+            count[k] += step
+            if step > 0 and count[k] < take[k]:
+                heapq.heapreplace(heap, (_due(total, take[k], count[k]), k))
+            elif step < 0 and count[k]:
+                heapq.heapreplace(heap, (-_due(total, take[k], count[k] - 1), -k))
+            else:
+                heapq.heappop(heap)
+        return count
+
+    def _window(self, phase: int, j: int) -> tuple[list[int], list[int], list[int]]:
+        """Queue positions (in the phase) at the start and end of its window j, and where each part begins in the stream."""
         key = (phase, j)
         if key not in self._windows:
             if len(self._windows) > 4096:
                 self._windows.clear()
             _, take, at = self.phases[phase]
-            total = sum(take)
-            low, high = (min(i * self.window, total) for i in (j, j + 1))
-            before = [low * n // total for n in take]
-            after = [high * n // total for n in take]
-            place, begins = at + sum(before), []
+            # A phase that begins within a window fills it up first.
+            low, high = (max(i * self.window - at % self.window, 0) for i in (j, j + 1))
+            before, after = self._served(take, low), self._served(take, high)
+            place, begins = at + low, []
             for b, a in zip(before, after):
                 begins.append(place)
                 place += a - b
-            self._windows[key] = before, begins
+            self._windows[key] = before, after, begins
         return self._windows[key]
 
     def runs(self, queue: int, start: int, stop: int) -> Iterator[tuple[int, int, int]]:
         """``(queue position, stream position, length)`` of the unbroken runs of a range of a queue."""
-        for p, (done, take, _) in enumerate(self.phases):
+        for p, (done, take, at) in enumerate(self.phases):
             lo, hi = max(start - done[queue], 0), min(stop - done[queue], take[queue])
             total, n = sum(take), take[queue]
             while lo < hi:
-                j = -(-(-(-(lo + 1) * total // n)) // self.window) - 1
-                before, begins = self._window(p, j)
-                end = min(hi, self._window(p, j + 1)[0][queue])
+                # The rank of a token differs from its due time by less than the number of queues.
+                j = (_due(total, n, lo) + at % self.window) // self.window
+                while lo < self._window(p, j)[0][queue]:
+                    j -= 1
+                while lo >= self._window(p, j)[1][queue]:
+                    j += 1
+                before, after, begins = self._window(p, j)
+                end = min(hi, after[queue])
                 yield done[queue] + lo, begins[queue] + lo - before[queue], end - lo
                 lo = end
 
 
+def _due(total: int, n: int, i: int) -> int:
+    """When token ``i`` of a queue of ``n`` in a phase of ``total`` tokens is due."""
+    return (2 * i + 1) * total // (2 * n)
+
+
 def _id_type(tokenizer: str) -> str:
     return "<u2" if encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
@@ -136,13 +173,13 @@ def queue_tokens(
 
 def pack(
     docs: DataFrame, tokenizer: str, end_id: int, targets: Mapping[str | None, float] | None = None,
-    sequence: int = SEQUENCE_TOKENS, window: int = WINDOW_TOKENS, id_col="doc_id", text_col="text", source_col="source",
+    sequence: int = SEQUENCE_TOKENS, window: int | None = None, id_col="doc_id", text_col="text", source_col="source",
 ) -> DataFrame:
     """Pieces of documents with their sequence and offset.
 
     ``targets`` are token proportions by source; by default those of the
     documents, so that all queues run out together. One number for each source
-    comes to the driver.
+    comes to the driver. The mixing window is a sequence unless ``window`` says otherwise.
     """
     queues = queue_tokens(docs, tokenizer, end_id, id_col, text_col, source_col)
     totals = sorted(
@@ -151,7 +188,7 @@ def pack(
     )
     number = {s: k for k, (s, _) in enumerate(totals)}
     wanted = None if targets is None else [float(targets.get(s, 0.0)) for s, _ in totals]
-    layout = Layout([n for _, n in totals], wanted, window)
+    layout = Layout([n for _, n in totals], wanted, window or sequence)
     kind = _id_type(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -276,6 +276,26 @@ def test_windows_keep_proportions():
         assert abs((place[w : w + 100] == 1).sum() - 62.4) <= 3
 
 
+@pytest.mark.parametrize("totals", [[500_000, 250_000, 9_990, 7, 333_333], [70_000] * 60 + [1, 3, 0], [5]])
+@pytest.mark.parametrize("targets", [False, True])
+def test_every_sequence_keeps_proportions(totals, targets):
+    """With the production window, in each full sequence of a phase."""
+    size = packing.SEQUENCE_TOKENS
+    layout = packing.Layout(totals, [1.0 + k % 3 for k in range(len(totals))] if targets else None)
+    place = np.full(sum(totals), -1)
+    for k, n in enumerate(totals):
+        for a in range(0, n, 777):
+            for _, at, length in layout.runs(k, a, min(a + 777, n)):
+                assert (place[at : at + length] == -1).all()
+                place[at : at + length] = k
+    assert (place >= 0).all()
+    for _, take, at in layout.phases:
+        share = np.array(take) / sum(take)
+        for s in range(-(-at // size) * size, at + sum(take) - size + 1, size):
+            got = np.bincount(place[s : s + size], minlength=len(totals))
+            assert (abs(got - share * size) <= 2 + len(totals) * share).all()
+
+
 def _components(rows):
     sets = {}
     for doc, text, *_ in rows:
