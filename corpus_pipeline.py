@@ -4,7 +4,7 @@
 predecessor kept and returns a DataFrame with the columns of documents, the
 last one the pieces of the packed sequences.
 
-1. language ID: documents without a language (``und``) go.
+1. language ID: documents without a language (``und``: no letter in the text) go.
 2. line dedup: lines that ten documents hold go from all of them.
 3. near duplicates: one document of each component of five-word shingle sets
    with a likeness of 0.8 stays.
@@ -23,9 +23,15 @@ from sheafwork.llm.queries import REPETITION, WORD_END_ID, held_out, tokenizer_p
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language. Learns from the rows that are not held out."""
+    """Documents with a language. Learns from the rows that are not held out.
+
+    Every document with a letter has a language, whichever the model finds;
+    without labelled rows there is no model, and the same documents stay.
+    """
     prepare(spark)
     model = langid.fit(docs, F.coalesce(~held_out(), F.lit(False)))
+    if model is None:
+        return langid.with_letters(docs)
     name = free(docs, "_found")
     found = langid.predict(docs, model, lang_out=f"{name}_lang", score_out=f"{name}_score")
     return found.where(F.col(f"{name}_lang") != "und").select(*every(docs))

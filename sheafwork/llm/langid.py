@@ -220,6 +220,25 @@ def fit(docs: DataFrame, learn: Column, id_col="doc_id", text_col="text", lang_c
     return train([bytes(r.window) for r in rows], [r.lang for r in rows])
 
 
+def _lettered(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each text has a letter."""
+    letters = np.append(0, np.cumsum(_LETTER[data]))
+    lettered = letters[offsets[1:]] > letters[offsets[:-1]]
+    for i in np.flatnonzero(~lettered & (np.diff(offsets) > 0)):
+        lettered[i] = any(ch.isalpha() for ch in data[offsets[i] : offsets[i + 1]].tobytes().decode())
+    return lettered
+
+
+def with_letters(docs: DataFrame, text_col="text") -> DataFrame:
+    """The documents whose text has a letter: those that a model finds a language for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in text_chunks(batches, text_col):
+            yield batch.filter(pa.array(_lettered(data, offsets)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model | None, text_col="text", lang_out="lang_pred", score_out="score") -> DataFrame:
     """All columns of the documents with the predicted language and its score."""
     docs = docs.drop(lang_out, score_out)
@@ -231,10 +250,7 @@ def predict(docs: DataFrame, model: Model | None, text_col="text", lang_out="lan
             langs, score = ["und"] * n, np.zeros(n)
             if model is not None:
                 p = document_probabilities(data, offsets, model)
-                letters = np.append(0, np.cumsum(_LETTER[data]))
-                lettered = letters[offsets[1:]] > letters[offsets[:-1]]
-                for i in np.flatnonzero(~lettered & (np.diff(offsets) > 0)):
-                    lettered[i] = any(ch.isalpha() for ch in data[offsets[i] : offsets[i + 1]].tobytes().decode())
+                lettered = _lettered(data, offsets)
                 best = p.argmax(axis=1)
                 langs = [model.langs[b] if ok else "und" for b, ok in zip(best, lettered)]
                 score = np.where(lettered, p.max(axis=1), 0.0)

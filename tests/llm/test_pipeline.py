@@ -18,3 +18,12 @@ def test_stages(spark):
     kept, deduped, mixed = counts[1], counts[3], counts[4]
     assert kept == counts[0] == counts[2] and deduped == 187 and mixed > deduped
     assert docs.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
+
+
+def test_unlabelled_documents_stay(spark):
+    schema = "doc_id long, text string, lang string, source string"
+    texts = ["a clean text", "é", "12 3", "", None, "日本"]
+    docs = spark.createDataFrame([(i, t, None, "a") for i, t in enumerate(texts)], schema)
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 5]
