@@ -19,7 +19,7 @@ TABLES = (
 ).split()
 
 KINDS = {
-    "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
     "date": "DATE", "timestamp_ntz": "TIMESTAMP",
 }
 
