@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheafwork.llm import (
-    fuzzy, hostgraph, jaccard, langid, linededup, mixing, packing, pfor, quality, repeats,
+    fuzzy, hostgraph, jaccard, langid, linededup, mixing, packing, pfor, prefixtrie, quality, repeats, rtree, tilejoin,
 )
 from sheafwork.llm.jobs import documents, prepare
 
@@ -245,3 +245,104 @@ def repeated_passages(spark, sf_dir):
     """Words left and removed when repeats of 20 words go."""
     kept = repeats.drop_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_NEGATIVES_SQL = r"""
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM good a JOIN good c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@register("op11_hard_negatives", _NEGATIVES_SQL)
+def hard_negatives(spark, sf_dir):
+    """Rows of other labels scored within 30 to 90 percent of each anchor's five positives."""
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label"))
+    return rtree.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+_NEAREST_SQL = r"""
+WITH good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@register("op12_block_matrix_join", _NEAREST_SQL)
+def block_matrix_join(spark, sf_dir):
+    """The ten nearest rows of every hundredth row."""
+    return tilejoin.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+_TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id,
+         list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text)) AS turns,
+         -- CRC-32, bit by bit, of the decimal id
+         xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, byte: list_reduce(
+             list_prepend(xor(crc, byte), range(8)), lambda bits, step: xor(bits >> 1, 3988292384 * (bits & 1))
+           ))) % 9 AS h
+  FROM turns GROUP BY conv_id
+), built AS (
+  SELECT o.conv_id, list_concat(coalesce(d.turns[1 : o.h], []), o.turns[o.h + 1 :]) AS turns
+  FROM own o LEFT JOIN own d ON d.conv_id = o.conv_id - o.conv_id % 5
+), prefixes AS (
+  SELECT conv_id, depth, turns[1 : depth] AS prefix, len(turns) AS size
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM built)
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, prefix[1 : depth - 1] AS parent,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, depth
+), children AS (
+  SELECT parent AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent
+), counted AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(n.prefix[depth].text) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN children c ON n.prefix = c.prefix
+), below AS (
+  SELECT prefix[1 : up] AS prefix, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted) GROUP BY prefix[1 : up]
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN below b ON n.prefix = b.prefix LEFT JOIN nodes p ON n.depth > 0 AND n.parent = p.prefix
+"""
+
+
+@register("op13_prefix_trie", _TRIE_SQL)
+def prefix_trie(spark, sf_dir):
+    """Trie of conversations that begin with turns of the first one of their five."""
+    return prefixtrie.trie(prefixtrie.respliced(_table(spark, sf_dir, "conversations")))
