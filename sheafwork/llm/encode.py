@@ -4,7 +4,8 @@ The pre-tokenizers of the byte-level and of the word vocabulary never join a
 character and the white space after it, nor a letter and an ASCII
 character after it that is no letter. So a text may be cut there, and its ids
 are the ids of the pieces, one after another. Pieces are kept in a hash table
-(64-bit keys) of bounded size. A new piece that is one word of letters goes to
+(64-bit keys) that grows with them; past a bound it starts anew, and only the
+pieces of one call can take it beyond. A new piece that is one word of letters goes to
 the library's model, all others in one call to the whole tokenizer, between
 special tokens. Texts with characters outside Latin-1, with unusual white
 space or with special-token marks are encoded whole by the library.
@@ -20,7 +21,8 @@ import numpy as np
 
 from sheafwork.llm.textops import byte_hashes, lower_ascii
 
-#: Pieces kept in a worker; beyond that the table starts anew.
+#: Slots of a worker's table at first, and those beyond which it starts anew before it takes more pieces.
+FIRST_SLOTS = 1 << 14
 TABLE_SLOTS = 1 << 22
 
 _letter = np.zeros(256, dtype=bool)
@@ -58,16 +60,29 @@ class PieceEncoder:
         self.mark_id, self.mark = max((i, t.content) for i, t in special)
         #: Lower-casing vocabularies here also drop white space.
         self.words_only = "Lowercase" in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
-        self.slots = slots
+        self.most_slots = slots
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(self.slots, np.uint64)
-        self.at = np.zeros(self.slots, np.int32)
-        self.size = np.zeros(self.slots, np.int32)
+        self._make(min(FIRST_SLOTS, self.most_slots))
         self.ids = np.zeros(1 << 16, np.uint16)
         self.n_ids = self.n_keys = 0
 
+    def _make(self, slots: int) -> None:
+        self.slots = slots
+        self.keys = np.zeros(slots, np.uint64)
+        self.at = np.zeros(slots, np.int32)
+        self.size = np.zeros(slots, np.int32)
+
+    def _room(self, n: int) -> None:
+        """At least three slots for each of ``n`` keys."""
+        if 3 * n <= self.slots:
+            return
+        held = np.flatnonzero(self.keys)
+        keys, at, size = self.keys[held], self.at[held], self.size[held]
+        self._make(1 << int(3 * n - 1).bit_length())
+        self._put(keys, at, size)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another (uint32), and the first id of each (n + 1)."""
         n = len(offsets) - 1
@@ -149,13 +164,18 @@ class PieceEncoder:
         h[h == 0] = 1
         slot = self._find(h)
         if (slot < 0).any():
-            if self.n_keys > self.slots // 3:
-                self._clear()
-                slot[:] = -1
             missing = np.flatnonzero(slot < 0)
             new, pick = np.unique(h[missing], return_index=True)
+            if self.n_keys and 3 * (self.n_keys + len(new)) > self.most_slots:
+                self._clear()
+                missing = np.arange(len(h))
+                new, pick = np.unique(h, return_index=True)
             pick = missing[pick]
+            grown = self.slots
+            self._room(self.n_keys + len(new))
             self._add(new, [data[s:e].tobytes().decode() for s, e in zip(starts[pick], ends[pick])])
+            if self.slots != grown:
+                missing = np.arange(len(h))
             slot[missing] = self._find(h[missing])
         counts = self.size[slot].astype(np.int64)
         total = int(counts.sum())
@@ -197,7 +217,11 @@ class PieceEncoder:
             self.ids = np.append(self.ids, np.zeros_like(self.ids))
         self.ids[self.n_ids : self.n_ids + len(ids)] = ids
         self.n_ids += len(ids)
-        # Open addressing: keys that meet in one slot go on to the next, round by round.
+        self._put(keys, at, sizes)
+        self.n_keys += len(keys)
+
+    def _put(self, keys: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> None:
+        """Open addressing: keys that meet in one slot go on to the next, round by round."""
         slot = (keys & np.uint64(self.slots - 1)).astype(np.int64)
         todo = np.arange(len(keys))
         while len(todo):
@@ -208,4 +232,3 @@ class PieceEncoder:
             self.at[slot[put]], self.size[slot[put]] = at[put], sizes[put]
             todo = np.setdiff1d(todo, put, assume_unique=True)
             slot[todo] = np.where(self.keys[slot[todo]] == 0, slot[todo], (slot[todo] + 1) & (self.slots - 1))
-        self.n_keys += len(keys)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
+from itertools import accumulate
+
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +41,18 @@ def every(docs: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, then what the task has freed goes back to the system: workers live on for later stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def task_number() -> int:
     return TaskContext.get().partitionId()
 
@@ -51,10 +68,16 @@ def task_offsets(staged: DataFrame, value: str, by: tuple[str, ...] = ()) -> Dat
 
     ``staged`` was written with a ``task`` column. The result has one row for
     each task and key, so the running sum sees that many rows, not the data.
+    Without keys the sums come to the driver, one number for each task.
     """
     totals = staged.groupBy("task", *by).agg(F.sum(value).alias("_sum"))
+    if not by:
+        # One number for each task; a window over them all would be a plan for one task.
+        sums = sorted((r.task, int(r._sum or 0)) for r in totals.collect())
+        before = [0, *accumulate(n for _, n in sums)]
+        return staged.sparkSession.createDataFrame([(t, b) for (t, _), b in zip(sums, before)], "task long, before long")
     order = Window.partitionBy(*by).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("task", *by, F.coalesce(F.sum("_sum").over(order), F.lit(0)).cast("long").alias("before"))
 
 
-__all__ = ["BATCH_BYTES", "prepare", "documents", "free", "every", "task_number", "record", "task_offsets", "stage"]
+__all__ = ["BATCH_BYTES", "prepare", "documents", "free", "every", "task_number", "record", "task_offsets", "tidy", "stage"]

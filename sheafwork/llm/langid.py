@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheafwork.llm.jobs import record
+from sheafwork.llm.jobs import record, tidy
 from sheafwork.llm.textops import text_chunks
 
 WINDOW = 64
@@ -198,24 +198,25 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def fit(docs: DataFrame, learn: Column, id_col="doc_id", text_col="text", lang_col="lang", sample=SAMPLE_DOCS) -> Model | None:
-    """Train on a sample of the rows that ``learn`` selects; null without any."""
-    labelled = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.xxhash64(F.col(id_col), F.lit("lang")).alias("_rank")
+    """Train on a sample of the rows that ``learn`` selects; null without any.
+
+    At most ``sample`` rows for each language, whatever rows repeat an id or a text.
+    """
+    learnt = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
+        F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"),
+        F.xxhash64(F.col(id_col), F.lit("lang")).alias("_rank"), F.xxhash64(text_col).alias("_hash"),
     )
-    langs = sorted(r[0] for r in labelled.select("_lang").distinct().collect())
-    if not langs:
+    first = Window.partitionBy("_lang").orderBy("_rank", "_id", "_hash")
+    place = F.row_number().over(first)
+    # The group limit below the shuffle leaves ``sample`` short rows for each language in a task.
+    chosen = learnt.drop("_text").withColumn("_place", place).where(F.col("_place") <= sample).drop("_place").distinct()
+    # Repeated rows join more than once; they are cut to the sample again.
+    keys = ["_id", "_lang", "_rank", "_hash"]
+    rows = learnt.join(F.broadcast(chosen), keys).withColumn("_place", place).where(F.col("_place") <= sample).select(
+        "_lang", "_rank", "_text"
+    ).mapInArrow(_sample_windows, "lang string, rank long, window binary").collect()
+    if not rows:
         return None
-    chosen = None
-    for lang in langs:
-        one = labelled.where(F.col("_lang") == lang).orderBy("_rank", "_id").limit(sample)
-        chosen = one if chosen is None else chosen.union(one)
-    texts = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("_text")
-    )
-    # At most ``sample`` short rows for each language.
-    rows = texts.join(F.broadcast(chosen), "_id").select("_lang", "_rank", "_text").mapInArrow(
-        _sample_windows, "lang string, rank long, window binary"
-    ).collect()
     rows.sort(key=lambda r: (r.lang, r.rank, bytes(r.window)))
     return train([bytes(r.window) for r in rows], [r.lang for r in rows])
 
@@ -236,7 +237,7 @@ def with_letters(docs: DataFrame, text_col="text") -> DataFrame:
         for batch, data, offsets in text_chunks(batches, text_col):
             yield batch.filter(pa.array(_lettered(data, offsets)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def predict(docs: DataFrame, model: Model | None, text_col="text", lang_out="lang_pred", score_out="score") -> DataFrame:
@@ -259,4 +260,4 @@ def predict(docs: DataFrame, model: Model | None, text_col="text", lang_out="lan
                 [*columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=schema.names
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -34,12 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork.llm.encode import encoder
-from sheafwork.llm.jobs import record, stage, task_number, task_offsets
+from sheafwork.llm.jobs import record, stage, task_number, task_offsets, tidy
 from sheafwork.llm.textops import text_chunks
 
 SEQUENCE_TOKENS = 2048
 #: Tokens of a mixing window: every sequence has the target proportions.
 WINDOW_TOKENS = SEQUENCE_TOKENS
+#: Pieces of an output batch.
+BATCH_PIECES = 1 << 12
+_PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 class Layout:
@@ -167,7 +170,7 @@ def queue_tokens(
         F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).cast("string").alias("_source")
     )
     return stage(
-        narrow.mapInArrow(run, "task long, doc_id long, source string, local long, n_tokens long, ids binary"), "queues"
+        narrow.mapInArrow(tidy(run), "task long, doc_id long, source string, local long, n_tokens long, ids binary"), "queues"
     )
 
 
@@ -192,8 +195,15 @@ def pack(
     kind = _id_type(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, filled = np.empty((BATCH_PIECES, len(_PIECE)), np.int64), 0
+        missing = np.zeros(BATCH_PIECES, bool)
+
+        def full() -> pa.RecordBatch:
+            columns = {c: pa.array(rows[:filled, k]) for k, c in enumerate(_PIECE)}
+            columns["doc_id"] = pa.array(rows[:filled, 0], mask=missing[:filled])
+            return record(**columns)
+
         for batch in batches:
-            rows: list[tuple] = []
             c = {n: batch.column(n).to_pylist() for n in ("doc_id", "source", "local", "before", "n_tokens")}
             for i, (doc, source, local, before, n) in enumerate(zip(*c.values())):
                 ids = np.frombuffer(batch.column("ids")[i].as_py(), kind).astype("<u4")
@@ -202,12 +212,16 @@ def pack(
                     at = q - begin
                     while length:
                         size = min(length, sequence - place % sequence)
-                        crc = zlib.crc32(ids[at : at + size].tobytes())
-                        rows.append((doc, at, size, crc, n, place // sequence, place % sequence))
+                        crc = zlib.crc32(ids[at : at + size])
+                        rows[filled] = (doc or 0, at, size, crc, n, place // sequence, place % sequence)
+                        missing[filled] = doc is None
+                        filled += 1
+                        if filled == BATCH_PIECES:
+                            yield full()
+                            rows, filled = np.empty_like(rows), 0
                         at, place, length = at + size, place + size, length - size
-            columns = list(zip(*rows)) if rows else [[]] * 7
-            names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-            yield record(**{n: pa.array(v, pa.int64()) for n, v in zip(names, columns)})
+        if filled:
+            yield full()
 
     # One row for each task and source; written first, so that Spark knows its size.
     before = stage(
@@ -216,6 +230,6 @@ def pack(
     )
     placed = queues.join(before, (queues["task"] == before["_t"]) & queues["source"].eqNullSafe(before["_s"]))
     return placed.select("doc_id", "source", "local", "before", "n_tokens", "ids").mapInArrow(
-        run,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
+        tidy(run),
+        ", ".join(f"{c} long" for c in _PIECE),
     )

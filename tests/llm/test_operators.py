@@ -187,6 +187,28 @@ def test_pieces_encode_like_the_library(rows, name):
             assert ids[first[i] : first[i + 1]].tolist() == tool.tokenizer.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_one_text_beyond_the_piece_table():
+    import pyarrow as pa
+
+    tool = PieceEncoder(public_tokenizers.path("word_bpe_49k.json"), slots=1 << 10)
+    texts = [" ".join(f"w{i:x}q" for i in range(5000)), "short one", " ".join(f"v{i:x}z" for i in range(900))]
+    for _ in range(2):
+        ids, first = tool.encode(*text_bytes(pa.array(texts)))
+        for i, t in enumerate(texts):
+            assert ids[first[i] : first[i + 1]].tolist() == tool.tokenizer.encode(t, add_special_tokens=False).ids
+    tool.encode(*text_bytes(pa.array(["after"])))
+    assert tool.n_keys < tool.slots // 2
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Rows that repeat an id, with one text or many, do not enlarge the sample."""
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda windows, labels: seen.append(Counter(labels)))
+    rows = [(1, f"the text {i % 50} of many", "en", "a", 1, "x") for i in range(400)] + [(2, "ein Text", "de", "a", 1, "x")] * 300
+    langid.fit(prepare(spark).createDataFrame(rows, SCHEMA), F.lit(True), sample=20)
+    assert seen[0]["en"] <= 20 * langid.SAMPLE_WINDOWS and 1 <= seen[0]["de"] <= 20 * langid.SAMPLE_WINDOWS
+
+
 def test_lines(docs, rows, empty):
     def key(line):
         return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\v\f\r"))
