@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from sheafwork import workspace
 from sheafwork.operators import windows
-from sheafwork.queries import panel, table
+from sheafwork.queries import REGISTRY, panel, table
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,14 +69,14 @@ def test_physical_choice(spark, name, node):
 
 # Queries that only build a plan (no staging or streaming) are cheap to look at.
 PLANNED = [
-    n for n in sorted(entry.queries())
+    n for n in sorted(REGISTRY)
     if not n.startswith(("stream_", "pandas_")) and n not in ("staged_run", "table_writes")
 ]
 
 
 @pytest.mark.parametrize("name", PLANNED)
 def test_no_cross_join_and_no_global_window(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(REGISTRY[name].run(spark, SF))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     # A window without partition columns needs everything in one task. Only the
