@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from sheafwork import workspace
 from sheafwork.operators.versions import VersionedTable
-from sheafwork.queries.registry import big, money, query, real, table
-from sheafwork.streaming import aggregates, io
+from sheafwork.queries.registry import REGISTRY, big, money, query, real, table
+from sheafwork.streaming import aggregates, io, timers
 from sheafwork.streaming.medallion import Medallion, upsert_stream
 
 
@@ -134,6 +134,31 @@ def stream_sessions(spark, sf):
     )
 
 
+_SESSIONS = REGISTRY["stream_sessions"].sql
+
+
+@query("stream_timed_sessions", "STR-19 STR-07", _SESSIONS)
+def stream_timed_sessions(spark, sf):
+    """Sessions closed by timers while thirds of the month land one after another, each drained with the same checkpoint."""
+    source = table(spark, sf, "events")
+    first, last = source.agg(F.min("ts"), F.max("ts")).first()
+    folder = workspace.fresh(spark, "timed_sessions")
+    schema = T.StructType([*source.schema.fields, T.StructField("closing", T.BooleanType())])
+    rows = source.withColumn("closing", F.lit(False))
+    edges = [first, *[first + (last - first) * k / 3 for k in (1, 2)], last + dt.timedelta(days=1)]
+    for k in range(3):
+        part = rows.filter((F.col("ts") >= F.lit(edges[k])) & (F.col("ts") < F.lit(edges[k + 1])))
+        if k == 2:
+            far = (F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")
+            part = part.unionByName(source.agg(far).withColumn("closing", F.lit(True)), allowMissingColumns=True)
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = io.event_time(io.file_stream(spark, f"{folder}/in", schema), "ts")
+        out = timers.timed_sessions(stream, ["user_id", "closing"], "ts", money("value") * 100, 6 * 3600, "1 hour")
+        io.drain(io.to_files(out, f"{folder}/out"), f"{folder}/checkpoint")
+    got = spark.read.schema(out.schema).parquet(f"{folder}/out").filter(~F.col("closing"))
+    return got.select("user_id", _clock("session_start").alias("session_start"), "n", real((F.col("cents") / 100).cast("decimal(18,2)")).alias("total"))
+
+
 @query("stream_running_state", "STR-19 STR-06", """
 SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n_events, CAST(sum(CAST(round(CAST(value AS DECIMAL(18,2)) * 100) AS BIGINT)) AS BIGINT) AS total_cents,
        strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_at FROM events GROUP BY 1""")

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from sheafwork import workspace
 from sheafwork.operators.versions import VersionedTable
-from sheafwork.streaming import aggregates, io
+from sheafwork.streaming import aggregates, io, timers
 from sheafwork.streaming.medallion import Medallion, upsert_stream
 from tests.conftest import rows
 
@@ -246,3 +246,47 @@ def test_illegal_output_modes(spark, landed, tmp_path):  # STR-04
         io.drain(counts.writeStream.outputMode("append").format("memory").queryName("m1"), str(tmp_path / "c1"))
     with pytest.raises(Exception, match="(?i)complete"):
         io.drain(chunks(spark, landed).writeStream.outputMode("complete").format("memory").queryName("m2"), str(tmp_path / "c2"))
+
+
+def test_session_timers_over_batches(spark, landed, tmp_path):  # STR-19
+    """A late-coming event joins two open sessions; a session that ended leaves the state."""
+    land(landed, 5, [(10, "n", 7, minute(200)), (11, "n", 3, minute(218)), (15, None, 4, minute(219))])
+    land(landed, 6, [(12, "n", 2, minute(209))])
+    land(landed, 7, [(13, "s", 1, minute(400))])
+    land(landed, 8, [(14, "s", 1, minute(500))])
+    out = timers.timed_sessions(chunks(spark, landed), ["region"], "at", F.col("amount"), 10 * 60, "20 minutes")
+    query = io.drain(io.to_files(out, str(tmp_path / "out")), str(tmp_path / "cp"))
+    got = rows(spark.read.parquet(str(tmp_path / "out")).fillna("none").select("region", F.date_format("session_start", "HH:mm").alias("a"), F.date_format("session_end", "HH:mm").alias("b"), "n", "cents"))
+    assert got == [
+        ("n", "10:00", "10:17", 4, 110), ("n", "10:40", "10:50", 1, 60), ("n", "11:30", "11:40", 1, 1), ("n", "13:20", "13:48", 3, 12),
+        ("none", "13:39", "13:49", 1, 4),
+        ("s", "10:01", "10:11", 1, 20), ("s", "10:11", "10:22", 2, 55), ("s", "16:40", "16:50", 1, 1),
+    ]
+    # Only the last session is still open.
+    state = spark.read.format("statestore").option("stateVarName", "open").load(str(tmp_path / "cp"))
+    assert state.select("key._key").distinct().collect() == [('{"region":"s"}',)]
+    assert query.exception() is None
+
+
+def test_merged_spans():
+    assert timers.merge_spans([(40, 41, 1, 1), (0, 5, 2, 2), (14, 21, 1, 4)], 10) == [(0, 21, 3, 6), (40, 41, 1, 1)]
+    assert timers.merge_spans([(0, 5, 1, 1), (15, 16, 1, 1)], 10) == [(0, 5, 1, 1), (15, 16, 1, 1)]
+    assert timers.merge_spans([(0, 5, 1, 1), (14, 16, 1, 1)], 10) == [(0, 16, 2, 2)]
+
+
+def test_idle_keys_are_forgotten(spark, tmp_path):  # STR-19
+    def drained(number, region, amount, forget):
+        land(tmp_path / f"in{forget}", number, [(number, region, amount, minute(0))])
+        out = timers.recent_totals(chunks(spark, tmp_path / f"in{forget}"), ["region"], F.col("amount"), forget)
+        io.drain(io.each_batch(out, io.batch_writer(str(tmp_path / f"out{forget}")), "update"), str(tmp_path / f"cp{forget}"))
+        return rows(spark.read.parquet(str(tmp_path / f"out{forget}")).filter(f"_batch_id = {number}"), "region", "n", "cents")
+
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        assert drained(0, "n", 5, 3600) == [("n", 1, 5)]
+        assert drained(1, "n", 6, 3600) == [("n", 2, 11)]
+        assert drained(0, "n", 5, 1) == [("n", 1, 5)]
+        time.sleep(2)
+        assert drained(1, "n", 6, 1) == [("n", 1, 6)]
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
