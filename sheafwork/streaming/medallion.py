@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheafwork.operators.dedup import keep_one
+from sheafwork.operators import buckets
 from sheafwork.operators.quality import split_rows
-from sheafwork.operators.versions import VersionedTable, upsert
 from sheafwork.streaming import io
 from sheafwork.streaming.aggregates import enrich, unique_events
 
@@ -67,29 +66,16 @@ class Medallion:
         return io.latest_state(self.spark.read.parquet(self.path("gold")), list(keys))
 
 
-def upsert_stream(
-    stream: DataFrame, table: VersionedTable, keys: Sequence[str], newest: Sequence[str], checkpoint: str
-) -> None:
-    """STR-16: merge every micro-batch into a versioned table.
+def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str], checkpoint: str) -> None:
+    """STR-16: merge every micro-batch into the bucketed table at ``path`` (``operators.buckets``).
 
-    ``newest`` names the columns that order the rows of a key. Within a batch the
-    newest row counts; when the table has these columns too, a row that arrives
-    after a newer one is left out. The version a batch writes is tied to the
-    stream's checkpoint and the batch id, so a batch that runs again is
-    recognised, and a second stream is not taken for it.
+    Each batch rewrites the buckets of its keys only. ``newest`` names the
+    columns that order the rows of a key; a row that arrives after a newer one is
+    left out. A batch is known by the stream's checkpoint and its number, so one
+    that runs again is recognised, and a second stream is not taken for it.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        name = f"STREAM {io.feed_of(batch)} {batch_id}"
-        done = table.history().filter(F.col("operation") == name)
-        if not done.isEmpty() or batch.isEmpty():
-            return
-        target = table.read()
-        rows = keep_one(batch, keys, [F.col(c) for c in newest])
-        if set(newest) <= set(target.columns):
-            held = target.select(*keys, F.struct(*newest).alias("_held"))
-            current = F.col("_held").isNull() | (F.struct(*newest) >= F.col("_held"))
-            rows = rows.join(held, list(keys), "left").filter(current).drop("_held")
-        table.commit(upsert(target, rows, keys), name)
+        buckets.merge(batch.sparkSession, path, batch, keys, newest, io.feed_of(batch), batch_id)
 
     io.drain(io.each_batch(stream, merge), checkpoint)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafwork import workspace
-from sheafwork.operators.versions import VersionedTable
+from sheafwork.operators import buckets
 from sheafwork.streaming import aggregates, io, timers
 from sheafwork.streaming.medallion import Medallion, upsert_stream
 from tests.conftest import rows
@@ -108,14 +108,14 @@ def test_progress_of_more_batches_than_spark_remembers(spark, landed, tmp_path):
 
 
 def test_two_feeds_into_one_target(spark, tmp_path):  # STR-13, STR-16
-    table = VersionedTable(spark, workspace.fresh(spark, "up"))
-    table.create(spark.createDataFrame([], "id long, amount long"))
+    table = workspace.fresh(spark, "up")
+    buckets.create(spark.createDataFrame([], "id long, amount long"), table, ["id"], 4)
     for feed in (1, 2):
         land(tmp_path / f"in{feed}", 0, [(feed, "n", feed, minute(0))])
         stream = chunks(spark, tmp_path / f"in{feed}")
         upsert_stream(stream.select("id", "amount"), table, ["id"], ["amount"], workspace.fresh(spark, "cp"))
         io.drain(io.each_batch(stream, io.batch_writer(str(tmp_path / "out"))), str(tmp_path / f"cp{feed}"))
-    assert rows(table.read()) == [(1, 1), (2, 2)]
+    assert rows(buckets.read(spark, table)) == [(1, 1), (2, 2)]
     assert rows(io.stored_batches(spark, str(tmp_path / "out")), "id") == [(1,), (2,)]
 
 
@@ -200,21 +200,62 @@ def test_medallion_over_batches(spark, landed, tmp_path):  # STR-14, STR-15
     assert run() == [("North", 5, 478), ("South", 3, 340)]
 
 
-def test_upsert_stream_versions(spark, landed):  # STR-16
-    table = VersionedTable(spark, workspace.fresh(spark, "up"))
-    table.create(spark.createDataFrame([("n", 0), ("w", 7)], "region string, amount long"))
+def test_upsert_stream_rewrites_few_buckets(spark, landed):  # STR-16
+    table = workspace.fresh(spark, "up")
+    base = spark.createDataFrame([("n", 0), ("w", 7)], "region string, amount long").unionByName(
+        spark.range(200).select(F.concat(F.lit("r"), "id").alias("region"), F.col("id").alias("amount"))
+    )
+    buckets.create(base, table, ["region"], 16)
+    files = lambda: {r[0] for r in spark.read.parquet(table).select("_metadata.file_path").distinct().collect()}
+    before = files()
     stream = chunks(spark, landed).select("region", "amount", "at")
     upsert_stream(stream, table, ["region"], ["at"], workspace.fresh(spark, "cp"))
-    assert rows(table.read()) == [("n", 99), ("s", 5), ("w", 7)]
-    assert table.latest() == len(EVENTS)
+    got = buckets.read(spark, table).where("length(region) = 1")
+    assert rows(got, "region", "amount") == [("n", 99), ("s", 5), ("w", 7)]
+    done = buckets.steps(spark, table).where("state = 'done'")
+    assert rows(done, "batch_id", "buckets") == [(0, 2), (1, 2), (2, 2), (3, 1), (4, 1)]
+    # Files of the buckets without a key of the stream are the old ones.
+    assert len(before) == 16 and len(before & files()) == 14
 
 
 def test_upsert_stream_keeps_newer_rows(spark, landed):  # STR-16
-    table = VersionedTable(spark, workspace.fresh(spark, "up"))
-    table.create(spark.createDataFrame([("n", 0, None), ("w", 7, None)], "region string, amount long, at timestamp"))
+    table = workspace.fresh(spark, "up")
+    buckets.create(spark.createDataFrame([("n", 0, None), ("w", 7, None)], "region string, amount long, at timestamp"), table, ["region"], 4)
     stream = chunks(spark, landed).select("region", "amount", "at")
     upsert_stream(stream, table, ["region"], ["at"], workspace.fresh(spark, "cp"))
-    assert rows(table.read(), "region", "amount") == [("n", 1), ("s", 5), ("w", 7)]
+    assert rows(buckets.read(spark, table), "region", "amount") == [("n", 1), ("s", 5), ("w", 7)]
+
+
+def test_broken_merges_are_finished(spark, monkeypatch):  # STR-16
+    """A batch that fails before or after the replacement of its buckets counts once."""
+    table = workspace.fresh(spark, "up")
+    buckets.create(spark.createDataFrame([(i, i) for i in range(50)], "id long, v long"), table, ["id"], 8)
+    replace, note = buckets._replace, buckets._note
+
+    def fails(*args):
+        raise OSError("lost")
+
+    one, two = (spark.createDataFrame([(1, v), (100, v)], "id long, v long") for v in (-1, -2))
+    monkeypatch.setattr(buckets, "_replace", fails)
+    with pytest.raises(OSError):
+        buckets.merge(spark, table, one, ["id"], ["v"], "f", 0)
+    monkeypatch.setattr(buckets, "_replace", replace)
+    # Another feed comes first: it completes the batch before its own.
+    assert buckets.merge(spark, table, spark.createDataFrame([(2, 7)], "id long, v long"), ["id"], ["v"], "g", 0) == 1
+    assert rows(buckets.read(spark, table).where("id IN (1, 2, 100)")) == [(1, 1), (100, -1), (2, 7)]
+    assert buckets.merge(spark, table, one, ["id"], ["v"], "f", 0) == 0
+
+    def fails_at_the_end(spark_, path, row):
+        if row[2] == "done":
+            raise OSError("lost")
+        note(spark_, path, row)
+
+    monkeypatch.setattr(buckets, "_note", fails_at_the_end)
+    with pytest.raises(OSError):
+        buckets.merge(spark, table, spark.createDataFrame([(1, 9)], "id long, v long"), ["id"], ["v"], "f", 1)
+    monkeypatch.setattr(buckets, "_note", note)
+    assert rows(buckets.read(spark, table).where("id IN (1, 2, 100)")) == [(1, 9), (100, -1), (2, 7)]
+    assert buckets.read(spark, table).count() == 51
 
 
 @pytest.mark.parametrize("policy, columns", [("none", ["a"]), ("rescue", ["a", "_rescued"]), ("addNewColumns", ["a", "b"])])
