@@ -48,12 +48,10 @@ SELECT code AS mot_nrg, geo, CAST(year AS VARCHAR) AS time, CAST(value AS DOUBLE
 def bronze_incremental(spark, sf):
     """Two loads of a growing landing folder; the second adds only what is new."""
     rows = workspace.stage(cube_rows(spark, sf), "cube_rows")
-    folder = land_cubes(spark, rows.filter(F.col("time") <= "1998"))
-    target = workspace.fresh(spark, "bronze")
-    layers.append_rows(bronze.load_cubes(spark, folder, DIMS, "cube_feed", None, pattern="*.txt"), target)
+    folder, target = land_cubes(spark, rows.filter(F.col("time") <= "1998")), workspace.fresh(spark, "bronze")
+    bronze.ingest_cubes(spark, folder, DIMS, "cube_feed", target, f"{target}_checkpoint", "*.txt")
     land_cubes(spark, rows.filter(F.col("time") > "1998"), folder, "_again")
-    loaded = spark.read.parquet(target)
-    layers.append_rows(bronze.load_cubes(spark, folder, DIMS, "cube_feed", loaded, pattern="*.txt"), target)
+    bronze.ingest_cubes(spark, folder, DIMS, "cube_feed", target, f"{target}_checkpoint", "*.txt")
     return spark.read.parquet(target).select(
         "mot_nrg", "geo", "time", "value", "source_name", F.col("source_file").isNotNull().alias("has_file")
     )
@@ -64,9 +62,9 @@ def content_skip(spark, sf):
     """The same cubes landed again under new names between two loads: the second load skips them."""
     rows = workspace.stage(cube_rows(spark, sf), "cube_rows")
     folder, target = land_cubes(spark, rows), workspace.fresh(spark, "bronze")
-    layers.append_rows(bronze.load_cubes(spark, folder, DIMS, "cube_feed", None, pattern="*.txt"), target)
+    bronze.ingest_cubes(spark, folder, DIMS, "cube_feed", target, f"{target}_checkpoint", "*.txt")
     land_cubes(spark, rows, folder, "_again")
-    layers.append_rows(bronze.load_cubes(spark, folder, DIMS, "cube_feed", spark.read.parquet(target), pattern="*.txt"), target)
+    bronze.ingest_cubes(spark, folder, DIMS, "cube_feed", target, f"{target}_checkpoint", "*.txt")
     return spark.read.parquet(target).groupBy("geo").agg(F.count(F.lit(1)).alias("cells"))
 
 
@@ -95,9 +93,9 @@ def csv_bronze_silver(spark, sf):
     # The first delivery carries wrong figures, the second the right ones.
     layers.write_files(rows.withColumn("value", F.col("value") + 1), folder, "csv")
     target = workspace.fresh(spark, "csv_bronze")
-    layers.append_rows(bronze.load_csv(spark, folder, CSV_SCHEMA, "csv_feed", None), target)
+    bronze.ingest_csv(spark, folder, CSV_SCHEMA, "csv_feed", target, f"{target}_checkpoint")
     layers.write_files(rows, folder, "csv", "append")
-    layers.append_rows(bronze.load_csv(spark, folder, CSV_SCHEMA, "csv_feed", spark.read.parquet(target)), target)
+    bronze.ingest_csv(spark, folder, CSV_SCHEMA, "csv_feed", target, f"{target}_checkpoint")
     names = [r[0] for r in table(spark, sf, "nation").select("n_name").distinct().collect()]  # one row per nation
     silver = panel.conform_named(spark.read.parquet(target), {n: n.replace("NATION_", "N") for n in names})
     return silver.withColumn("year", big("year"))

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 SCHEMA = (
     "id array<string>, size array<bigint>, value map<string,double>, "
@@ -21,21 +22,30 @@ SCHEMA = (
 
 def read_cubes(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """One row per cube file, parsed, with its text, path and modification time."""
-    return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .text(path)
-        .select(
-            F.from_json("value", SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"}).alias("c"),
-            F.col("value").alias("document"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_modification_time").alias("modified_at"),
-        )
-        .select("c.*", "document", "source_file", "modified_at")
+    return parse_documents(_documents(spark.read, path, pattern))
+
+
+def stream_documents(spark: SparkSession, path: str, pattern: str = "*.json", max_files_per_trigger: int | None = None) -> DataFrame:
+    """SRC-11: text, path and time of landed cube files as a stream; its checkpoint remembers the files."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _documents(reader, path, pattern)
+
+
+def _documents(reader: DataFrameReader | DataStreamReader, path: str, pattern: str) -> DataFrame:
+    files = reader.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
+    return files.select(
+        F.col("value").alias("document"), F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
     )
 
 
+def parse_documents(documents: DataFrame) -> DataFrame:
+    parsed = F.from_json("document", SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"}).alias("c")
+    return documents.select(parsed, "document", "source_file", "modified_at").select("c.*", "document", "source_file", "modified_at")
+
+
 def split_documents(cubes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Whole documents, and a dead letter (text, path, time) for each broken one."""
     broken = F.col("_corrupt").isNotNull()

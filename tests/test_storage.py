@@ -63,6 +63,30 @@ def test_bronze_cubes_incremental(spark, tmp_path):  # PIP-01, SRC-11, SRC-12
     assert dead.source_file.endswith("e.json") and dead.document == cube_text({"5": 1})[:-20]
 
 
+def test_bronze_stream_opens_new_files_only(spark, tmp_path):  # PIP-01, SRC-11, SRC-12
+    land, target = tmp_path / "land", str(tmp_path / "bronze")
+    land.mkdir()
+
+    def load():
+        log = bronze.ingest_cubes(spark, str(land), ["geo", "time"], "feed", target, str(tmp_path / "cp"))
+        return log.agg(F.sum("input_rows")).first()[0]
+
+    (land / "a.json").write_text(cube_text({"0": 1}))
+    (land / "b.json").write_text(cube_text({"0": 1}, ("dimension", "value", "size", "id")))
+    assert load() == 2 and spark.read.parquet(target).count() == 1
+    (land / "c.json").write_text(cube_text({"1": 2, "3": 4}))
+    (land / "d.json").write_text(cube_text({"0": 1}))
+    (land / "e.json").write_text(cube_text({"5": 1})[:-20])
+    assert load() == 3 and not load()
+    stored = spark.read.parquet(target)
+    assert rows(stored, "geo", "time", "value") == [("AT", "2020", 1.0), ("AT", "2021", 2.0), ("RO", "2020", 4.0)]
+    (dead,) = spark.read.parquet(f"{target}_broken").collect()
+    assert dead.source_file.endswith("e.json") and dead.document == cube_text({"5": 1})[:-20]
+    # Another checkpoint sees all files again, and no new content.
+    again = bronze.ingest_cubes(spark, str(land), ["geo", "time"], "feed", target, str(tmp_path / "cp2"), max_files_per_trigger=2)
+    assert rows(again, "input_rows") == [(1,), (2,), (2,)] and spark.read.parquet(target).count() == 3
+
+
 def test_content_hashes(spark, tmp_path):  # SRC-12
     for name, text in (("a.json", cube_text({"0": 1})), ("b.json", cube_text({"0": 1}, ("value", "id", "size", "dimension")))):
         (tmp_path / name).write_text(text)
