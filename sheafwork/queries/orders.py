@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from sheafwork import workspace
 from sheafwork.operators import quality
 from sheafwork.plans import orders as jobs
+from sheafwork.plans.periods import PERIOD, PeriodFlow, PeriodTable, period_of
 from sheafwork.plans.run import Step, run_steps
-from sheafwork.queries.registry import big, money, query, real, table
+from sheafwork.queries.registry import REGISTRY, big, money, query, real, table
+from sheafwork.streaming import io
 
 RAW_SQL = """
 src AS (SELECT o.*, c_name, r_name FROM orders o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -131,6 +133,30 @@ def sales(spark, sf):
     return jobs.silver_sales(raw_sales(spark, sf), *dimensions(spark, sf))
 
 
+def streamed_sales(spark, sf):
+    """Raw sales landed in two deliveries and streamed into bronze; silver by region and daily gold, each period as it changes.
+
+    The orders span years, so their layers go by quarter.
+    """
+    root = workspace.fresh(spark, "sales_flow")
+    raw = workspace.stage(raw_sales(spark, sf), "raw_sales").withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp"))
+    flow = PeriodFlow(spark, root, "quarter")
+    silver, gold = PeriodTable(spark, f"{root}/silver", ["region"]), PeriodTable(spark, f"{root}/gold")
+    products, customers = dimensions(spark, sf)
+
+    def clean(rows):
+        return jobs.silver_sales(rows, products, customers).withColumn(PERIOD, period_of(F.col("event_time"), "quarter"))
+
+    def summarise(rows):
+        return jobs.daily_revenue(rows, ["order_date", "category", "region", PERIOD], "total_amount", "customer_id")
+
+    for late in (False, True):
+        raw.filter((F.col("event_time") >= "2000-01-01") == late).write.mode("append").parquet(f"{root}/landing")
+        flow.bronze(io.file_stream(spark, f"{root}/landing", raw.schema), "event_time", f"{root}/checkpoint")
+        flow.refresh(clean, silver, gold, summarise)
+    return silver.read().drop(PERIOD), gold.read().drop(PERIOD)
+
+
 @query("sales_silver", "PIP-25", f"""WITH {SALES_SQL}
 SELECT order_id, customer_id, product_id, qty, CAST(total_amount AS DOUBLE) AS total_amount, order_date, product_name, category,
        customer_name, region, tier FROM sales""")
@@ -150,6 +176,34 @@ def sales_daily_revenue(spark, sf):
     return out.withColumn("revenue", real("revenue"))
 
 
+@query("sales_streamed", "PIP-25 STR-13 SNK-06", REGISTRY["sales_daily_revenue"].sql)
+def sales_streamed(spark, sf):
+    """Daily revenue as the streamed layers hold it after two deliveries."""
+    return streamed_sales(spark, sf)[1].withColumn("revenue", real("revenue"))
+
+
+@query("orders_layers", "PIP-24 SNK-06 SNK-07", REGISTRY["daily_revenue"].sql)
+def orders_layers(spark, sf):
+    """Bronze and silver orders written by period and region; gold recomputed for the periods of each of two deliveries."""
+    root = workspace.fresh(spark, "orders_flow")
+    raw = workspace.stage(raw_orders(spark, sf), "raw_orders")
+    flow = PeriodFlow(spark, root, "quarter")
+    silver_table, gold = PeriodTable(spark, f"{root}/silver", ["region"]), PeriodTable(spark, f"{root}/gold")
+
+    def clean(rows):
+        return jobs.silver_orders(jobs.bronze_orders(rows)).withColumn(PERIOD, period_of(F.col("order_date"), "quarter"))
+
+    def summarise(rows):
+        return jobs.daily_revenue(rows, ["order_date", "region", "category", PERIOD], "amount")
+
+    # The copies come with the second delivery.
+    for again in (False, True):
+        raw.filter((F.to_date("_ingested_at") > "2024-01-01") == again).write.mode("append").parquet(f"{root}/landing")
+        flow.bronze(io.file_stream(spark, f"{root}/landing", raw.schema), "order_date", f"{root}/checkpoint")
+        flow.refresh(clean, silver_table, gold, summarise)
+    return gold.read().drop(PERIOD).withColumn("revenue", real("revenue"))
+
+
 @query("sales_customer_rank", "PIP-25 WIN-02", f"""WITH {SALES_SQL},
 v AS (SELECT customer_id, customer_name, region, tier, count(order_id) AS total_orders, sum(total_amount) AS ltv,
              count(DISTINCT category) AS categories_bought FROM sales GROUP BY 1, 2, 3, 4)
@@ -177,9 +231,8 @@ SELECT 'category' AS question, category AS answer, CAST(sum(total_amount) AS DOU
 UNION ALL SELECT 'tier', tier, CAST(sum(ltv) AS DOUBLE) / count(*) FROM v GROUP BY 2
 UNION ALL SELECT 'region', region, CAST(sum(total_amount) AS DOUBLE) FROM sales GROUP BY 2""")
 def sales_questions(spark, sf):
-    """Three questions answered from the gold tables, which are stored once."""
-    rows = workspace.stage(sales(spark, sf), "sales")
-    daily = jobs.daily_revenue(rows, ["order_date", "category", "region"], "total_amount")
+    """Three questions answered from the layers that the sales stream feeds."""
+    rows, daily = streamed_sales(spark, sf)
     values = jobs.customer_value(rows, ["customer_id", "tier"], "total_amount")
 
     def answer(name, df, key, amount):
