@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,16 @@ def create(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     _note(df.sparkSession, path, ("", -1, "created", placed.schema.json(), buckets))
 
 
+def ensure(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int) -> None:
+    """Create the table without rows unless it is there."""
+    try:
+        _created(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        create(spark.createDataFrame([], schema), path, keys, buckets)
+
+
 def _steps_path(path: str) -> str:
     return f"{path.rstrip('/')}_steps"
 
@@ -88,7 +99,8 @@ def merge(
 
     ``newest`` names the columns that order the rows of a key: within a batch the
     newest row counts, and where the table has these columns too, a row older
-    than the one held is left out. A batch whose feed and number are done is
+    than the one held is left out; without names every row replaces the one held.
+    A batch whose feed and number are done is
     skipped.
     """
     finish(spark, path)
@@ -104,7 +116,7 @@ def merge(
         return 0
     target = _stored(spark, path).where(F.col(_BUCKET).isin(touched))
     fresh = placed
-    if set(newest) <= set(target.columns):
+    if newest and set(newest) <= set(target.columns):
         held = target.select(*keys, F.struct(*newest).alias("_held"))
         current = F.col("_held").isNull() | (F.struct(*newest) >= F.col("_held"))
         fresh = placed.join(held, list(keys), "left").where(current).drop("_held")

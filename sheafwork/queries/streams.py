@@ -75,6 +75,36 @@ def stream_tumbling(spark, sf):
     )
 
 
+@query("stream_table_sink", "STR-06 STR-08 SNK-01 SRC-08", REGISTRY["stream_tumbling"].sql)
+def stream_table_sink(spark, sf):
+    """Five-minute windows appended to a catalog table, in two runs of one checkpoint."""
+    folder = workspace.fresh(spark, "table_sink")
+    name = "windows_" + folder.rsplit("-", 1)[1]
+    for source in ("events", "closing"):
+        # The closing row lands after the first run and lets the last windows out.
+        rows = table(spark, sf, "events").withColumn("closing", F.lit(False))
+        if source == "closing":
+            far = (F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")
+            rows = rows.agg(far).withColumn("closing", F.lit(True)).select(
+                *["ts" if f.name == "ts" else "closing" if f.name == "closing" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+            )
+        rows.write.mode("append").parquet(f"{folder}/in")
+        stream = io.event_time(io.file_stream(spark, f"{folder}/in", rows.schema), "ts")
+        out = aggregates.windowed(stream, "ts", "5 minutes", ["event_type", "closing"], _totals(), "10 minutes")
+        io.drain_to_table(out, name, f"{folder}/checkpoint", f"{folder}/table")
+    got = spark.table(name).filter(~F.col("closing"))
+    return got.select(_clock("window_start").alias("window_start"), "event_type", "n", real("total").alias("total"))
+
+
+@query("stream_complete", "STR-04 STR-06", f"SELECT event_type, {_TOTALS} FROM events GROUP BY 1")
+def stream_complete(spark, sf):
+    """Totals by type in complete mode: every batch delivers the whole result."""
+    folder = workspace.fresh(spark, "complete")
+    out = table_stream(spark, sf, "events").groupBy("event_type").agg(*_totals())
+    io.drain(io.each_batch(out, io.whole_results(f"{folder}/rows"), "complete"), f"{folder}/checkpoint")
+    return io.current_result(spark, f"{folder}/rows").withColumn("total", real("total"))
+
+
 @query("stream_sliding", "STR-10", """
 WITH w AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) - to_minutes(30 * k) AS s, value FROM events, (VALUES (0), (1)) v(k))
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,

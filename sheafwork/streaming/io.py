@@ -76,6 +76,37 @@ def to_files(stream: DataFrame, path: str, fmt: str = "parquet") -> DataStreamWr
     return stream.writeStream.outputMode("append").format(fmt).option("path", path)
 
 
+def drain_to_table(stream: DataFrame, name: str, checkpoint: str, path: str | None = None) -> StreamingQuery:
+    """STR-06: append everything that is available to a catalog table, creating it on first use; exactly once."""
+    writer = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    if path:
+        writer = writer.option("path", path)
+    query = writer.trigger(availableNow=True).toTable(name)
+    query.awaitTermination()
+    return query
+
+
+def whole_results(path: str) -> Callable[[DataFrame, int], None]:
+    """STR-04: a foreachBatch job for complete mode, which hands over the whole result in every batch.
+
+    Results take turns in two folders, and a batch counts once its number is
+    noted. So readers of ``current_result`` see a whole result at any time, and
+    no more than two are kept.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/turn={batch_id % 2}")
+        noted = batch.sparkSession.createDataFrame([(batch_id,)], "batch_id bigint")
+        noted.coalesce(1).write.mode("append").parquet(f"{path}_batches")
+
+    return write
+
+
+def current_result(spark: SparkSession, path: str) -> DataFrame:
+    newest = spark.read.schema("batch_id bigint").parquet(f"{path}_batches").agg(F.max("batch_id")).first()[0]
+    return spark.read.parquet(f"{path}/turn={newest % 2}")
+
+
 def each_batch(
     stream: DataFrame, work: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> DataStreamWriter:

@@ -331,3 +331,26 @@ def test_idle_keys_are_forgotten(spark, tmp_path):  # STR-19
         assert drained(1, "n", 6, 1) == [("n", 1, 6)]
     finally:
         spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
+def test_table_sink_appends_over_runs(spark, landed, tmp_path):  # STR-06
+    name = "sink_" + tmp_path.name.replace("-", "_")
+    for run in (0, 1):
+        if run:
+            land(landed, 7, [(20, "w", 1, minute(300))])
+        io.drain_to_table(chunks(spark, landed), name, str(tmp_path / "cp"), str(tmp_path / "t"))
+    assert rows(spark.table(name), "id")[-2:] == [(8,), (9,)] and spark.table(name).count() == sum(map(len, EVENTS)) + 1
+
+
+def test_complete_mode_keeps_two_whole_results(spark, landed, tmp_path):  # STR-04
+    out = chunks(spark, landed).groupBy("region").agg(F.sum("amount").alias("total"))
+    path, seen = str(tmp_path / "out"), []
+    write = io.whole_results(path)
+
+    def watched(batch, batch_id):
+        write(batch, batch_id)
+        seen.append(rows(io.current_result(spark, path)))
+
+    io.drain(io.each_batch(out, watched, "complete"), str(tmp_path / "cp"))
+    assert seen == [[("n", 40), ("s", 20)], [("n", 110), ("s", 70)], [("n", 170), ("s", 75)], [("n", 171), ("s", 75)], [("n", 270), ("s", 75)]]
+    assert sorted(d for d in os.listdir(path) if "=" in d) == ["turn=0", "turn=1"]
