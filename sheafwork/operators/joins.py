@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafwork import workspace
 
 BROADCAST_BYTES = 32 << 20
 
@@ -78,6 +79,52 @@ def range_lookup(
     return keyed.alias("f").join(_small(grid, max_rows).alias("g"), inside, "left").drop("_cell", "_value")
 
 
+def dyadic_cells(low: Column, high: Column) -> Column:
+    """Aligned cells that make up the whole numbers in [low, high): structs of ``level`` and ``cell``.
+
+    A cell of level k holds 2^k numbers. At most two cells of a level are needed,
+    so there are at most 2 log2(high - low) of them, however wide the range.
+    """
+
+    def of_level(k: Column) -> Column:
+        first, end = -F.call_function("shiftright", -low, k), F.call_function("shiftright", high, k)
+
+        def cell(at: Column, taken: Column) -> Column:
+            return F.when((first < end) & taken, F.struct(k.alias("level"), at.alias("cell")))
+
+        return F.array(cell(first, first % 2 != 0), cell(end - 1, end % 2 != 0))
+
+    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), of_level))
+    return F.filter(cells, lambda c: c.isNotNull())
+
+
+def range_join(
+    fact: DataFrame, value: Column, ranges: DataFrame, low: str, high: str, unit: float, max_rows: int = 100_000
+) -> DataFrame:
+    """JON-15: each fact row with every range [low, high) that holds ``value``; ranges may overlap and differ in width.
+
+    Ranges are cut into aligned cells of growing size, in units of ``unit``; a
+    fact row looks up one cell of every level that occurs, so the inequality
+    becomes an equi-join on level and cell with a residual filter. A range has
+    at most 2 log2(width / unit) copies and a fact row one for each level.
+    """
+    first = F.floor(F.col(low) / F.lit(unit)).cast("bigint")
+    end = F.ceil(F.col(high) / F.lit(unit)).cast("bigint")
+    # Kept as a column, so that the cells are worked out once.
+    celled = ranges.where(F.col(low) < F.col(high)).withColumn("_cells", dyadic_cells(first, end))
+    cells = workspace.stage(celled.select("*", F.explode("_cells").alias("_c")).select("*", "_c.level", "_c.cell").drop("_cells", "_c").withColumnsRenamed(
+        {"level": "_level", "cell": "_cell"}
+    ), "range_cells")
+    # No more than 63 numbers.
+    levels = sorted(r[0] for r in cells.select("_level").distinct().collect())
+    place = F.floor(value / F.lit(unit)).cast("bigint")
+    asked = fact.withColumns({"_value": value, "_place": place}).withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>")))
+    asked = asked.withColumn("_cell", F.expr("shiftright(_place, _level)"))
+    met = asked.join(_small(cells, max_rows), ["_level", "_cell"])
+    inside = (F.col("_value") >= F.col(low)) & (F.col("_value") < F.col(high))
+    return met.where(inside).drop("_level", "_cell", "_value", "_place")
+
+
 def densify(df: DataFrame, keys: Sequence[str], period: str, first: int, last: int) -> DataFrame:
     """Every key with every period in [first, last]; measures are null where absent.
 

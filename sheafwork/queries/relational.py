@@ -397,6 +397,20 @@ def join_range(spark, sf):
     )
 
 
+@query("join_range_overlaps", "JON-15", """
+WITH ranges AS (SELECT s_suppkey, CAST(s_suppkey * 997 % 300000 AS DOUBLE) AS low,
+                       CAST(s_suppkey * 997 % 300000 + (50 << CAST(s_suppkey % 12 AS INTEGER)) AS DOUBLE) AS high FROM supplier)
+SELECT s_suppkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders JOIN ranges ON o_totalprice >= low AND o_totalprice < high GROUP BY 1""")
+def join_range_overlaps(spark, sf):
+    """Order prices in overlapping ranges of widths from 50 to 102400."""
+    low = F.col("s_suppkey") * 997 % 300000
+    high = low + F.pow(F.lit(2), F.col("s_suppkey") % 12) * 50
+    ranges = table(spark, sf, "supplier").select("s_suppkey", real(low).alias("low"), real(high).alias("high"))
+    found = joins.range_join(table(spark, sf, "orders").select("o_totalprice"), F.col("o_totalprice"), ranges, "low", "high", 50.0)
+    return found.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n"), real(F.sum(money("o_totalprice"))).alias("total"))
+
+
 @query("join_salted", "JON-16", """
 SELECT l_orderkey AS orderkey, l_linenumber::BIGINT AS linenumber, l_suppkey AS suppkey, s_name
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""")

@@ -175,6 +175,16 @@ def zorder_layout(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("zorder_mixed_types", "VER-12", """
+SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders""")
+def zorder_mixed_types(spark, sf):
+    """Orders clustered by a text and a date."""
+    path = workspace.fresh(spark, "zorder")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"))
+    layout.z_order(rows, ["o_orderpriority", "day"], path, layout.files_for(rows, at_least=16))
+    return spark.read.parquet(path)
+
+
 @query("zorder_skipping", "VER-12")
 def zorder_skipping(spark, sf):
     """Value ranges per file after clustering on two columns."""

@@ -33,8 +33,8 @@ def compact_to(df: DataFrame, path: str, files: int) -> None:
     df.repartition(files).write.mode("errorifexists").parquet(path)
 
 
-def _bucket(value: Column, edges: Sequence[float]) -> Column:
-    """Number of edges at or below ``value``, as a balanced tree of comparisons.
+def _bucket(value: Column, edges: Sequence) -> Column:
+    """Number of edges at or below ``value``, as a balanced tree of comparisons; null is in the first bucket.
 
     The tree stays inside generated code and needs log2(edges) comparisons.
     """
@@ -43,26 +43,45 @@ def _bucket(value: Column, edges: Sequence[float]) -> Column:
         if low == high:
             return F.lit(low).cast("bigint")
         middle = (low + high) // 2
-        return F.when(value >= edges[middle], search(middle + 1, high)).otherwise(search(low, middle))
+        return F.when(value >= F.lit(edges[middle]), search(middle + 1, high)).otherwise(search(low, middle))
 
     return search(0, len(edges))
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, error: float = 0.01) -> Column:
-    """VER-12: interleaved bits of each column's quantile bucket.
+#: Rows of the sample that bucket edges are taken from.
+SAMPLE_ROWS = 10_000
 
-    The bucket edges are approximate quantiles: ``2 ** bits - 1`` numbers per
-    column, whatever the size of the table.
+
+def bucket_edges(df: DataFrame, columns: Sequence[str], buckets: int, sample_rows: int = SAMPLE_ROWS) -> list[list]:
+    """Values that cut each column, of any type that orders, into buckets of about equal rows.
+
+    One pass takes a sample of ``sample_rows`` rows for all columns, whatever the
+    size of the table. Ordering is Spark's, so texts, dates and decimals have
+    edges like numbers. A value that holds many rows is one edge.
     """
-    buckets = 2**bits
-    edges = df.approxQuantile(list(columns), [i / buckets for i in range(1, buckets)], error)
+    sample = df.select(*[F.col(c).alias(f"_c{j}") for j, c in enumerate(columns)]).orderBy(F.rand(7)).limit(sample_rows)
+    found = []
+    for j in range(len(columns)):
+        # Nulls are first in order and get no edge.
+        ordered = F.array_sort(F.collect_list(f"_c{j}"))
+        at = F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda i: (i * F.size(ordered) / buckets).cast("int"))
+        found.append(F.array_distinct(F.filter(F.transform(at, lambda i: F.get(ordered, i)), lambda v: v.isNotNull())).alias(f"_c{j}"))
+    row = sample.agg(*found).first()
+    return [list(row[j] or []) for j in range(len(columns))]
+
+
+def with_z_value(df: DataFrame, columns: Sequence[str], name: str, bits: int = 6) -> DataFrame:
+    """VER-12: ``name``, the interleaved bits of each column's bucket; at most ``2 ** bits - 1`` edges a column."""
+    edges = bucket_edges(df, columns, 2**bits)
+    # A column for each key, so that a tree of comparisons runs once and not for every bit.
+    parts = [f"{name}_{j}" for j in range(len(columns))]
+    placed = df.withColumns({part: _bucket(F.col(c), e) for part, c, e in zip(parts, columns, edges)})
     z = F.lit(0).cast("bigint")
-    for j, (name, bounds) in enumerate(zip(columns, edges)):
-        bucket = _bucket(F.col(name).cast("double"), sorted(set(bounds)))
+    for j, part in enumerate(parts):
         for i in range(bits):
-            bit = F.shiftright(bucket, i).bitwiseAND(F.lit(1).cast("bigint"))
+            bit = F.shiftright(part, i).bitwiseAND(F.lit(1).cast("bigint"))
             z = z + F.shiftleft(bit, i * len(columns) + j)
-    return z
+    return placed.withColumn(name, z).drop(*parts)
 
 
 ROWS_PER_FILE = 5_000_000
@@ -75,7 +94,7 @@ def files_for(df: DataFrame, at_least: int = 1, rows_per_file: int = ROWS_PER_FI
 
 def z_order(df: DataFrame, columns: Sequence[str], path: str, files: int, bits: int = 6) -> None:
     """VER-12: write files in which rows close in all ``columns`` lie together."""
-    placed = df.withColumn("_z", z_value(df, columns, bits))
+    placed = with_z_value(df, columns, "_z", bits)
     (
         placed.repartitionByRange(files, "_z")
         .sortWithinPartitions("_z")

@@ -249,3 +249,25 @@ def test_code_tables():  # PIP-04
     assert len(refdata.REGION_CODES) == 53 and len(refdata.MEMBERS) == 27
     assert set(refdata.FUEL_LABELS) == set(refdata.FUEL_CATEGORIES) and len(refdata.FUEL_LABELS) == 16
     assert refdata.stock_categories()["PET"] == "Combustion" and refdata.stock_labels()["DIE"] == "Diesel"
+
+
+def test_dyadic_cells(spark):  # JON-15
+    for low, high in [(0, 1), (3, 3), (5, 4), (-7, 9), (1, 1 << 40), (-(1 << 50) - 3, (1 << 50) + 5), (6, 7)]:
+        got = spark.range(1).select(joins.dyadic_cells(F.lit(low).cast("bigint"), F.lit(high).cast("bigint")).alias("c")).first().c
+        spans = sorted((c.cell << c.level, (c.cell + 1) << c.level) for c in got)
+        assert len(spans) <= 2 * max(high - low, 2).bit_length()
+        assert [a for a, _ in spans[1:]] == [b for _, b in spans[:-1]]
+        assert (spans[0][0], spans[-1][1]) == (low, high) if low < high else not spans
+
+
+def test_range_join(spark):  # JON-15
+    import random
+
+    rng = random.Random(2)
+    ranges = [(k, a := rng.uniform(-500, 500), a + 10 ** rng.uniform(-2, 5)) for k in range(60)] + [(60, 1.0, 1.0), (61, 5.0, 4.0), (62, None, 4.0), (63, 2.0, 3.0), (63, 2.0, 3.0)]
+    values = [rng.uniform(-600, 900) for _ in range(300)] + [1.0, 2.0, 3.0, None]
+    table = spark.createDataFrame(ranges, "k int, low double, high double")
+    found = joins.range_join(spark.createDataFrame([(v,) for v in values], "v double"), F.col("v"), table, "low", "high", 0.5)
+    want = [(v, k) for v in values for k, a, b in ranges if v is not None and a is not None and a <= v < b]
+    assert rows(found, "v", "k") == sorted(want, key=repr)
+    assert joins.range_join(found, F.col("v"), table.limit(0).withColumnsRenamed({"k": "k2", "low": "l2", "high": "h2"}), "l2", "h2", 1.0).count() == 0

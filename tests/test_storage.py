@@ -243,6 +243,27 @@ def test_z_order_skips_more_files(spark):  # VER-12
     assert rows(spark.read.parquet(clustered)) == rows(df)
 
 
+def test_z_order_over_text_and_dates(spark):  # VER-12
+    df = spark.range(12000).select(
+        F.when(F.col("id") % 50 > 0, F.concat(F.lit("c"), F.hash("id") % 40)).alias("country"),
+        F.date_add(F.lit("2020-01-01"), F.pmod(F.hash(F.col("id") + 7), F.lit(700))).alias("day"),
+        F.col("id").cast("decimal(12,2)").alias("n"),
+    )
+    edges = layout.bucket_edges(df, ["country", "day", "n"], 8, sample_rows=2000)
+    assert all(e == sorted(set(e)) and 6 <= len(e) <= 7 for e in edges)
+    clustered, plain = workspace.fresh(spark, "z"), workspace.fresh(spark, "plain")
+    layout.z_order(df, ["country", "day"], clustered, 16)
+    layout.compact_to(df, plain, 16)
+
+    def touched(path):
+        ranges = layout.file_ranges(spark.read.parquet(path), ["country", "day"])
+        return ranges.filter("min_country <= 'c12' AND max_country >= 'c12'").count() + ranges.filter("min_day <= '2020-06-01' AND max_day >= '2020-06-01'").count()
+
+    assert touched(clustered) < touched(plain) * 0.6
+    assert rows(spark.read.parquet(clustered)) == rows(df)
+    layout.z_order(df.limit(0), ["country", "day"], workspace.fresh(spark, "z"), 2)
+
+
 def test_compaction(spark):  # VER-11, VER-14
     many, few = workspace.fresh(spark, "many"), workspace.fresh(spark, "few")
     spark.range(1000).repartition(20).write.parquet(many)
