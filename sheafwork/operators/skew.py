@@ -18,13 +18,39 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_KEYS = 100_000
 
 
+#: Smallest share of the rows that the frequency sketch can tell.
+LEAST_SUPPORT = 1e-6
+
+
+def frequent_candidates(df: DataFrame, keys: Sequence[str], support: float) -> DataFrame:
+    """QLT-07: all keys with at least ``support`` of the rows, and perhaps some others; at most 1 / support rows.
+
+    A Misra-Gries sketch of that many counters is filled in each task and merged:
+    one pass, and no row of a key is shuffled.
+    """
+    found = df.select(F.struct(*keys).alias("_key")).stat.freqItems(["_key"], support)
+    return found.select(F.explode("_key_freqItems").alias("_key")).select("_key.*")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more than ``limit`` rows and the number of parts they need.
 
-    There are at most rows / limit such keys, whatever the data looks like.
+    There are at most rows / limit such keys, whatever the data looks like. A
+    sketch names the candidates and a second pass counts them exactly; all other
+    keys are neither shuffled nor counted.
     """
+    total = df.count()
+    rows = df
+    if total * LEAST_SUPPORT <= limit < total:
+        candidates = frequent_candidates(df, keys, limit / total)
+        names = [f"_hot_{k}" for k in keys]
+        # At most total / limit rows, so no more than 1 / LEAST_SUPPORT; Spark broadcasts them where they are few.
+        stored = workspace.stage(candidates.withColumnsRenamed(dict(zip(keys, names))), "frequent")
+        rows = df.join(stored, _match(keys, names), "left_semi")
+    elif limit >= total:
+        rows = df.limit(0)
     return (
-        df.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > limit)
         .select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("int").alias("_parts"))

@@ -14,10 +14,10 @@ Two situations are told apart:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sheafwork import workspace
@@ -335,6 +335,51 @@ def neighbours(
     return df.withColumns({lag_name: F.lag(column).over(w), lead_name: F.lead(column).over(w)})
 
 
+#: Consecutive rows of a group that one window works on.
+ROWS_PER_BLOCK = 1_000_000
+
+
+def framed(
+    df: DataFrame, keys: Sequence[str], by: str, tie: Sequence[str], before: int, after: int,
+    columns: Mapping[str, Callable[[WindowSpec], Column]], block_rows: int = ROWS_PER_BLOCK, slices: int | None = None,
+) -> DataFrame:
+    """WIN-09: columns over the ``before`` preceding and ``after`` following rows, for groups of any size.
+
+    ``columns`` maps names to functions of the window. Rows are numbered within
+    their group by slices, and blocks of ``block_rows`` consecutive rows are
+    windowed on their own. Each block also gets the rows of its neighbours
+    that its edges need, as many as the frame is long.
+    """
+    size = max(block_rows, before, after, 1)
+    numbered = OrderedSlices.build(df, keys, by, tie, slices=slices).ranked()
+    at = F.col("row_number") - 1
+    home, place = F.floor(at / size).cast("bigint"), at % size
+    blocks = F.array(home, F.when(place >= size - before, home + 1), F.when((place < after) & (home > 0), home - 1))
+    spread = numbered.withColumn("_home", home).withColumn("_block", F.explode(F.filter(blocks, lambda b: b.isNotNull())))
+    window = Window.partitionBy(*keys, "_block").orderBy("row_number").rowsBetween(-before, after)
+    return spread.withColumns({name: make(window) for name, make in columns.items()}).where("_block = _home").select(*df.columns, *columns)
+
+
+def range_totals(
+    df: DataFrame, keys: Sequence[str], by: Column, before: int, after: int, sums: Mapping[str, Column], name: str = "at"
+) -> DataFrame:
+    """WIN-12: for each group and whole number ``by``, sums over rows with ``by`` from ``-before`` to ``+after``.
+
+    Rows of one value are added up first, on the map side, so a group that holds
+    most rows leaves one row for each value. Values are cut into cells of the
+    frame's length; a value near an edge also goes to the neighbour cell. So a
+    window sees the values of three cells at most.
+    """
+    length = max(before, after, 1)
+    one = df.groupBy(*keys, by.cast("bigint").alias(name)).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).where(F.col(name).isNotNull())
+    home = F.floor(F.col(name) / length).cast("bigint")
+    place = F.pmod(F.col(name), F.lit(length))
+    cells = F.array(home, F.when(place >= length - before, home + 1), F.when(place < after, home - 1))
+    spread = one.withColumn("_home", home).withColumn("_cell", F.explode(F.filter(cells, lambda c: c.isNotNull())))
+    window = Window.partitionBy(*keys, "_cell").orderBy(name).rangeBetween(-before, after)
+    return spread.select(*keys, name, "_home", "_cell", *[F.sum(n).over(window).alias(n) for n in sums]).where("_cell = _home").drop("_home", "_cell")
+
+
 def ntile(row_number: Column, group_rows: Column, tiles: int) -> Column:
     """WIN-05: tile number from a row number and the group size."""
     small = F.floor(group_rows / tiles)

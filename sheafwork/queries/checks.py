@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafwork.operators import dedup, quality
+from sheafwork import workspace
+from sheafwork.operators import dedup, quality, skew
 from sheafwork.queries.registry import big, money, query, real, table
 from sheafwork.queries.relational import HOLED_SQL, holed
 
@@ -87,6 +88,17 @@ def key_skew(spark, sf):
     return quality.key_skew(table(spark, sf, "events"), ["user_id"])
 
 
+@query("hot_key_report", "QLT-07 JON-16", """
+SELECT p_type AS category, l_returnflag AS flag, CAST(ceil(count(*) / 2000.0) AS INTEGER) AS parts
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2 HAVING count(*) > 2000""")
+def hot_key_report(spark, sf):
+    """Keys of two columns with more than 2000 rows: candidates from a sketch, counted exactly."""
+    parts = table(spark, sf, "part").select("p_partkey", F.col("p_type").alias("category"))
+    lines = table(spark, sf, "lineitem").select("l_partkey", F.col("l_returnflag").alias("flag"))
+    rows = workspace.stage(lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select("category", "flag"), "line_keys")
+    return skew.hot_keys(rows, ["category", "flag"], 2000).withColumnRenamed("_parts", "parts")
+
+
 @query("masked_view", "QLT-09", """
 SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name ELSE '***' END AS c_name,
        CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) END AS balance FROM customer WHERE c_nationkey <= 12""")

@@ -127,6 +127,30 @@ def win_moving(spark, sf):
     )
 
 
+@query("win_moving_raw", "WIN-09", """
+SELECT event_id, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS DOUBLE)
+         / count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS centred
+FROM events""")
+def win_moving_raw(spark, sf):
+    """Centred mean over the raw events of five types, each in blocks."""
+    rows = table(spark, sf, "events").select("event_id", "event_type", "ts", money("value").alias("value"))
+    mean = {"total": lambda w: F.sum("value").over(w), "n": lambda w: F.count(F.lit(1)).over(w)}
+    out = windows.framed(rows, ["event_type"], "ts", ["event_id"], 1, 1, mean)
+    return out.select("event_id", (real("total") / F.col("n")).alias("centred"))
+
+
+@query("win_range_raw", "WIN-12", """
+WITH s AS (SELECT event_type, CAST(epoch(ts) AS BIGINT) AS second, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total FROM events GROUP BY 1, 2)
+SELECT event_type, second, CAST(sum(n) OVER w AS BIGINT) AS n, CAST(sum(total) OVER w AS DOUBLE) AS total
+FROM s WINDOW w AS (PARTITION BY event_type ORDER BY second RANGE BETWEEN 604799 PRECEDING AND CURRENT ROW)""")
+def win_range_raw(spark, sf):
+    """Events and value of the seven days up to each second of the raw events."""
+    rows = table(spark, sf, "events")
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    out = windows.range_totals(rows, ["event_type"], second, 7 * 86400 - 1, 0, {"n": F.lit(1), "total": money("value")}, "second")
+    return out.withColumn("total", real("total"))
+
+
 @query("win_partition_agg", "WIN-10", """
 SELECT c_custkey, min(c_acctbal) OVER w AS lowest, max(c_acctbal) OVER w AS highest, count(*) OVER w AS n,
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) - max(CAST(c_acctbal AS DECIMAL(18,2))) OVER w AS DOUBLE) AS gap

@@ -179,3 +179,44 @@ def test_top_values_keep_all_ties(data):
     pdf = pd.DataFrame(raw, columns=["id", "k", "v", "x"]).dropna(subset=["v"])
     pdf["rnk"] = pdf.groupby("k")["v"].rank(method="dense", ascending=False).astype(int)
     assert got == {(r.id, r.rnk) for r in pdf[pdf.rnk <= 2].itertuples()}
+
+
+@pytest.mark.parametrize("before, after, block", [(1, 1, 2), (3, 0, 3), (0, 4, 5), (2, 5, 50)])
+def test_frames_over_blocks(data, before, after, block):  # WIN-09
+    df, _ = data
+    make = {"s": lambda w: F.sum("x").over(w), "n": lambda w: F.count("*").over(w), "top": lambda w: F.max("x").over(w)}
+    got = windows.framed(df, ["k"], "v", ["id"], before, after, make, block, slices=5)
+    plain = Window.partitionBy("k").orderBy(F.asc_nulls_last("v"), "id").rowsBetween(-before, after)
+    assert rows(got) == rows(df.withColumns({n: f(plain) for n, f in make.items()}))
+
+
+@pytest.mark.parametrize("before, after", [(6, 0), (2, 3), (0, 1), (0, 0)])
+def test_range_totals(spark, before, after):  # WIN-12
+    rng = random.Random(before)
+    raw = [(rng.choice(["hot", "hot", "a", None]), rng.choice([None, *range(-20, 25, 1 + rng.randrange(2))]), rng.randrange(100)) for _ in range(500)]
+    df = spark.createDataFrame(raw, "k string, v long, x long")
+    got = windows.range_totals(df, ["k"], F.col("v"), before, after, {"s": F.col("x"), "n": F.lit(1)})
+    want = []
+    for k, v in {(r[0], r[1]) for r in raw if r[1] is not None}:
+        near = [r[2] for r in raw if r[0] == k and r[1] is not None and v - before <= r[1] <= v + after]
+        want.append((k, v, sum(near), len(near)))
+    assert rows(got, "k", "at", "s", "n") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("limit", [40, 100, 700, 5000])
+def test_hot_keys_equal_the_exact_count(spark, limit):  # QLT-07
+    """Null and two-column keys, more keys than the sketch has counters, over several tasks."""
+    rng = random.Random(limit)
+    raw = [(rng.choice(["a", None]), rng.randrange(3) if rng.random() < 0.5 else rng.randrange(2000)) for _ in range(6000)]
+    df = spark.createDataFrame(raw, "k string, n int").repartition(7)
+    counts = pd.Series(raw).value_counts()
+    want = sorted([(*key, -(-c // limit)) for key, c in counts.items() if c > limit], key=repr)
+    assert rows(skew.hot_keys(df, ["k", "n"], limit)) == want
+    assert skew.hot_keys(df.limit(0), ["k", "n"], limit).count() == 0
+
+
+def test_hot_keys_shuffle_few_rows(spark):  # QLT-07
+    """The sketch is one row for each task; no plan shuffles the keys themselves."""
+    df = spark.range(10_000).select((F.col("id") % 5000).alias("k"))
+    text = skew.frequent_candidates(df, ["k"], 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text and skew.frequent_candidates(df, ["k"], 0.1).count() <= 10
