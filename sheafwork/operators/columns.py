@@ -64,6 +64,16 @@ def hash_sample(df: DataFrame, keys: Sequence[str], percent: int) -> DataFrame:
     return df.filter(hash_bucket(keys, 100) < percent)
 
 
+def digest_sample(df: DataFrame, keys: Sequence[str], percent: float) -> DataFrame:
+    """PRJ-19: repeatable sample by the first 32 bits of the keys' MD5, which other engines can draw as well.
+
+    Key values are joined by ``|`` as text; a null key counts as empty.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    limit = f"{min(int(percent / 100 * 2**32), 2**32 - 1):08x}"
+    return df.filter(F.substring(F.md5(text), 1, 8) < limit)
+
+
 def random_sample(df: DataFrame, fraction: float, seed: int, replacement: bool = False) -> DataFrame:
     """PRJ-19: seeded random sample."""
     return df.sample(withReplacement=replacement, fraction=fraction, seed=seed)

@@ -132,3 +132,17 @@ def table_summary(spark, sf):
     found = quality.table_summary(orders, ["o_orderkey"])
     sample = ",".join(str(r["o_orderkey"]) for r in found["sample"])
     return spark.createDataFrame([(found["rows"], found["schema"], sample)], "n_rows bigint, shape string, sample string")
+
+
+@query("catalog_inspection", "SNK-13 SRC-08", """
+SELECT CAST(cid + 1 AS BIGINT) AS position, name, lower(type) NOT LIKE '%varchar%' AS measured, (SELECT count(*) FROM orders) AS n_rows
+FROM pragma_table_info('orders')""")
+def catalog_inspection(spark, sf):
+    """Columns of a catalog table made from the orders, as the catalog lists them, with its rows."""
+    folder = workspace.fresh(spark, "inspected")
+    stored = layers.create_from_query(spark, _name(folder), table(spark, sf, "orders"), folder)
+    listed = [(k, name, kind != "string") for k, (name, kind) in enumerate(layers.catalog_columns(spark, _name(folder)), 1)]
+    if _name(folder) not in layers.catalog_tables(spark, spark.catalog.currentDatabase()):
+        raise ValueError("the catalog does not list the table")
+    columns = spark.createDataFrame(listed, "position bigint, name string, measured boolean")
+    return columns.withColumn("n_rows", stored.agg(F.count(F.lit(1))).scalar())

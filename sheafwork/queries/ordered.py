@@ -140,7 +140,7 @@ def win_moving_raw(spark, sf):
 
 
 @query("win_range_raw", "WIN-12", """
-WITH s AS (SELECT event_type, CAST(epoch(ts) AS BIGINT) AS second, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total FROM events GROUP BY 1, 2)
+WITH s AS (SELECT event_type, CAST(floor(epoch(ts)) AS BIGINT) AS second, count(*) AS n, sum(CAST(value AS DECIMAL(18,2))) AS total FROM events GROUP BY 1, 2)
 SELECT event_type, second, CAST(sum(n) OVER w AS BIGINT) AS n, CAST(sum(total) OVER w AS DOUBLE) AS total
 FROM s WINDOW w AS (PARTITION BY event_type ORDER BY second RANGE BETWEEN 604799 PRECEDING AND CURRENT ROW)""")
 def win_range_raw(spark, sf):

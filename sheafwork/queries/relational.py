@@ -168,6 +168,15 @@ def hash_sample(spark, sf):
     return columns.hash_sample(table(spark, sf, "customer"), ["c_custkey"], 20)
 
 
+@query("digest_sample", "PRJ-19 MTHF-06", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey FROM lineitem
+WHERE substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)), 1, 8) < '40000000'""")
+def digest_sample(spark, sf):
+    """A quarter of the lines, the same in every engine."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", big("l_linenumber").alias("l_linenumber"), "l_partkey")
+    return columns.digest_sample(lines, ["l_orderkey", "l_linenumber"], 25)
+
+
 @query("random_sample", "PRJ-19")
 def random_sample(spark, sf):
     customers = table(spark, sf, "customer")
