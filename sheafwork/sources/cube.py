@@ -2,8 +2,9 @@
 
 A cube document lists its dimensions (``id``), their sizes (``size``), a sparse
 map from flat row-major index to number (``value``) and, per dimension, the
-position of every label. Only cells that are present get touched: they are
-exploded, and their index is taken apart by the strides of the dimensions.
+position of every label. Only cells that are present get touched: they are cut
+into parts, spread and exploded, and their index is taken apart by the strides
+of the dimensions.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
+#: Cells of one document that are decoded together.
+PART_CELLS = 1 << 14
+
 SCHEMA = (
     "id array<string>, size array<bigint>, value map<string,double>, "
     "dimension map<string,struct<category:struct<index:map<string,bigint>>>>, _corrupt string"
@@ -72,27 +76,35 @@ def _labels(dim: str) -> Column:
     return F.transform(by_position, lambda e: e["label"])
 
 
-def decode(cubes: DataFrame, dims: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def decode(cubes: DataFrame, dims: Sequence[str], keep: Sequence[str] = (), part_cells: int = PART_CELLS) -> DataFrame:
     """One row per present, non-null cell: a column per dimension, ``value``, the path and columns to ``keep``.
 
-    Strides and label arrays are worked out once per document; every cell then
-    picks its labels by position. No join and no shuffle: documents decode in
-    parallel and their cells leave as narrow rows.
+    Strides and label arrays are worked out once per document. Its cells are cut
+    into parts of ``part_cells`` or, if the document has more labels than that,
+    of as many cells as it has labels, so that copied labels never outweigh the
+    cells. The parts are spread over tasks before they are decoded: a document
+    of any size ends up in as many tasks as its cells deserve.
     """
     at = {d: F.array_position("id", d).cast("int") for d in dims}
     ready = cubes.withColumn("stride", _strides(F.col("size"))).select(
         "source_file",
         *keep,
-        "value",
+        F.map_entries("value").alias("_cells"),
         *[F.element_at("stride", at[d]).alias(f"_stride_{d}") for d in dims],
         *[F.element_at("size", at[d]).alias(f"_size_{d}") for d in dims],
         *[_labels(d).alias(f"_labels_{d}") for d in dims],
     )
-    cells = ready.select("*", F.explode("value").alias("_cell", "_number")).filter(F.col("_number").isNotNull())
-    cell = F.col("_cell").cast("bigint")
+    labels = sum((F.coalesce(F.size(f"_labels_{d}"), F.lit(0)) for d in dims), F.lit(0))
+    step = F.greatest(F.lit(part_cells), labels)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_cells"), F.lit(1)), step)
+    cut = F.transform(starts, lambda start: F.slice("_cells", start, step))
+    parts = ready.select("*", F.posexplode(cut).alias("_part", "_some")).drop("_cells")
+    cells = parts.repartition("source_file", "_part").select("*", F.explode("_some").alias("_entry")).drop("_some", "_part")
+    cells = cells.select("*", F.col("_entry.key").cast("bigint").alias("_cell"), F.col("_entry.value").alias("_number"))
+    cells = cells.filter(F.col("_number").isNotNull())
 
     def label(d: str) -> Column:
-        position = F.floor(cell / F.col(f"_stride_{d}")) % F.col(f"_size_{d}")
+        position = F.floor(F.col("_cell") / F.col(f"_stride_{d}")) % F.col(f"_size_{d}")
         return F.get(F.col(f"_labels_{d}"), position.cast("int"))
 
     return cells.select(*[label(d).alias(d) for d in dims], F.col("_number").alias("value"), "source_file", *keep)

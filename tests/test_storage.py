@@ -34,6 +34,33 @@ def test_cube_decode(spark, tmp_path):  # SRC-10
     assert rows(got, "geo", "time", "value") == [("AT", "2020", 1.0), ("RO", "2021", 5.5)]
 
 
+def test_one_large_cube_decodes_in_many_tasks(spark, tmp_path):  # SRC-10
+    n_geo, n_time = 1000, 1000
+    text = json.dumps({
+        "id": ["geo", "time"], "size": [n_geo, n_time], "value": {str(i): i * 0.5 for i in range(n_geo * n_time)},
+        "dimension": {
+            "geo": {"category": {"index": {f"g{i}": i for i in range(n_geo)}}},
+            "time": {"category": {"index": {f"t{i}": i for i in range(n_time)}}},
+        },
+    })
+    (tmp_path / "big.json").write_text(text)
+    got = cube.decode(cube.read_cubes(spark, str(tmp_path)), ["geo", "time"]).withColumn("task", F.spark_partition_id())
+    cell = F.substring("geo", 2, 9).cast("int") * n_time + F.substring("time", 2, 9).cast("int")
+    right = F.sum((F.col("value") == cell * 0.5).cast("int"))
+    per_task = [tuple(r) for r in got.groupBy("task").agg(F.count("*"), right).collect()]
+    assert sum(n for _, n, _ in per_task) == sum(ok for *_, ok in per_task) == n_geo * n_time
+    assert len(per_task) >= 4 and max(n for _, n, _ in per_task) <= n_geo * n_time // 2
+
+
+def test_cube_parts_of_few_cells(spark, tmp_path):
+    """Parts that do not divide the cells, a document without cells, and more labels than cells of a part."""
+    (tmp_path / "a.json").write_text(cube_text({"0": 1, "1": 2, "2": None, "4": 5.5, "5": 0}))
+    (tmp_path / "b.json").write_text(cube_text({}))
+    docs = cube.read_cubes(spark, str(tmp_path))
+    whole = rows(cube.decode(docs, ["geo", "time"]))
+    assert len(whole) == 4 and rows(cube.decode(docs, ["geo", "time"], part_cells=1)) == whole
+
+
 def test_cube_round_trip(spark, tmp_path):
     panel = spark.createDataFrame([("x", "2020", 1.0), ("y", "2021", 2.0), ("y", "2020", 3.0)], "geo string, time string, value double")
     docs = cube.encode(panel, ["geo", "time"], "value", F.lit("p"))
