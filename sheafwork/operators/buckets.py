@@ -6,6 +6,11 @@ staged before they replace anything, and a small table of steps says what was
 staged and what is done. So a batch that broke off anywhere is finished by the
 next call, whoever makes it, and a batch that runs again is known by its feed
 and number. One writer at a time.
+
+Beside the rows lies a digest of every bucket: the number of its rows and the
+sums of two 64-bit hashes of each row, in no order. It is renewed with the bucket. Two states of a
+table are compared by their digests first, so that ``changes`` (VER-09) reads
+and joins only the buckets that differ.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import types as T
 
 from sheafwork import workspace
 from sheafwork.operators.dedup import keep_one
-from sheafwork.operators.versions import upsert
+from sheafwork.operators.versions import change_feed, upsert
 
 _BUCKET = "_bucket"
 _STEPS = "feed string, batch_id bigint, state string, staged string, buckets bigint"
@@ -30,10 +35,67 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _shape(value: Column, kind: T.DataType) -> Column:
+    """What the hash of a value leaves out: which parts are null, and how long arrays are."""
+    if isinstance(kind, T.ArrayType):
+        return F.struct(value.isNull(), F.size(value), F.transform(value, lambda x: _shape(x, kind.elementType)))
+    if isinstance(kind, T.StructType):
+        return F.struct(value.isNull(), *[_shape(value[f.name], f.dataType) for f in kind.fields])
+    return value.isNull()
+
+
+def digests(placed: DataFrame) -> DataFrame:
+    """Digest of each bucket of ``placed``, in any order of its rows; map columns have none.
+
+    The hash is fast, not cryptographic: two states that differ are told apart
+    but for a chance of about 2^-128.
+    """
+    parts = [x for f in placed.schema.fields if f.name != _BUCKET for x in (F.col(f"`{f.name}`"), _shape(F.col(f"`{f.name}`"), f.dataType))]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)")).alias(f"hash_{seed}") for seed in (1, 2)]
+    return placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+
+
+def _digests_path(path: str) -> str:
+    return f"{path.rstrip('/')}_digests"
+
+
+def _keep_digests(placed: DataFrame, path: str) -> None:
+    """Renew the digests of the buckets in ``placed``; doing so again changes nothing."""
+    renewed = digests(placed).repartition(_BUCKET)
+    renewed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(_digests_path(path))
+
+
+def _kept_digests(spark: SparkSession, path: str) -> DataFrame:
+    schema = f"n_rows bigint, hash_1 decimal(30,0), hash_2 decimal(30,0), {_BUCKET} int"
+    return spark.read.schema(schema).parquet(_digests_path(path))
+
+
+def differing(spark: SparkSession, old: str, new: str) -> list[int]:
+    """Buckets whose digests differ between two tables; at most as many numbers as there are buckets."""
+    a, b = ({r[_BUCKET]: tuple(r) for r in _kept_digests(spark, path).collect()} for path in (old, new))
+    return sorted(k for k in a.keys() | b.keys() if a.get(k) != b.get(k))
+
+
+def changes(spark: SparkSession, old: str, new: str, keys: Sequence[str]) -> DataFrame:
+    """VER-09: the change feed from table ``old`` to table ``new``; buckets of equal digests stay unread.
+
+    Both tables have the same columns, keys and number of buckets.
+    """
+    for path in (old, new):
+        finish(spark, path)
+    if _created(spark, old).buckets != _created(spark, new).buckets:
+        raise ValueError("the tables differ in their number of buckets")
+    touched = differing(spark, old, new)
+    before, after = (_stored(spark, path).where(F.col(_BUCKET).isin(touched)) for path in (old, new))
+    return change_feed(before, after, [*keys, _BUCKET]).drop(_BUCKET)
+
+
 def create(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     """Write ``df`` as the first state, one folder and one file for each bucket."""
     placed = df.withColumn(_BUCKET, bucket_of(keys, buckets))
     placed.repartition(_BUCKET).write.mode("errorifexists").partitionBy(_BUCKET).parquet(path)
+    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
+    _keep_digests(stored, path)
     # The first step keeps the schema: a table may have no rows yet.
     _note(df.sparkSession, path, ("", -1, "created", placed.schema.json(), buckets))
 
@@ -79,6 +141,7 @@ def _replace(spark: SparkSession, path: str, staged: str) -> None:
     """Put staged buckets in the place of the old ones; doing so again changes nothing."""
     rows = spark.read.parquet(staged)
     rows.repartition(_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(path)
+    _keep_digests(rows, path)
 
 
 def finish(spark: SparkSession, path: str) -> None:

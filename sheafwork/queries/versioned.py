@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sheafwork import workspace
-from sheafwork.operators import versions
+from sheafwork.operators import buckets, versions
 from sheafwork.queries.registry import big, money, query, real, table
 from sheafwork.sinks import layout
 
@@ -84,6 +84,24 @@ def change_feed(spark, sf):
     return versions.change_feed(before, after, ["c_custkey"])
 
 
+@query("change_feed_buckets", "VER-09 VER-03", f"""WITH {BASE}, few AS (SELECT * FROM base WHERE c_custkey % 97 = 0)
+SELECT 'update_preimage' AS change_type, * FROM few
+UNION ALL SELECT 'update_postimage', c_custkey, c_name, 'MOVED', c_nationkey, balance FROM few
+UNION ALL SELECT 'insert', -s_suppkey - 1, s_name, 'SUPPLIER', s_nationkey, CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS DOUBLE)
+FROM supplier WHERE s_suppkey % 11 = 0""")
+def change_feed_buckets(spark, sf):
+    """Changes between two tables by buckets, one of which went on by a merge; only buckets with other digests are joined."""
+    base = customers(spark, sf)
+    old, new = workspace.fresh(spark, "state"), workspace.fresh(spark, "state")
+    n = max(64, base.count() // 200_000)
+    for path in (old, new):
+        buckets.create(base, path, ["c_custkey"], n)
+    moved = base.filter(F.col("c_custkey") % 97 == 0).withColumn("c_mktsegment", F.lit("MOVED"))
+    added = merge_source(spark, sf).filter((F.col("c_custkey") < 0) & ((-F.col("c_custkey") - 1) % 11 == 0))
+    buckets.merge(spark, new, moved.unionByName(added), ["c_custkey"], [])
+    return buckets.changes(spark, old, new, ["c_custkey"])
+
+
 def _day(n):
     return dt.datetime(2024, 1, n, tzinfo=dt.timezone.utc)
 
