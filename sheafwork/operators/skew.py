@@ -63,6 +63,12 @@ def _measured(hot: DataFrame) -> tuple[DataFrame, int]:
     return stored, stored.count()
 
 
+def measured_hot(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The hot keys of ``df`` with their parts as a stored table; None if there are none."""
+    stored, n = _measured(hot_keys(df, keys, limit))
+    return stored if n else None
+
+
 def _match(left: Sequence[str], right: Sequence[str]) -> Column:
     condition = F.lit(True)
     for a, b in zip(left, right):

@@ -69,9 +69,11 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Sequence[Column]
     """WIN-10/11: group aggregates repeated on every row of the group.
 
     Written as aggregate + join rather than an unordered window: the aggregate
-    combines on the map side and the join spreads a hot group over tasks.
+    combines on the map side and the join spreads a hot group over tasks. The
+    totals are staged, so that the planner knows their size: few groups are
+    broadcast, and the rows are then not shuffled.
     """
-    totals = df.groupBy(*keys).agg(*stats)
+    totals = workspace.stage(df.groupBy(*keys).agg(*stats), "group_stats")
     renamed = totals.withColumnsRenamed({k: f"_g_{k}" for k in keys})
     match = F.lit(True)
     for k in keys:

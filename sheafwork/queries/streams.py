@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafwork import workspace
-from sheafwork.operators import buckets
+from sheafwork.operators import buckets, skew
 from sheafwork.queries.registry import REGISTRY, big, money, query, real, table
 from sheafwork.streaming import aggregates, io, timers
 from sheafwork.streaming.medallion import Medallion, upsert_stream
@@ -133,7 +133,8 @@ def stream_enrich(spark, sf):
     """The order stream with customers under shifted keys, so that some orders find none."""
     customers = table(spark, sf, "customer").select((F.col("c_custkey") + 100).alias("o_custkey"), "c_name", "c_mktsegment")
     orders = table_stream(spark, sf, "orders").withColumn("doubled", real(money("o_totalprice") * 2))
-    out = aggregates.enrich(orders, customers, "o_custkey", spread_by=["o_orderkey"], parts=4).select("o_orderkey", "c_name", "c_mktsegment", "doubled")
+    hot = skew.measured_hot(table(spark, sf, "orders"), ["o_custkey"])
+    out = aggregates.enrich(orders, customers, "o_custkey", spread_by=["o_orderkey"], hot=hot).select("o_orderkey", "c_name", "c_mktsegment", "doubled")
     return stored(spark, out, "enriched")
 
 
@@ -146,7 +147,7 @@ def stream_join(spark, sf):
     lines = io.event_time(table_stream(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_quantity"), "l_shipdate")
     out = aggregates.join_streams(
         orders, lines, "o_orderdate", "l_shipdate", F.col("o_orderkey") == F.col("l_orderkey"), "60 DAYS", "1 day",
-        spread_by=["l_partkey", "l_linenumber"], parts=4,
+        spread_by=["l_partkey", "l_linenumber"], hot=skew.measured_hot(table(spark, sf, "lineitem"), ["l_orderkey"]), on=("o_orderkey", "l_orderkey"),
     )
     rows = stored(spark, out.select("o_orderkey", big("l_quantity").alias("qty")), "joined")
     return rows.groupBy(F.col("o_orderkey").alias("orderkey")).agg(F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("qty"))
@@ -237,7 +238,6 @@ def stream_medallion(spark, sf):
         raw.schema, "event_time", ["order_id"],
         {"customer": F.col("custkey").isNotNull(), "price": F.col("unit_price").try_cast("double") > 0},
         segments, "custkey", {"amount": F.col("qty") * F.col("unit_price").cast("decimal(18,2)")}, "1 day",
-        parts=4,
     )
     silver = T.StructType([T.StructField("segment", T.StringType()), T.StructField("amount", spark.read.parquet(flow.path("silver")).schema["amount"].dataType)])
     gold = flow.gold(silver, ["segment"], [F.count(F.lit(1)).alias("n_orders"), F.sum("amount").alias("revenue")])

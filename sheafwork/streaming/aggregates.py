@@ -50,41 +50,66 @@ def _part_of(spread_by: Sequence[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
 
 
-def _all_parts(parts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+def _with_parts(df: DataFrame, key: str, hot: DataFrame | None, parts: int) -> DataFrame:
+    """Add ``_parts``, the number of tasks that share the rows of a key: that of a hot key, else ``parts``."""
+    if hot is None:
+        return df.withColumn("_parts", F.lit(parts))
+    # At most rows / limit hot keys; as a staged table their size is known, and Spark decides on a broadcast.
+    few = hot.select(F.col(hot.columns[0]).alias("_hot_key"), F.col("_parts").alias("_hot_parts"))
+    found = df.join(few, F.col(key) == F.col("_hot_key"), "left")
+    return found.withColumn("_parts", F.coalesce("_hot_parts", F.lit(parts))).drop("_hot_key", "_hot_parts")
+
+
+def _spread(df: DataFrame, key: str, spread_by: Sequence[str], hot: DataFrame | None, parts: int, name: str) -> DataFrame:
+    """One copy of each row, in one of the parts of its key."""
+    return _with_parts(df, key, hot, parts).withColumn(name, F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")).drop("_parts")
+
+
+def _copied(df: DataFrame, key: str, hot: DataFrame | None, parts: int, name: str) -> DataFrame:
+    """One copy of each row for every part of its key."""
+    return _with_parts(df, key, hot, parts).withColumn(name, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
 
 
 def enrich(
-    stream: DataFrame, static: DataFrame, on: str, how: str = "left", spread_by: Sequence[str] = (), parts: int = 1
+    stream: DataFrame, static: DataFrame, on: str, how: str = "left", spread_by: Sequence[str] = (), parts: int = 1,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """STR-11: stream-static join; Spark picks broadcast or shuffle by size.
 
-    A stream plan cannot split a skewed shuffle at run time. With ``parts`` > 1
-    the stream rows of one key go to several tasks by a hash of ``spread_by``,
-    and every static row is sent to each of them.
+    A stream plan cannot split a skewed shuffle at run time. ``hot`` names keys
+    that were measured to hold much of the stream, with the parts they need
+    (``skew.measured_hot``): stream rows of such a key go to several tasks by a
+    hash of ``spread_by``, and only static rows of these keys are copied.
+    ``parts`` > 1 does the same for all other keys, where nothing was measured.
     """
     if how not in ("left", "inner"):
         raise ValueError("the stream side must be the preserved side")
-    if parts == 1:
+    if parts == 1 and hot is None:
         return stream.join(static, on, how)
-    spread = stream.withColumn("_part", _part_of(spread_by, parts))
-    return spread.join(static.withColumn("_part", _all_parts(parts)), [on, "_part"], how).drop("_part")
+    spread = _spread(stream, on, spread_by, hot, parts, "_part")
+    return spread.join(_copied(static, on, hot, parts, "_part"), [on, "_part"], how).drop("_part")
 
 
 def join_streams(
     left: DataFrame, right: DataFrame, left_at: str, right_at: str, match: Column, within: str, late: str,
-    spread_by: Sequence[str] = (), parts: int = 1,
+    spread_by: Sequence[str] = (), parts: int = 1, hot: DataFrame | None = None, on: tuple[str, str] | None = None,
 ) -> DataFrame:
     """STR-18: inner join of two streams; the right event follows the left one within ``within``.
 
-    With ``parts`` > 1 the right rows of one key are spread by a hash of
-    ``spread_by``; left rows, which should be few per key, are kept once per part.
+    ``hot`` names keys measured to hold much of the right stream, and ``on`` the
+    key of each side: right rows of such a key are spread by a hash of
+    ``spread_by``, and only left rows of these keys are kept once per part.
+    ``parts`` > 1 does so for all other keys. The hot keys and their parts must
+    stay the same as long as a checkpoint is used, since the state lies by part.
     """
     span = F.expr(f"INTERVAL {within}")
     timed = (F.col(right_at) >= F.col(left_at)) & (F.col(right_at) <= F.col(left_at) + span)
-    if parts > 1:
-        left = left.withColumn("_left_part", _all_parts(parts))
-        right = right.withColumn("_right_part", _part_of(spread_by, parts))
+    if parts > 1 or hot is not None:
+        if hot is not None and on is None:
+            raise ValueError("hot keys need the key of each side")
+        a, b = on or ("", "")
+        left = _copied(left, a, hot, parts, "_left_part")
+        right = _spread(right, b, spread_by, hot, parts, "_right_part")
         match = match & (F.col("_left_part") == F.col("_right_part"))
     joined = left.withWatermark(left_at, late).join(right.withWatermark(right_at, late), match & timed, "inner")
     return joined.drop("_left_part", "_right_part")

@@ -30,9 +30,12 @@ def file_stream(
     return reader.load(path)
 
 
-def rate_stream(spark: SparkSession, rows_per_second: int) -> DataFrame:
+def rate_stream(spark: SparkSession, rows_per_second: int, partitions: int | None = None) -> DataFrame:
     """STR-03: generated rows (timestamp, value) by wall clock."""
-    return spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    reader = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
+    if partitions:
+        reader = reader.option("numPartitions", partitions)
+    return reader.load()
 
 
 def bounded_rate_stream(spark: SparkSession, rows_per_batch: int, start: str = "2024-01-01 00:00:00") -> DataFrame:
@@ -71,6 +74,16 @@ def run_continuously(writer: DataStreamWriter, checkpoint: str, every: str) -> S
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
+def run_without_batches(writer: DataStreamWriter, checkpoint: str, every: str) -> StreamingQuery:
+    """STR-05: continuous processing until stopped; ``every`` is how often progress is saved.
+
+    Rows pass through long-running tasks one by one, at least once. Spark allows
+    this for maps and filters, from sources such as ``rate_stream`` to sinks that
+    support it; each source partition holds a core all the time.
+    """
+    return writer.option("checkpointLocation", checkpoint).trigger(continuous=every).start()
+
+
 def to_files(stream: DataFrame, path: str, fmt: str = "parquet") -> DataStreamWriter:
     """STR-06: append to files, exactly once."""
     return stream.writeStream.outputMode("append").format(fmt).option("path", path)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sheafwork.operators import buckets
 from sheafwork.operators.quality import split_rows
+from sheafwork.operators.skew import ROWS_PER_TASK, measured_hot
 from sheafwork.streaming import io
 from sheafwork.streaming.aggregates import enrich, unique_events
 
@@ -42,20 +43,21 @@ class Medallion:
         on: str,
         derived: Mapping[str, Column],
         late: str,
-        parts: int = 1,
+        hot_rows: int = ROWS_PER_TASK,
     ) -> None:
         """STR-11/12/14: valid, unique and enriched rows; rejected ones go to ``quarantine`` with their reasons.
 
         The duplicate check keeps state across batches; a check inside each
-        batch would let a copy in a later batch through. ``parts`` spreads
-        static keys that hold much of the stream.
+        batch would let a copy in a later batch through. Static keys with more
+        than ``hot_rows`` rows in the bronze layer are spread over tasks.
         """
         stored = T.StructType([*schema.fields, T.StructField("_feed", T.StringType()), T.StructField("_batch_id", T.LongType())])
         stream = io.event_time(io.file_stream(self.spark, self.path("bronze"), stored), at)
         valid, rejected = split_rows(stream, rules)
         io.drain(io.to_files(rejected.drop("_feed", "_batch_id"), self.path("quarantine")), self._checkpoint("quarantine"))
         unique = unique_events(valid, at, key, late)
-        enriched = enrich(unique, static, on, "left", key, parts).withColumns(dict(derived)).drop("_feed", "_batch_id")
+        hot = measured_hot(self.spark.read.schema(stored).parquet(self.path("bronze")).filter(F.col(on).isNotNull()), [on], hot_rows)
+        enriched = enrich(unique, static, on, "left", key, hot=hot).withColumns(dict(derived)).drop("_feed", "_batch_id")
         io.drain(io.to_files(enriched, self.path("silver")), self._checkpoint("silver"))
 
     def gold(self, schema: T.StructType, keys: Sequence[str], aggregates: Sequence[Column], parts: int = 8) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafwork import workspace
-from sheafwork.operators import buckets
+from sheafwork.operators import buckets, skew
 from sheafwork.streaming import aggregates, io, timers
 from sheafwork.streaming.medallion import Medallion, upsert_stream
 from tests.conftest import rows
@@ -158,6 +158,35 @@ def test_enrich_keeps_the_stream_side(spark, landed, tmp_path, parts):  # STR-11
         aggregates.enrich(chunks(spark, landed), static, "region", "right")
 
 
+def test_only_hot_static_rows_are_copied(spark, landed, tmp_path):  # STR-11
+    static = spark.createDataFrame([("n", "North"), ("s", "South"), ("w", "West")], "region string, label string")
+    hot = spark.createDataFrame([("n", 4)], "region string, _parts int")
+    copies = aggregates._copied(static, "region", hot, 1, "_part")
+    assert rows(copies.groupBy("region").count()) == [("n", 4), ("s", 1), ("w", 1)]
+    plain = aggregates.enrich(chunks(spark, landed), static, "region")
+    spread = aggregates.enrich(chunks(spark, landed), static, "region", spread_by=["id"], hot=hot)
+    got = {}
+    for name, out in (("plain", plain), ("spread", spread)):
+        io.drain(io.to_files(out, str(tmp_path / name)), str(tmp_path / f"cp_{name}"))
+        got[name] = rows(spark.read.parquet(str(tmp_path / name)), "id", "region", "amount", "label")
+    assert got["plain"] == got["spread"] and len(got["plain"]) == 10
+
+
+def test_hot_keys_of_a_stream_join(spark, tmp_path):  # STR-18
+    land(tmp_path / "a", 0, [(i, "x", 1, minute(0)) for i in range(3)])
+    land(tmp_path / "b", 0, [(1, "x", n, minute(n % 10)) for n in range(60)] + [(2, "x", 7, minute(30)), (0, "x", 9, minute(1))])
+    hot = skew.measured_hot(spark.read.schema(SCHEMA).json(str(tmp_path / "b")), ["id"], 20)
+    assert rows(hot) == [(1, 3)]
+    left = chunks(spark, tmp_path / "a").select(F.col("id").alias("lid"), F.col("at").alias("lat"))
+    right = chunks(spark, tmp_path / "b").select("id", "amount", "at")
+    match = F.col("lid") == F.col("id")
+    out = aggregates.join_streams(left, right, "lat", "at", match, "10 MINUTES", "1 hour", ["amount"], hot=hot, on=("lid", "id"))
+    io.drain(io.to_files(out, str(tmp_path / "out")), str(tmp_path / "cp"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "lid", "amount") == sorted([(1, n) for n in range(60)] + [(0, 9)], key=repr)
+    with pytest.raises(ValueError):
+        aggregates.join_streams(left, right, "lat", "at", match, "10 MINUTES", "1 hour", ["amount"], hot=hot)
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_stream_join_within_time(spark, tmp_path, parts):  # STR-18
     land(tmp_path / "a", 0, [(1, "x", 1, minute(0)), (2, "x", 1, minute(0))])
@@ -281,6 +310,22 @@ def test_rate_sources(spark, tmp_path):  # STR-03, STR-05, STR-17
     assert io.bounded_rate_stream(spark, 10).isStreaming
 
 
+def test_continuous_trigger(spark, tmp_path):  # STR-05
+    stream = io.rate_stream(spark, 40, partitions=2).filter("value % 2 = 0").select("value", (F.col("value") * 10).alias("ten"))
+    query = io.run_without_batches(stream.writeStream.format("memory").queryName("continuous_rows"), str(tmp_path / "cp"), "1 second")
+    try:
+        limit = time.time() + 60
+        while time.time() < limit and spark.table("continuous_rows").count() < 20:
+            time.sleep(0.5)
+        assert query.isActive and query.exception() is None
+    finally:
+        query.stop()
+    got = [tuple(r) for r in spark.table("continuous_rows").collect()]
+    assert len(got) >= 20 and all(v % 2 == 0 and t == 10 * v for v, t in got)
+    with pytest.raises(Exception, match="(?i)continuous"):
+        io.run_without_batches(stream.groupBy("ten").count().writeStream.format("memory").queryName("no_aggregates").outputMode("complete"), str(tmp_path / "cp2"), "1 second")
+
+
 def test_illegal_output_modes(spark, landed, tmp_path):  # STR-04
     counts = chunks(spark, landed).groupBy("region").count()
     with pytest.raises(Exception, match="watermark"):
