@@ -1,7 +1,8 @@
 """Quality rules: text counts with fixed limits, then a learned verdict.
 
 The verdict comes from a logistic regression over hashed n-grams: words and
-word pairs, and byte 3-grams and 4-grams of the lower-cased text. A feature is
+word pairs, and 3-grams and 4-grams of the characters (code points) of the text
+with A-Z in lower case. A feature is
 the share of a bucket among the n-grams of its group, so long and short texts
 are alike. The model is fitted with numpy on a bounded sample of labelled rows
 (``SAMPLE_ROWS``, half of each class, by a hash of the id), calibrated by a
@@ -9,8 +10,11 @@ logistic curve on the third of the sample it has not seen, and applied in Arrow
 batches to whole texts. Labels are used for fitting only.
 
 Defined cases: a null text has no words and fails the base rules. Null labels
-are left out. Without labelled rows of both classes the model keeps what the
-base rules keep (score 1). Rows with one id are judged one by one.
+are left out. A repeated label counts once, and so do rows of one id and text;
+of an id with several texts each may be in the sample, which is cut to
+its bound after the texts are known (ties go by features). Without labelled rows of both classes the model keeps what the
+base rules keep (score 1). Rows with one id are judged one by one. A very long
+text is judged whole, in one chunk of a task.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafwork.llm.jobs import record
@@ -31,7 +35,7 @@ from sheafwork.llm.textops import (
 #: Labelled rows used for fitting, half of each class.
 SAMPLE_ROWS = 1200
 BUCKETS = 1 << 13
-GROUPS = ("words", "pairs", "bytes3", "bytes4")
+GROUPS = ("words", "pairs", "chars3", "chars4")
 THRESHOLD = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -57,13 +61,20 @@ def _ngrams(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.
     words = byte_hashes(low, starts, ends) if len(starts) else np.zeros(0, np.uint64)
     at, pairs = windows(words, first, 2)
     out = [(words, first), (pairs, np.searchsorted(at, first))]
+    # A character is the number that its bytes spell.
+    lead = np.flatnonzero((low & 0xC0) != 0x80)
+    size = np.minimum(np.diff(np.append(lead, len(low))), 4).astype(np.uint64)
     padded = np.append(low, np.zeros(8, np.uint8))
-    eight = np.ndarray((len(low),), "<u8", padded, strides=(1,))
+    chars = np.ndarray((len(low),), "<u8", padded, strides=(1,))[lead] & ((np.uint64(1) << (size * np.uint64(8))) - np.uint64(1))
+    begins = np.searchsorted(lead, offsets)  # first character of each document
     for n in (3, 4):
-        counts = np.maximum(np.diff(offsets) - n + 1, 0)
+        counts = np.maximum(np.diff(begins) - n + 1, 0)
         index = np.append(0, np.cumsum(counts))
-        at = np.arange(index[-1]) + np.repeat(offsets[:-1] - index[:-1], counts)
-        out.append((mix((eight[at] & np.uint64((1 << 8 * n) - 1)) + np.uint64(n)), index))
+        at = np.arange(index[-1]) + np.repeat(begins[:-1] - index[:-1], counts)
+        grams = np.full(len(at), n, np.uint64)
+        for k in range(n):
+            grams = mix(grams ^ chars[at + k])
+        out.append((grams, index))
     return [((h & np.uint64(BUCKETS - 1)).astype(np.int32), f) for h, f in out]
 
 
@@ -167,9 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
         sample = one if sample is None else sample.union(one)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     # The sample has at most ``rows`` rows of three numbers.
-    found = texts.join(F.broadcast(sample), "_id").select("_label", "_rank", "_text").mapInArrow(
+    features = texts.join(F.broadcast(sample.distinct()), "_id").select("_label", "_rank", "_text").mapInArrow(
         _features, "label int, rank long, index binary, value binary"
-    ).collect()
+    )
+    # Rows that repeat an id are cut to the sample again; the group limit does so in each task.
+    place = F.row_number().over(Window.partitionBy("label").orderBy("rank", "index", "value"))
+    found = features.distinct().withColumn("_place", place).where(F.col("_place") <= rows // 2).drop("_place").collect()
     found.sort(key=lambda r: (r.rank, r.label, bytes(r["index"])))
     return train(
         np.array([r.label for r in found], np.float64),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -258,6 +259,54 @@ def test_quality(spark, docs, rows, empty):
     assert quality.judge(empty, no_model).count() == 0
 
 
+def test_quality_scores_by_brute_force(spark):
+    """Scores recomputed gram by gram, with characters of one to four bytes, a null, an empty and a long text."""
+    texts = ["Ab ab\tAB x", "", None, "é", "née ĐAN 漢字漢字漢 😀😀😀😀 a", "ÀÀÀÀ aaaa " * 4000, "ab", "a\u0301bc abc"]
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.normal(size=(len(quality.GROUPS), quality.BUCKETS)).astype(np.float32), 0.25, 1.5, -0.5)
+
+    def bucket(values, seed):
+        h = np.full(1, seed, np.uint64)
+        for v in values:
+            h = quality.mix(h ^ np.uint64(v))
+        return int(h[0]) & (quality.BUCKETS - 1)
+
+    def chance(text):
+        low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+        words = [np.frombuffer(w.encode(), np.uint8) for w in re.findall(r"[^\x20\x09-\x0D]+", low)]
+        hashes = np.array([quality.byte_hashes(w, np.array([0]), np.array([len(w)]))[0] for w in words], np.uint64)
+        _, pairs = quality.windows(hashes, np.array([0, len(hashes)]), 2)
+        z = model.bias
+        for g, found in enumerate((hashes, pairs)):
+            w = [float(model.weights[g][int(h) & (quality.BUCKETS - 1)]) for h in found]
+            z += sum(w) / max(len(w), 1)
+        for g, n in ((2, 3), (3, 4)):
+            w = [float(model.weights[g][bucket((int.from_bytes(c.encode(), "little") for c in low[i : i + n]), n)]) for i in range(len(low) - n + 1)]
+            z += sum(w) / max(len(w), 1)
+        return 1 / (1 + math.exp(-(1.5 * z - 0.5)))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.judge(docs, model).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        assert abs(got[i] - chance(text)) < 1e-6, text
+
+
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    """One id on many rows with many labels: the driver gets the sample, no more; repeats change nothing."""
+    seen = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda y, *a: seen.append(len(y)) or train(y, *a))
+    docs = spark.createDataFrame([(7, f"text number {i} of one id") for i in range(300)] + [(i, f"other {i}") for i in range(20, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] * 50 + [(i, i % 2) for i in range(20, 60)], "doc_id long, quality int")
+    quality.fit(docs, labels, rows=20)
+    assert seen.pop() <= 20
+    plain = docs.where("doc_id <> 7")
+    one = quality.fit(plain, labels.where("doc_id <> 7"), rows=20)
+    two = quality.fit(plain.union(plain), labels.where("doc_id <> 7"), rows=20)
+    assert seen == [20, 20] and np.array_equal(one.weights, two.weights)
+
+
 def test_quality_verdicts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
