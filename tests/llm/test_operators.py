@@ -73,6 +73,70 @@ def test_fingerprints(docs, rows, empty):
     assert near > 0.8 and far < 0.3 and same == 1
 
 
+def _mixed(x):
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53), (33, 1)):
+        x = (x ^ (x >> shift)) * factor % 2**64
+    return x
+
+
+def _plain_fingerprint(text):
+    """Byte by byte: chunk ends by the rolling hash, the smallest fitting block size, one letter a chunk."""
+    data = text.encode()
+    levels = {}
+    for i in range(6, len(data)):
+        h = _mixed(int.from_bytes(data[i - 6 : i + 1], "little") + 1)
+        levels[i + 1] = min((h & -h).bit_length() - 1 if h else 64, fuzzy.LAST_LEVEL)
+
+    def cuts(k):
+        return [i for i, level in levels.items() if level >= k]
+
+    size = next(k for k in range(fuzzy.FIRST_LEVEL, 64) if len(cuts(k)) + 1 <= fuzzy.SIGNATURE_CHUNKS)
+
+    def signature(k):
+        ends = sorted({*cuts(k), len(data)} - {0})
+        raw = np.frombuffer(data, np.uint8)
+        return "".join(chr(fuzzy.LETTERS[int(fuzzy.byte_hashes(raw, np.array([a]), np.array([b]))[0]) & 63]) for a, b in zip([0, *ends], ends))
+
+    return f"{size}:{signature(size)}:{signature(size + 1)}"
+
+
+def _plain_likeness(one, two):
+    if one == two:
+        return 1.0
+    (ka, *a), (kb, *b) = one.split(":"), two.split(":")
+    best = 0.0
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            n = min(4, len(x), len(y))
+            if int(ka) + i != int(kb) + j or not n or not {x[k : k + n] for k in range(len(x) - n + 1)} & {y[k : k + n] for k in range(len(y) - n + 1)}:
+                continue
+            row = [0] * (len(y) + 1)
+            for c in x:
+                row, old = [0], row
+                for k, d in enumerate(y):
+                    row.append(old[k] + 1 if c == d else max(old[k + 1], row[k]))
+            best = max(best, 2 * row[-1] / (len(x) + len(y)))
+    return best
+
+
+def test_fingerprint_table_by_brute_force(spark):
+    rng = random.Random(8)
+    base = " ".join(_words(rng, 700))
+    texts = [base, base[:2000] + "inserted" + base[2000:], base, None, "", "é" * 40, "short", " ".join(_words(rng, 60)), base[1000:], None]
+    docs = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in fuzzy.fingerprint_table(docs).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    for i, text in enumerate(texts):
+        text, following = text or "", texts[(i + 1) % len(texts)] or ""
+        half = len(text) // 2
+        mine = _plain_fingerprint(text)
+        changed = _plain_fingerprint(text[: len(text) - half] + following[:half])
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (mine, changed), i
+        assert got[i].near_edited == pytest.approx(_plain_likeness(mine, changed)), i
+        assert got[i].near_next == pytest.approx(_plain_likeness(mine, _plain_fingerprint(following))), i
+    assert got[0].near_next > 0.8 and got[3].near_next == 1
+
+
 def test_signature_likeness_is_edit_distance():
     rng = random.Random(3)
     for _ in range(50):
@@ -87,6 +151,48 @@ def test_signature_likeness_is_edit_distance():
         assert fuzzy._signature_likeness([a], [b])[0] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("budget, repetition", [(None, 1.5), (4000, 3.0), (37, 2.0)])
+def test_copies_by_brute_force(docs, rows, budget, repetition):
+    """Epochs, and the cut of the last one, recomputed over sorted lists of keys."""
+    totals = Counter()
+    for r in rows:
+        totals[r[3]] += len(WORD.findall(r[1] or ""))
+    shares = mixing.solve(totals, budget=budget, repetition=repetition)
+    epochs = docs.sparkSession.createDataFrame([(s, x.epochs) for s, x in shares.items()], "s string, epochs long")
+    row = F.xxhash64("doc_id", "text")
+    keyed = docs.join(epochs, F.col("source").eqNullSafe(F.col("s"))).select(
+        "doc_id", "text", "source",
+        F.xxhash64(F.lit(mixing.SEED), "epochs", "source", F.pmod(row, F.lit(mixing.BLOCKS))).alias("block"),
+        F.xxhash64(F.lit(mixing.SEED), "epochs", row).alias("doc"),
+    ).collect()
+    assert len(keyed) == len(rows)
+    want = Counter()
+    for source, share in shares.items():
+        mine = [r for r in keyed if r.source == source]
+        groups = Counter()
+        for r in mine:
+            groups[r.block, r.doc] += len(WORD.findall(r.text or ""))
+        spent, last = 0, set()
+        for key in sorted(groups):
+            spent += groups[key]
+            if spent <= share.rest:
+                last.add(key)
+        for r in mine:
+            want[r.doc_id, r.text, source, share.epochs + ((r.block, r.doc) in last)] += 1
+    mixed = mixing.mix_sources(docs, budget=budget, repetition=repetition)
+    got = mixed.select("doc_id", "text", "source", "_mix.copies").collect()
+    assert Counter(map(tuple, got)) == want
+    repeated = Counter((r.doc_id, r.text) for r in mixing.repeat_rows(mixed).select("doc_id", "text").collect())
+    assert repeated == Counter({k: n for k, n in _times(want).items() if n})
+
+
+def _times(counted):
+    out = Counter()
+    for (doc_id, text, _, copies), n in counted.items():
+        out[doc_id, text] += copies * n
+    return out
+
+
 def test_mix(docs, rows, empty):
     totals = Counter()
     for r in rows:
