@@ -227,6 +227,40 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
 
 
+def test_pooled_probabilities_byte_by_byte():
+    """Both directions of the network stepped byte by byte, with texts longer than a window."""
+    rng = np.random.default_rng(5)
+    hidden, langs = 3, ("a", "b", "c", "d")
+    model = langid.Model(
+        langs, tuple(rng.normal(0, 1, (256, 3 * hidden)).astype(np.float32) for _ in range(2)),
+        tuple(rng.normal(0, 1, (3 * hidden, hidden)).astype(np.float32) for _ in range(2)),
+        rng.normal(0, 1, (len(langs), 2 * hidden)).astype(np.float32), rng.normal(0, 1, len(langs)).astype(np.float32),
+    )
+
+    def states(window, side):
+        h, out, w = np.zeros(hidden), [], model.recurrent[side].astype(float)
+        for byte in window:
+            x = model.inputs[side][byte].astype(float)
+            z = 1 / (1 + np.exp(-(x[:hidden] + w[:hidden] @ h)))
+            r = 1 / (1 + np.exp(-(x[hidden : 2 * hidden] + w[hidden : 2 * hidden] @ h)))
+            c = np.tanh(x[2 * hidden :] + w[2 * hidden :] @ (r * h))
+            h = (1 - z) * h + z * c
+            out.append(h)
+        return out
+
+    texts = [b"", b"x", "né 漢 text".encode(), bytes(rng.integers(32, 127, 2 * langid.WINDOW + 5, dtype=np.uint8))]
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    got = langid.document_probabilities(np.frombuffer(b"".join(texts), np.uint8), offsets, model)
+    for text, p in zip(texts, got):
+        total = np.zeros(len(langs))
+        for lo in range(0, len(text), langid.WINDOW):
+            window = text[lo : lo + langid.WINDOW]
+            for f, b in zip(states(window, 0), states(window[::-1], 1)[::-1]):
+                e = np.exp(model.output @ np.concatenate([f, b]) + model.bias)
+                total += e / e.sum()
+        assert np.allclose(p, total / max(len(text), 1), atol=1e-4)
+
+
 def test_backpropagation_matches_differences():
     rng = np.random.default_rng(0)
     x, mask = rng.integers(0, 5, (6, 3)), np.ones((6, 3), np.float32)
