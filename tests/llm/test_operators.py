@@ -366,13 +366,49 @@ def test_lines(docs, rows, empty):
     assert linededup.drop_common_lines(empty).count() == 0
 
 
-def test_runs_compact(spark, docs):
-    runs = linededup.LineRuns(prepare(spark), fan_in=2)
-    for part in range(5):
-        runs.add(docs.where(F.pmod("doc_id", F.lit(5)) == part))
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_runs_compact(spark, docs, buckets):
+    runs = linededup.LineRuns(prepare(spark), fan_in=2, buckets=buckets)
+    batches = [docs.where(F.pmod("doc_id", F.lit(5)) == part) for part in range(5)]
+    seen = Counter()
+    for batch in batches:
+        keys = linededup.line_keys(batch)
+        count = Counter(bytes(r._key) for r in keys.collect())
+        # The batch meets all earlier runs: what they hold is old, the rest new.
+        met = runs.met(keys.groupBy("_key").agg(F.count("*").alias("_docs"))).collect()
+        assert {bytes(r._key): (r._docs, r._old) for r in met} == {k: (n, k in seen) for k, n in count.items()}
+        runs.add(batch)
+        seen += count
     assert [len(level) for level in runs.levels] == [1, 0, 1]
+    held = [bytes(r._key) for run in runs._runs() for r in spark.table(run.name).where("not _old").collect()]
+    assert sorted(held) == sorted(seen)  # each key is new in one run only
+    for least in (1, 10):
+        assert {bytes(r._key) for r in runs.known(least).collect()} == {k for k, n in seen.items() if n >= least}
     again = runs.clean(docs, 1).select("text").collect()
     assert all(not (r.text or "").strip() for r in again)
+    runs.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_batch_merges_with_runs_as_they_lie(spark, docs):
+    runs = linededup.LineRuns(prepare(spark), fan_in=3)
+    for part in range(2):
+        runs.add(docs.where(F.pmod("doc_id", F.lit(2)) == part))
+    counts = linededup.line_keys(docs).groupBy("_key").agg(F.count("*").alias("_docs"))
+    with linededup._sorted_scans(spark):
+        text = runs.met(counts)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert text.count("SortMergeJoin") == 2 and text.count("Bucketed: true") == 2
+    # One sort and two exchanges, all of the batch's own counts.
+    assert text.count("Sort [") == 1 and text.count("Exchange") == 2
+    runs.close()
+
+
+def test_many_rows_without_an_id(spark):
+    rows = [(None, f"common\nown {i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = linededup.drop_common_lines(docs).collect()
+    assert sorted(r.text for r in kept) == sorted(f"own {i}" for i in range(30))
 
 
 def test_quality(spark, docs, rows, empty):
