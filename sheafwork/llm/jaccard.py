@@ -46,8 +46,9 @@ difference of the counts. Only for pairs that pass are the sets themselves
 brought together, and the common shingles counted.
 
 Defined cases: a null text, or one without words, has an empty set, no link and
-its own id as component. Rows with one id are one node. A null id keeps a null
-component if nothing is linked to it. Hashes of 64 bits stand for shingles and
+its own id as component. Rows with one id are one node: what links to one of
+its texts is linked to all of them. (``keep_one`` judges rows by their own
+texts.) A null id is no node; it keeps a null component if nothing is linked to it. Hashes of 64 bits stand for shingles and
 sets.
 """
 
@@ -168,9 +169,23 @@ def _bucket(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(24)) & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)
 
 
+def cost_code(cost: np.ndarray) -> np.ndarray:
+    """16 bits that keep the order of costs below 2^42: exact below 4096, then 12 leading bits."""
+    cost = np.minimum(cost, (1 << 42) - 1)
+    # The double of a number below 2^53 is exact, so its exponent is the number's length in bits.
+    shift = np.maximum(np.frexp(cost.astype(np.float64))[1].astype(np.int64) - 12, 0)
+    return (shift << 11) + (cost >> shift)
+
+
+def code_cost(code: np.ndarray) -> np.ndarray:
+    """The least cost with this code."""
+    shift = np.maximum((code >> 11) - 1, 0)
+    return (code - (shift << 11)) << shift
+
+
 def _order_key(cost: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Place in the cost order: cost (16 bits), then hash (48)."""
-    return np.minimum(cost, 65535).astype(np.uint64) << np.uint64(48) | h >> np.uint64(16)
+    """Place in the cost order: code of the cost (16 bits), then hash (48)."""
+    return cost_code(cost).astype(np.uint64) << np.uint64(48) | h >> np.uint64(16)
 
 
 def _first_elements(h: np.ndarray, first: np.ndarray, e: Entries, counts: np.ndarray):
@@ -182,7 +197,7 @@ def _first_elements(h: np.ndarray, first: np.ndarray, e: Entries, counts: np.nda
     rank = np.arange(len(key)) - begin[entry]
     kept = rank < e.all[entry]
     key = key[kept]
-    return key, entry[kept], (key >> np.uint64(48)).astype(np.int64), rank[kept]
+    return key, entry[kept], code_cost((key >> np.uint64(48)).astype(np.int64)), rank[kept]
 
 
 @dataclass(frozen=True)
@@ -558,18 +573,36 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _joined_ids(members: DataFrame) -> DataFrame:
+    """Ids with several classes, or with a class and an empty set: ``_i``, their smallest class ``_low``."""
+    classes = members.where("doc_id is not null").groupBy(F.col("doc_id").alias("_i")).agg(
+        F.min("cls").alias("_low"), F.max("cls").alias("_high"), F.count("cls").alias("_sets"), F.count("*").alias("_rows")
+    )
+    return stage(classes.where("_low <> _high or (_sets > 0 and _sets < _rows)").select("_i", "_low"), "joined_ids")
+
+
 def components_table(
-    docs: DataFrame, percent: int = PERCENT, options=None, id_col="doc_id", text_col="text", hashes: bool = False
+    docs: DataFrame, percent: int = PERCENT, options=None, id_col="doc_id", text_col="text", by_text: bool = False
 ) -> DataFrame:
-    """Every document with ``n_shingles`` and ``component_id`` (with ``hashes`` also its text's hash)."""
+    """Every document with ``n_shingles`` and ``component_id``.
+
+    With ``by_text`` rows are nodes by their texts alone, whatever their ids, and
+    the text's hash comes with them.
+    """
     members, links = class_links(_named(docs, id_col, text_col), percent, options)
+    if not by_text:
+        joined = _joined_ids(members)
+        members = members.join(joined, F.col("doc_id") == F.col("_i"), "left")
+        same = members.where("cls <> _low").select(F.col("_low").alias("a"), F.col("cls").alias("b"))
+        links = links.select("a", "b").union(same.distinct())
+        members = members.withColumn("cls", F.coalesce("cls", "_low"))
     roots = components(links, "a", "b")
     rooted = members.join(roots, F.col("cls") == F.col("node"), "left").select(
         "doc_id", "hash", "n_shingles", F.coalesce("root", "cls").alias("root")
     )
     lowest = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("low")).select(F.col("root").alias("_r"), "low")
     return rooted.join(lowest, F.col("root") == F.col("_r"), "left").select(
-        "doc_id", *["hash"] * hashes, "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
+        "doc_id", *["hash"] * by_text, "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
     )
 
 

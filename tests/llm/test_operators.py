@@ -574,6 +574,30 @@ def test_jaccard(docs, rows, empty, options):
     assert jaccard.components_table(empty).count() == 0
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    rows = [(1, x), (1, y), (5, x), (0, y), (7, z), (7, None), (9, z), (6, ""), (6, z), (None, x), (None, "lone words here"), (8, None)]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.components_table(docs).collect())
+    assert got == Counter([
+        (1, 26, 0), (1, 26, 0), (5, 26, 0), (0, 26, 0), (7, 26, 6), (7, 0, 6), (9, 26, 6), (6, 0, 6), (6, 26, 6),
+        (None, 26, 0), (None, 1, None), (8, 0, 8),
+    ])
+    # The filter looks at texts: one row of each stays, unlike texts of one id too.
+    kept = Counter(r.text for r in jaccard.keep_one(docs).collect())
+    assert kept == Counter({x: 1, y: 1, z: 1, None: 2, "": 1, "lone words here": 1})
+
+
+def test_cost_codes_keep_the_order():
+    cost = np.unique(np.concatenate([np.arange(10000), np.random.default_rng(3).integers(0, 1 << 42, 100000), [(1 << 42) - 1]]))
+    code = jaccard.cost_code(cost)
+    assert (np.diff(code) >= 0).all() and code.min() == 0 and code.max() == 65535
+    assert (jaccard.code_cost(code) <= cost).all() and (cost - jaccard.code_cost(code) <= cost >> 11).all()
+    assert (jaccard.code_cost(code)[cost < 4096] == cost[cost < 4096]).all()
+    # Counts of a corpus of some 30 GB: a passage of a thousand documents stands out in a bucket of singles.
+    assert jaccard.cost_code(np.array([77000])) > jaccard.cost_code(np.array([76000]))
+
+
 def test_links_beyond_a_repeated_hub(spark):
     """A, B and C meet in one shingle only; A is like neither, B and C are alike, and A is the hub of rounds 0 and 1."""
 
