@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafwork import workspace
+from sheafwork.operators.windows import OrderedSlices
 
 BROADCAST_BYTES = 32 << 20
 
@@ -125,6 +126,38 @@ def range_join(
     return met.where(inside).drop("_level", "_cell", "_value", "_place")
 
 
+def range_sums(
+    fact: DataFrame, value: Column, ranges: DataFrame, low: str, high: str, sums: Mapping[str, Column]
+) -> DataFrame:
+    """JON-15: each range [low, high) with sums over the fact rows whose ``value`` it holds; ranges that hold none are left out.
+
+    The aggregate of ``range_join`` without its pairs, of which there are ranges
+    times facts where ranges are wide. Facts of one value are added up first;
+    then values and bounds are sorted together in slices, and a range is the
+    running sum before its upper bound less that before its lower bound. Work
+    grows with facts plus ranges. The sums must be exact: whole numbers or decimals.
+    """
+    parts = {**{f"_sum_{n}": F.sum(c) for n, c in sums.items()}, **{f"_n_{n}": F.count(c) for n, c in sums.items()}, "_rows": F.count(F.lit(1))}
+    one = fact.groupBy(value.alias("_at")).agg(*[a.alias(n) for n, a in parts.items()]).where(F.col("_at").isNotNull())
+    if inexact := [n for n in sums if one.schema[f"_sum_{n}"].dataType.typeName() not in ("long", "decimal")]:
+        raise ValueError(f"sums must be whole numbers or decimals: {inexact}")
+    # Staged, so that the numbers stay with their rows.
+    numbered = workspace.stage(ranges.where(F.col(low) < F.col(high)).withColumn("_range", F.monotonically_increasing_id()), "ranges")
+    ends = F.array(*[F.struct(F.lit(upper).alias("upper"), F.col(c).alias("at")) for c, upper in ((low, False), (high, True))])
+    bounds = numbered.select("_range", F.explode(ends).alias("_end")).select("_range", F.col("_end.upper").alias("_upper"), F.col("_end.at").alias("_at"))
+    # Bounds come before facts of their value.
+    line = one.withColumn("_fact", F.lit(True)).unionByName(bounds.withColumn("_fact", F.lit(False)), allowMissingColumns=True)
+    before = OrderedSlices.build(line, [], "_at", ["_fact"]).running_sums({f"{n}_before": n for n in parts}).where(~F.col("_fact"))
+
+    def held(n: str) -> Column:
+        at = F.coalesce(f"{n}_before", F.lit(0))
+        return F.sum(F.when(F.col("_upper"), at).otherwise(-at)).alias(n)
+
+    found = before.groupBy("_range").agg(*[held(n) for n in parts]).where(F.col("_rows") > 0)
+    totals = [F.when(F.col(f"_n_{n}") > 0, F.col(f"_sum_{n}")).alias(n) for n in sums]
+    return numbered.join(found, "_range").select(*ranges.columns, *totals)
+
+
 def densify(df: DataFrame, keys: Sequence[str], period: str, first: int, last: int) -> DataFrame:
     """Every key with every period in [first, last]; measures are null where absent.
 

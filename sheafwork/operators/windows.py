@@ -219,18 +219,29 @@ class OrderedSlices:
 
     def running_sum(self, column: str, name: str) -> DataFrame:
         """WIN-08: cumulative sum in order, rows frame; of the type that a plain sum has."""
-        kind = self.staged.agg(F.sum(column).alias("_s")).schema["_s"].dataType
-        per = self.staged.groupBy("_slice", *self.keys).agg(F.sum(column).alias("_s"))
+        return self.running_sums({name: column})
+
+    def running_sums(self, columns: Mapping[str, str]) -> DataFrame:
+        """Cumulative sums of several columns in one pass; ``columns`` maps new names to columns."""
+        totals = [F.sum(c).alias(f"_s_{n}") for n, c in columns.items()]
+        kinds = self.staged.agg(*totals).schema
+        per = self.staged.groupBy("_slice", *self.keys).agg(*totals)
         offsets = (
-            per.withColumns(
-                {"_prior": F.sum("_s").over(self._before()), "_seen": F.count(F.lit(1)).over(self._before())}
-            )
+            per.withColumns({
+                **{f"_prior_{n}": F.sum(f"_s_{n}").over(self._before()) for n in columns},
+                "_seen": F.count(F.lit(1)).over(self._before()),
+            })
             .filter(F.col("_seen") > 0)
-            .select("_slice", *self.keys, "_prior")
+            .select("_slice", *self.keys, *[f"_prior_{n}" for n in columns])
         )
-        local = F.sum(column).over(self._local().rowsBetween(Window.unboundedPreceding, 0))
-        total = F.when(local.isNull(), F.col("_prior")).otherwise(local + F.coalesce(F.col("_prior"), F.lit(0)))
-        return self._attach(offsets).withColumn(name, total.cast(kind)).drop("_slice", "_prior")
+        frame = self._local().rowsBetween(Window.unboundedPreceding, 0)
+
+        def total(name: str, column: str) -> Column:
+            local, prior = F.sum(column).over(frame), F.col(f"_prior_{name}")
+            return F.when(local.isNull(), prior).otherwise(local + F.coalesce(prior, F.lit(0))).cast(kinds[f"_s_{name}"].dataType)
+
+        found = self._attach(offsets).withColumns({n: total(n, c) for n, c in columns.items()})
+        return found.drop("_slice", *[f"_prior_{n}" for n in columns])
 
     def neighbours(self, column: str, lag_name: str, lead_name: str) -> DataFrame:
         """WIN-06/07: value of the preceding and following row."""

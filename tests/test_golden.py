@@ -271,3 +271,31 @@ def test_range_join(spark):  # JON-15
     want = [(v, k) for v in values for k, a, b in ranges if v is not None and a is not None and a <= v < b]
     assert rows(found, "v", "k") == sorted(want, key=repr)
     assert joins.range_join(found, F.col("v"), table.limit(0).withColumnsRenamed({"k": "k2", "low": "l2", "high": "h2"}), "l2", "h2", 1.0).count() == 0
+
+
+def test_range_sums(spark):  # JON-15
+    """Totals of ranges against brute force: equal bounds and values, copies of a range, null measures, empty ranges."""
+    import random
+
+    rng = random.Random(3)
+    ranges = [(k, a := float(rng.randrange(-50, 50)), a + rng.randrange(0, 60)) for k in range(80)]
+    ranges += [(80, 1.0, 1.0), (81, 5.0, 4.0), (82, None, 4.0), (83, 2.0, 3.0), (83, 2.0, 3.0), (84, 1000.0, 2000.0), (85, 2e4, 3e4)]
+    facts = [(float(rng.randrange(-60, 120)) / 2, rng.choice([None, rng.randrange(100)])) for _ in range(400)] + [(None, 5), (1500.0, None), (-0.0, 7)]
+    table = spark.createDataFrame(ranges, "k int, low double, high double")
+    found = joins.range_sums(spark.createDataFrame(facts, "v double, x int"), F.col("v"), table, "low", "high", {"n": F.lit(1), "s": F.col("x").cast("decimal(9,2)")})
+    want = []
+    for k, a, b in ranges:
+        held = [x for v, x in facts if v is not None and a is not None and a <= v < b]
+        if held:
+            known = [x for x in held if x is not None]
+            want.append((k, a, b, len(held), sum(known) if known else None))
+    assert rows(found.withColumn("s", F.col("s").cast("int"))) == sorted(want, key=repr)
+    with pytest.raises(ValueError, match="whole numbers"):
+        joins.range_sums(table, F.col("low"), table, "low", "high", {"s": F.col("high")})
+
+
+def test_range_sums_makes_no_pairs(spark):  # JON-15
+    """Wide ranges over many facts: some 37 billion pairs, which only totals without pairs get through."""
+    facts, ranges = spark.range(2_000_000).select(F.col("id").alias("v")), spark.range(20_000).select("id", (F.col("id") * 3).alias("low"), (F.col("id") + 1_900_000).alias("high"))
+    got = joins.range_sums(facts, F.col("v"), ranges, "low", "high", {"n": F.lit(1)})
+    assert got.agg(F.sum("n")).first()[0] == sum(k + 1_900_000 - 3 * k for k in range(20_000))
