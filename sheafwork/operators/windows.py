@@ -380,17 +380,30 @@ def range_totals(
 
     Rows of one value are added up first, on the map side, so a group that holds
     most rows leaves one row for each value. Values are cut into cells of the
-    frame's length; a value near an edge also goes to the neighbour cell. So a
-    window sees the values of three cells at most.
+    frame's length, so a frame is the end of one cell and the start of the next:
+    each value asks both cells, which hold running sums from either side. A moving
+    frame would be added up anew for every value. Nothing is subtracted, so
+    sums of doubles keep their precision.
     """
-    length = max(before, after, 1)
+    length = F.lit(before + after + 1).cast("bigint")
     one = df.groupBy(*keys, by.cast("bigint").alias(name)).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).where(F.col(name).isNotNull())
-    home = F.floor(F.col(name) / length).cast("bigint")
-    place = F.pmod(F.col(name), F.lit(length))
-    cells = F.array(home, F.when(place >= length - before, home + 1), F.when(place < after, home - 1))
-    spread = one.withColumn("_home", home).withColumn("_cell", F.explode(F.filter(cells, lambda c: c.isNotNull())))
-    window = Window.partitionBy(*keys, "_cell").orderBy(name).rangeBetween(-before, after)
-    return spread.select(*keys, name, "_home", "_cell", *[F.sum(n).over(window).alias(n) for n in sums]).where("_cell = _home").drop("_home", "_cell")
+    kinds = {f.name: f.dataType for f in one.agg(*[F.sum(n).alias(n) for n in sums]).schema}
+    low, high = F.col(name) - F.lit(before).cast("bigint"), F.col(name) + F.lit(after).cast("bigint")
+
+    def spot(asks: int, at: Column) -> Column:
+        return F.struct(F.lit(asks).alias("asks"), at.alias("at"))
+
+    # 0 brings its sums, 1 asks for its cell from ``at`` on, 2 for its cell up to ``at``; a frame that is a cell needs no second.
+    spots = F.array(spot(0, F.col(name)), spot(1, low), F.when(F.pmod(low, length) != 0, spot(2, high)))
+    placed = one.withColumn("_spot", F.explode(F.filter(spots, lambda s: s.isNotNull()))).select(
+        *keys, name, F.col("_spot.asks").alias("_asks"), F.col("_spot.at").alias("_at"), *[F.when(F.col("_spot.asks") == 0, F.col(n)).alias(n) for n in sums]
+    ).withColumn("_cell", F.col("_at") - F.pmod("_at", length))
+    cell = Window.partitionBy(*keys, "_cell")
+    up, down = (cell.orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.col("_at").asc(), F.col("_at").desc()))
+    found = placed.select(
+        *keys, name, "_asks", *[F.when(F.col("_asks") == 1, F.sum(n).over(down)).otherwise(F.sum(n).over(up)).alias(n) for n in sums]
+    ).where("_asks > 0")
+    return found.groupBy(*keys, name).agg(*[F.sum(n).cast(kinds[n]).alias(n) for n in sums])
 
 
 def ntile(row_number: Column, group_rows: Column, tiles: int) -> Column:

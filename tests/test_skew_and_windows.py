@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -203,6 +204,16 @@ def test_range_totals(spark, before, after):  # WIN-12
     assert rows(got, "k", "at", "s", "n") == sorted(want, key=repr)
 
 
+def test_range_totals_frames_only_grow(spark):  # WIN-12
+    """Spark adds a moving frame up anew for each row; running sums take each row once. Null and infinite measures stay apart."""
+    raw = [(v, {3: None, 4: None, 5: float("inf")}.get(v, float(v))) for v in range(12)]
+    got = windows.range_totals(spark.createDataFrame(raw, "v long, x double"), [], F.col("v"), 1, 0, {"s": F.col("x")})
+    frames = re.findall(r"specifiedwindowframe\((.*?),(.*?),", got._jdf.queryExecution().analyzed().toString())
+    assert frames and all("unboundedpreceding" in start for _, start in frames)
+    inf = float("inf")
+    assert rows(got, "at", "s") == sorted(zip(range(12), [0.0, 1.0, 3.0, 2.0, None, inf, inf, 13.0, 15.0, 17.0, 19.0, 21.0]), key=repr)
+
+
 @pytest.mark.parametrize("limit", [40, 100, 700, 5000])
 def test_hot_keys_equal_the_exact_count(spark, limit):  # QLT-07
     """Null and two-column keys, more keys than the sketch has counters, over several tasks."""
