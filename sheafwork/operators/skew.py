@@ -18,8 +18,8 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_KEYS = 100_000
 
 
-#: Smallest share of the rows that the frequency sketch can tell.
-LEAST_SUPPORT = 1e-6
+#: Smallest share of the rows that Spark's frequency sketch accepts.
+LEAST_SUPPORT = 1e-4
 
 
 def frequent_candidates(df: DataFrame, keys: Sequence[str], support: float) -> DataFrame:
@@ -37,11 +37,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_TASK) ->
 
     There are at most rows / limit such keys, whatever the data looks like. A
     sketch names the candidates and a second pass counts them exactly; all other
-    keys are neither shuffled nor counted.
+    keys are neither shuffled nor counted. A limit below ``LEAST_SUPPORT`` of the
+    rows is too fine for the sketch: then all keys are counted, combined on the
+    map side, so that a key leaves one row for each task.
     """
     total = df.count()
     rows = df
-    if total * LEAST_SUPPORT <= limit < total:
+    if limit < total and limit / total >= LEAST_SUPPORT:
         candidates = frequent_candidates(df, keys, limit / total)
         names = [f"_hot_{k}" for k in keys]
         # At most total / limit rows, so no more than 1 / LEAST_SUPPORT; Spark broadcasts them where they are few.

@@ -226,6 +226,12 @@ def test_hot_keys_equal_the_exact_count(spark, limit):  # QLT-07
     assert skew.hot_keys(df.limit(0), ["k", "n"], limit).count() == 0
 
 
+def test_hot_keys_below_the_sketch(spark):  # QLT-07
+    """A limit under 1e-4 of the rows, which Spark's sketch refuses."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 8000 == 0, "a").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"))
+    assert rows(skew.hot_keys(df, ["k"], 3)) == [("a", 2)]
+
+
 def test_hot_keys_shuffle_few_rows(spark):  # QLT-07
     """The sketch is one row for each task; no plan shuffles the keys themselves."""
     df = spark.range(10_000).select((F.col("id") % 5000).alias("k"))
