@@ -299,3 +299,14 @@ def test_range_sums_makes_no_pairs(spark):  # JON-15
     facts, ranges = spark.range(2_000_000).select(F.col("id").alias("v")), spark.range(20_000).select("id", (F.col("id") * 3).alias("low"), (F.col("id") + 1_900_000).alias("high"))
     got = joins.range_sums(facts, F.col("v"), ranges, "low", "high", {"n": F.lit(1)})
     assert got.agg(F.sum("n")).first()[0] == sum(k + 1_900_000 - 3 * k for k in range(20_000))
+
+
+def test_approx_distinct_error(spark, tmp_path):  # AGG-07
+    """A type without users has no error; no sketch is grouped by user."""
+    from sheafwork.queries import REGISTRY
+
+    spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("b", None), (None, 7)], "event_type string, user_id long").write.parquet(str(tmp_path / "events.parquet"))
+    got = REGISTRY["approx_distinct_error"].run(spark, str(tmp_path))
+    assert rows(got) == sorted([("a", 2, True), ("b", 0, True), (None, 1, True)], key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "approx_count_distinct" in x and "keys=[event_type" in x and "user_id#" in x.split("functions=")[0]]
