@@ -184,7 +184,7 @@ def stream_timed_sessions(spark, sf):
             part = part.unionByName(source.agg(far).withColumn("closing", F.lit(True)), allowMissingColumns=True)
         part.write.mode("append").parquet(f"{folder}/in")
         stream = io.event_time(io.file_stream(spark, f"{folder}/in", schema), "ts")
-        out = timers.timed_sessions(stream, ["user_id", "closing"], "ts", money("value") * 100, 6 * 3600, "1 hour")
+        out = timers.timed_sessions(stream, ["user_id", "closing"], "ts", money("value") * 100, 6 * 3600, "1 hour", groups=512)
         io.drain(io.to_files(out, f"{folder}/out"), f"{folder}/checkpoint")
     got = spark.read.schema(out.schema).parquet(f"{folder}/out").filter(~F.col("closing"))
     return got.select("user_id", _clock("session_start").alias("session_start"), "n", real((F.col("cents") / 100).cast("decimal(18,2)")).alias("total"))

@@ -354,6 +354,21 @@ def test_session_timers_over_batches(spark, landed, tmp_path):  # STR-19
     assert query.exception() is None
 
 
+def test_session_timers_in_groups(spark, landed, tmp_path):  # STR-19
+    """Keys that share their state have the sessions of keys apart, over several batches, and leave the same ones open."""
+    for k in range(5, 9):
+        land(landed, k, [(100 * k + i, "abcdefg"[i % 7] if i % 8 else None, i, minute(40 * k + 3 * i)) for i in range(25)])
+    found = {}
+    for groups in (None, 3):
+        folder = tmp_path / f"groups{groups}"
+        out = timers.timed_sessions(chunks(spark, landed), ["region"], "at", F.col("amount"), 10 * 60, "20 minutes", groups=groups)
+        io.drain(io.to_files(out, str(folder / "out")), str(folder / "cp"))
+        state = spark.read.format("statestore").option("stateVarName", "open").load(str(folder / "cp"))
+        found[groups] = rows(spark.read.parquet(str(folder / "out"))), rows(state.select("list_element.*")), state.select("key._key").distinct().count()
+    assert found[3][:2] == found[None][:2] and found[3][0]
+    assert found[3][2] <= 3 < found[None][2]
+
+
 def test_merged_spans():
     assert timers.merge_spans([(40, 41, 1, 1), (0, 5, 2, 2), (14, 21, 1, 4)], 10) == [(0, 21, 3, 6), (40, 41, 1, 1)]
     assert timers.merge_spans([(0, 5, 1, 1), (15, 16, 1, 1)], 10) == [(0, 5, 1, 1), (15, 16, 1, 1)]
