@@ -195,7 +195,8 @@ SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n_events, CAST(sum(CAST(roun
        strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_at FROM events GROUP BY 1""")
 def stream_running_state(spark, sf):
     out = aggregates.running_totals(
-        events(spark, sf), F.col("user_id"), F.col("ts"), money("value") * 100, ["event_id"]
+        events(spark, sf), F.col("user_id"), F.col("ts"), money("value") * 100, ["event_id"],
+        parts=1, hot=skew.measured_hot(table(spark, sf, "events"), ["user_id"]),
     )
     pieces = updated(spark, out, "running", ["key", "part"])
     return aggregates.merge_totals(pieces).withColumn("last_at", _clock("last_at"))

@@ -46,10 +46,6 @@ def unique_events(stream: DataFrame, at: str, keys: Sequence[str], late: str) ->
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def _part_of(spread_by: Sequence[str], parts: int) -> Column:
-    return F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
-
-
 def _with_parts(df: DataFrame, key: str, hot: DataFrame | None, parts: int) -> DataFrame:
     """Add ``_parts``, the number of tasks that share the rows of a key: that of a hot key, else ``parts``."""
     if hot is None:
@@ -134,16 +130,23 @@ def _add_events(
     )
 
 
-def running_totals(stream: DataFrame, key: Column, at: Column, cents: Column, spread_by: Sequence[str], parts: int = 4) -> DataFrame:
+def running_totals(
+    stream: DataFrame, key: Column, at: Column, cents: Column, spread_by: Sequence[str], parts: int = 4, hot: DataFrame | None = None
+) -> DataFrame:
     """STR-19: totals per key in custom state, kept in ``parts`` pieces.
 
     The state of one key is divided by a hash of ``spread_by``, so a key that
     receives most of the stream still uses several tasks. ``merge_totals`` adds
-    the pieces up.
+    the pieces up. Every piece costs a call into Python: with keys measured to
+    be ``hot`` (``skew.measured_hot``) these have their own number of pieces, and
+    ``parts`` = 1 leaves one for each other key.
     """
-    rows = stream.select(
-        key.cast("string").alias("key"),
-        _part_of(spread_by, parts).alias("part"),
+    if hot is not None:
+        hot = hot.withColumn(hot.columns[0], F.col(hot.columns[0]).cast("string"))
+    spread = _spread(stream.withColumn("_total_key", key.cast("string")), "_total_key", spread_by, hot, parts, "_piece")
+    rows = spread.select(
+        F.col("_total_key").alias("key"),
+        F.col("_piece").alias("part"),
         at.cast("timestamp").alias("at"),
         cents.cast("bigint").alias("cents"),
     )

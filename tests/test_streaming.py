@@ -206,6 +206,18 @@ def test_running_totals_over_batches(spark, landed, tmp_path):  # STR-19
     assert rows(aggregates.merge_totals(pieces)) == rows(batch)
 
 
+def test_running_totals_of_measured_keys(spark, landed, tmp_path):  # STR-19
+    """Only keys measured to be hot are in several pieces; the totals are whole."""
+    hot = spark.createDataFrame([("n", 4)], "region string, _parts int")
+    out = aggregates.running_totals(chunks(spark, landed), F.col("region"), F.col("at"), F.col("amount"), ["id"], parts=1, hot=hot)
+    io.drain(io.each_batch(out, io.batch_writer(str(tmp_path / "out")), "update"), str(tmp_path / "cp"))
+    pieces = io.latest_state(spark.read.parquet(str(tmp_path / "out")), ["key", "part"])
+    batch = spark.read.schema(SCHEMA).json(str(landed)).groupBy("region").agg(F.count("*"), F.sum("amount"), F.max("at"))
+    assert rows(aggregates.merge_totals(pieces)) == rows(batch)
+    several = pieces.groupBy("key").count().where("count > 1")
+    assert rows(several, "key") == [("n",)]
+
+
 def test_sessions(spark, tmp_path):  # STR-19
     land(tmp_path / "in", 0, [(1, "n", 1, minute(0)), (2, "n", 1, minute(4)), (3, "n", 1, minute(30)), (9, "z", 0, minute(600))])
     out = aggregates.sessions(chunks(spark, tmp_path / "in"), "at", "10 minutes", ["region"], [F.count("*").alias("n")], "1 minute")
