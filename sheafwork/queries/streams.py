@@ -149,7 +149,8 @@ def stream_join(spark, sf):
         orders, lines, "o_orderdate", "l_shipdate", F.col("o_orderkey") == F.col("l_orderkey"), "60 DAYS", "1 day",
         spread_by=["l_partkey", "l_linenumber"], hot=skew.measured_hot(table(spark, sf, "lineitem"), ["l_orderkey"]), on=("o_orderkey", "l_orderkey"),
     )
-    rows = stored(spark, out.select("o_orderkey", big("l_quantity").alias("qty")), "joined")
+    with io.rows_only(spark):
+        rows = stored(spark, out.select("o_orderkey", big("l_quantity").alias("qty")), "joined")
     return rows.groupBy(F.col("o_orderkey").alias("orderkey")).agg(F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("qty"))
 
 

@@ -14,6 +14,8 @@ COMMON_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A count of all state rows costs a lookup for every row that is written or removed.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # Streams merge the rows of one session on the map side first, so a busy
     # key does not ship every row to one reducer.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,22 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return query
 
 
+@contextmanager
+def rows_only(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside run no batch without rows, which only removes state that the last rows made obsolete.
+
+    For streams whose result is whole once their rows are processed, such as inner
+    joins; the next batch with rows removes that state.
+    """
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run_continuously(writer: DataStreamWriter, checkpoint: str, every: str) -> StreamingQuery:
     """STR-05: a micro-batch per interval until stopped."""
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

@@ -198,6 +198,27 @@ def test_stream_join_within_time(spark, tmp_path, parts):  # STR-18
     assert rows(spark.read.parquet(str(tmp_path / "out")), "lid", "amount") == [(1, 5)]
 
 
+def test_stream_join_without_empty_batches(spark, tmp_path):  # STR-18
+    """Each delivery takes one batch; obsolete state goes with the next rows, and later matches are found."""
+    def deliver(n, a, b):
+        land(tmp_path / "a", n, a)
+        land(tmp_path / "b", n, b)
+        left = chunks(spark, tmp_path / "a", None).select(F.col("id").alias("lid"), F.col("at").alias("lat"))
+        right = chunks(spark, tmp_path / "b", None).select("id", "amount", "at")
+        out = aggregates.join_streams(left, right, "lat", "at", F.col("lid") == F.col("id"), "10 MINUTES", "20 minutes")
+        log = io.drain_logged(spark, io.to_files(out, str(tmp_path / "out")), str(tmp_path / "cp"))
+        return log.count(), rows(spark.read.parquet(str(tmp_path / "out")), "lid", "amount")
+
+    kept = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    with io.rows_only(spark):
+        assert deliver(0, [(1, "x", 1, minute(0)), (2, "x", 1, minute(60))], [(1, "x", 5, minute(3)), (9, "x", 0, minute(60))]) == (1, [(1, 5)])
+        # Line 7 belongs to an order of the first delivery.
+        assert deliver(1, [(3, "x", 1, minute(90))], [(2, "x", 7, minute(65)), (3, "x", 9, minute(91))]) == (1, [(1, 5), (2, 7), (3, 9)])
+        # Line 8 is late (before minute 40), and its order is gone.
+        assert deliver(2, [(4, "x", 1, minute(92))], [(1, "x", 8, minute(5)), (4, "x", 2, minute(92))]) == (1, [(1, 5), (2, 7), (3, 9), (4, 2)])
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == kept == "true"
+
+
 def test_running_totals_over_batches(spark, landed, tmp_path):  # STR-19
     out = aggregates.running_totals(chunks(spark, landed), F.col("region"), F.col("at"), F.col("amount"), ["id"], parts=3)
     io.drain(io.each_batch(out, io.batch_writer(str(tmp_path / "out")), "update"), str(tmp_path / "cp"))
