@@ -21,6 +21,8 @@ from sheafwork import workspace
 from sheafwork.streaming import io
 
 PERIOD = "_period"
+# Units of which there are so few that each task may write a file for every one; rows of shorter ones are gathered first.
+LONG_UNITS = ("month", "quarter", "year")
 _BATCH = "_feed string, _batch_id bigint"
 
 
@@ -43,12 +45,11 @@ class PeriodTable:
 
     def replace(self, rows: DataFrame, periods: DataFrame, run: int) -> None:
         """Put ``rows`` (with ``_period``) in the place of all rows of ``periods``."""
-        tagged = rows.withColumn("_run", F.lit(run))
-        tagged.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema")
         folders = ["_run", PERIOD, *self.partition_by]
-        # Few files for each folder; adaptive execution splits a period that holds much.
-        spread = tagged.hint("rebalance", PERIOD, *self.partition_by)
-        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{self.path}/rows")
+        # Few files for each folder; adaptive execution splits a period that holds much. The run is not shuffled with the rows.
+        tagged = rows.hint("rebalance", PERIOD, *self.partition_by).withColumn("_run", F.lit(run))
+        tagged.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema")
+        tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{self.path}/rows")
         noted = periods.select(PERIOD).distinct().withColumn("run", F.lit(run))
         noted.coalesce(1).write.mode("append").parquet(f"{self.path}/periods")
 
@@ -75,14 +76,19 @@ class PeriodFlow:
         """Drain ``stream`` into bronze by period, feed and batch; a batch that runs again replaces what it wrote."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            rows = batch.withColumns({
-                PERIOD: period_of(F.col(moment), self.unit), "_feed": F.lit(io.feed_of(batch)), "_batch_id": F.lit(batch_id).cast("bigint"),
-            })
-            spread = rows.hint("rebalance", PERIOD)
-            spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD, "_feed", "_batch_id").parquet(
+            rows = batch.withColumn(PERIOD, period_of(F.col(moment), self.unit))
+            if self.unit not in LONG_UNITS:
+                rows = rows.hint("rebalance", PERIOD)
+            # The names of the batch are not shuffled with the rows.
+            feed = io.feed_of(batch)
+            tagged = rows.withColumns({"_feed": F.lit(feed), "_batch_id": F.lit(batch_id).cast("bigint")})
+            tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD, "_feed", "_batch_id").parquet(
                 f"{self.root}/bronze"
             )
-            io.batch_writer(f"{self.root}/touched")(rows.select(PERIOD).distinct().coalesce(1), batch_id)
+            # The folders name the periods; no column is read.
+            written = batch.sparkSession.read.schema(f"{PERIOD} date, {_BATCH}").parquet(f"{self.root}/bronze")
+            mine = written.where((F.col("_feed") == feed) & (F.col("_batch_id") == batch_id))
+            io.batch_writer(f"{self.root}/touched")(mine.select(PERIOD).distinct().coalesce(1), batch_id)
 
         io.drain(io.each_batch(stream, write), checkpoint)
 

@@ -133,13 +133,21 @@ def sales(spark, sf):
     return jobs.silver_sales(raw_sales(spark, sf), *dimensions(spark, sf))
 
 
+def landing(raw, late, name):
+    """Raw rows written once, as two deliveries: a folder for the rows that are not ``late`` and one for those that are."""
+    folder = workspace.fresh(raw.sparkSession, name)
+    raw.withColumn("_delivery", F.when(late, 1).otherwise(0)).write.partitionBy("_delivery").parquet(folder)
+    return [f"{folder}/_delivery={n}" for n in (0, 1)]
+
+
 def streamed_sales(spark, sf):
     """Raw sales landed in two deliveries and streamed into bronze; silver by region and daily gold, each period as it changes.
 
     The orders span years, so their layers go by quarter.
     """
     root = workspace.fresh(spark, "sales_flow")
-    raw = workspace.stage(raw_sales(spark, sf), "raw_sales").withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp"))
+    raw = raw_sales(spark, sf).withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp"))
+    landed = landing(raw, F.col("event_time") >= "2000-01-01", "raw_sales")
     flow = PeriodFlow(spark, root, "quarter")
     silver, gold = PeriodTable(spark, f"{root}/silver", ["region"]), PeriodTable(spark, f"{root}/gold")
     products, customers = dimensions(spark, sf)
@@ -150,9 +158,8 @@ def streamed_sales(spark, sf):
     def summarise(rows):
         return jobs.daily_revenue(rows, ["order_date", "category", "region", PERIOD], "total_amount", "customer_id")
 
-    for late in (False, True):
-        raw.filter((F.col("event_time") >= "2000-01-01") == late).write.mode("append").parquet(f"{root}/landing")
-        flow.bronze(io.file_stream(spark, f"{root}/landing", raw.schema), "event_time", f"{root}/checkpoint")
+    for n, folder in enumerate(landed):
+        flow.bronze(io.file_stream(spark, folder, raw.schema), "event_time", f"{root}/checkpoint-{n}")
         flow.refresh(clean, silver, gold, summarise)
     return silver.read().drop(PERIOD), gold.read().drop(PERIOD)
 

@@ -8,7 +8,9 @@ import os
 from pyspark.sql import functions as F
 
 from sheafwork.operators.dedup import keep_one
+from sheafwork.plans import orders
 from sheafwork.plans.periods import PERIOD, PeriodFlow, PeriodTable, period_of
+from sheafwork.queries.orders import landing
 from sheafwork.streaming import io
 from tests.conftest import rows
 
@@ -46,6 +48,50 @@ def test_only_touched_days_are_recomputed(spark, tmp_path):  # PIP-24, PIP-25
     assert sorted(d for d in os.listdir(f"{root}/silver/rows/_run=2/{PERIOD}=2024-01-02") if "=" in d) == ["region=s", "region=w"]
 
 
+def test_bronze_of_few_periods_is_not_shuffled(spark, tmp_path):  # PIP-25
+    """Each task writes rows of long periods where they are; those of short ones are gathered first."""
+    moments = [f"2024-{1 + i % 3:02d}-01 10:00:00" for i in range(40)] + [None, "bad"]
+    landed = spark.createDataFrame([(str(i), "n", "5", m, i) for i, m in enumerate(moments)], SCHEMA).repartition(4)
+    landed.write.parquet(str(tmp_path / "in"))
+
+    def bronze(unit):
+        flow = PeriodFlow(spark, str(tmp_path / unit), unit)
+        spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+        try:
+            flow.bronze(io.file_stream(spark, str(tmp_path / "in"), SCHEMA), "moment", str(tmp_path / f"cp_{unit}"))
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        got = spark.read.parquet(f"{flow.root}/bronze")
+        noted = spark.read.schema(f"{PERIOD} date").parquet(f"{flow.root}/touched")
+        return rows(got, "id", PERIOD), got.select("_metadata.file_path").distinct().count(), rows(noted, PERIOD)
+
+    by_month, n_month, noted = bronze("month")
+    by_day, n_day, noted_days = bronze("day")
+    months = [(dt.date(2024, k, 1),) for k in (1, 2, 3)]
+    assert by_month == by_day and len(by_day) == 42 and noted == noted_days == sorted([*months, (None,)], key=repr)
+    assert n_day == 4 < n_month
+
+
+def test_silver_shuffles_no_derived_columns(spark):  # PIP-25
+    raw = spark.createDataFrame(
+        [("1-1", "7", "3", "2", "1.50", "2024-01-01 10:00:00", 1), ("1-1", "7", "3", "9", "1.50", "2024-01-01 10:00:00", 2), ("2-1", "8", "4", "x", "1.00", None, 1)],
+        "order_id string, customer_id string, product_id string, qty string, unit_price string, event_time string, _ingested_at int",
+    )
+    products = spark.createDataFrame([("3", "nail")], "product_id string, product_name string")
+    customers = spark.createDataFrame([("7", "ann")], "customer_id string, customer_name string")
+    silver = orders.silver_sales(raw, products, customers)
+    got = rows(silver, "order_id", "qty", "order_date", F.col("total_amount").cast("string").alias("total_amount"), "product_name", "customer_name")
+    assert got == [("1-1", 2, dt.date(2024, 1, 1), "3.00", "nail", "ann"), ("2-1", None, None, None, None, None)]
+    window = next(p for p in silver._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [row_number" in p)
+    assert "qty" in window and "total_amount" not in window and "order_date" not in window
+
+
+def test_deliveries_are_written_once(spark):  # PIP-24, PIP-25
+    raw = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "n int, t string")
+    first, second = (spark.read.schema(raw.schema).parquet(f) for f in landing(raw, F.col("t") >= "b", "two"))
+    assert rows(first) == [(1, "a"), (2, None)] and rows(second) == [(3, "b")]
+
+
 def test_periods(spark):
     got = spark.createDataFrame([("2024-03-05 10:00:00",), ("bad",), (None,)], "t string").select(period_of(F.col("t"), "month").alias("p"))
     assert [r.p for r in got.collect()] == [dt.date(2024, 3, 1), None, None]
