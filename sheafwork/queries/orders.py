@@ -193,7 +193,9 @@ def sales_streamed(spark, sf):
 def orders_layers(spark, sf):
     """Bronze and silver orders written by period and region; gold recomputed for the periods of each of two deliveries."""
     root = workspace.fresh(spark, "orders_flow")
-    raw = workspace.stage(raw_orders(spark, sf), "raw_orders")
+    raw = raw_orders(spark, sf)
+    # The copies come with the second delivery.
+    landed = landing(raw, F.to_date("_ingested_at") > "2024-01-01", "raw_orders")
     flow = PeriodFlow(spark, root, "quarter")
     silver_table, gold = PeriodTable(spark, f"{root}/silver", ["region"]), PeriodTable(spark, f"{root}/gold")
 
@@ -203,10 +205,8 @@ def orders_layers(spark, sf):
     def summarise(rows):
         return jobs.daily_revenue(rows, ["order_date", "region", "category", PERIOD], "amount")
 
-    # The copies come with the second delivery.
-    for again in (False, True):
-        raw.filter((F.to_date("_ingested_at") > "2024-01-01") == again).write.mode("append").parquet(f"{root}/landing")
-        flow.bronze(io.file_stream(spark, f"{root}/landing", raw.schema), "order_date", f"{root}/checkpoint")
+    for n, folder in enumerate(landed):
+        flow.bronze(io.file_stream(spark, folder, raw.schema), "order_date", f"{root}/checkpoint-{n}")
         flow.refresh(clean, silver_table, gold, summarise)
     return gold.read().drop(PERIOD).withColumn("revenue", real("revenue"))
 
