@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from sheafwork.operators.dedup import keep_one
 from sheafwork.plans import orders
 from sheafwork.plans.periods import PERIOD, PeriodFlow, PeriodTable, period_of
+from sheafwork.queries import REGISTRY
 from sheafwork.queries.orders import landing
 from sheafwork.streaming import io
 from tests.conftest import rows
@@ -17,6 +19,10 @@ from tests.conftest import rows
 SCHEMA = "id string, region string, amount string, moment string, seen int"
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_only_touched_days_are_recomputed(spark, tmp_path):  # PIP-24, PIP-25
     root = str(tmp_path / "flow")
     flow, cleaned = PeriodFlow(spark, root), []
@@ -86,6 +92,31 @@ def test_silver_shuffles_no_derived_columns(spark):  # PIP-25
     assert "qty" in window and "total_amount" not in window and "order_date" not in window
 
 
+def test_tasks_that_count_buyers_follow_the_rows(spark, monkeypatch):  # PIP-25, AGG-24
+    day, kind, buyer = F.col("id") % 7, F.when(F.col("id") % 5 > 0, F.col("id") % 3), F.when(F.col("id") % 11 > 0, F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(1))
+    order_id, amount = F.when(F.col("id") % 13 > 0, F.col("id").cast("string")), F.when(F.col("id") % 17 > 0, F.col("id").cast("decimal(18,2)"))
+    silver = spark.range(2000).select(order_id.alias("order_id"), day.alias("day"), kind.alias("kind"), buyer.alias("buyer"), amount.alias("amount"))
+    monkeypatch.setattr(orders, "ROWS_PER_TASK", 100, raising=False)
+    got = orders.daily_revenue(silver, ["day", "kind"], "amount", "buyer", 2000)
+    assert re.search(r"hashpartitioning\(day#\d+L?, kind#\d+L?, buyer#\d+L?, 20\), REPARTITION_BY_NUM", plan(got))
+    assert rows(got) == rows(orders.daily_revenue(silver, ["day", "kind"], "amount", "buyer"))
+
+
+def test_tasks_of_daily_sales_follow_the_lines(spark, monkeypatch):  # PIP-25, AGG-24
+    sf = "/root/testdata/sf0.001"
+    run = REGISTRY["sales_daily_revenue"].run
+    plain = rows(run(spark, sf))
+    tasks = -(-spark.read.parquet(f"{sf}/lineitem.parquet").count() // 100)
+    for limit in ("ROWS_PER_TASK", "LINES_PER_TASK"):
+        monkeypatch.setattr(orders, limit, 100, raising=False)
+    got = run(spark, sf)
+    dealt = re.findall(r"hashpartitioning\((.*), (\d+)\), REPARTITION_BY_NUM", plan(got))
+    assert [(re.sub(r"#\d+L?", "", keys), int(n)) for keys, n in dealt] == [
+        ("order_date, category, region, customer_id", tasks), ("l_orderkey", tasks),
+    ]
+    assert rows(got) == plain
+
+
 def test_deliveries_are_written_once(spark):  # PIP-24, PIP-25
     raw = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "n int, t string")
     first, second = (spark.read.schema(raw.schema).parquet(f) for f in landing(raw, F.col("t") >= "b", "two"))
